@@ -15,14 +15,18 @@ STAT_COLUMNS = [
 ]
 
 
-def dim_products(stg_products: DataFrame, stats: DataFrame, recent_days: int = 365) -> DataFrame:
+def dim_products(stg_products: DataFrame, stats: DataFrame, recent_days: int = 365, anchor=None) -> DataFrame:
     """Products left join review statistics (one row per product, reviewed or not).
 
     Only the two counts default to 0; other statistics stay null for
     unreviewed products. The recency anchor is the latest review date over all
-    reviewed products (a scalar subquery over the statistics).
+    reviewed products. Pass it as ``anchor`` (a scalar Column) when a cheaper
+    source exists — e.g. ``max(reviewed_date)`` of the staged reviews, which is
+    the same date because deduplication keeps every review date; by default it
+    is a scalar subquery over the statistics.
     """
-    anchor = stats.agg(F.max("last_reviewed_date")).scalar()
+    if anchor is None:
+        anchor = stats.agg(F.max("last_reviewed_date")).scalar()
     s = stats.select(
         "product_id", "review_count", "distinct_reviewer_count", "avg_rating", *STAT_COLUMNS
     ).withColumnRenamed("distinct_reviewer_count", "__drc")

@@ -88,19 +88,22 @@ def signal_counts(ctx: DataFrame) -> DataFrame:
     )
 
 
-def trailing_window(df: DataFrame, date_col: str = "reviewed_date", days: int = 90) -> DataFrame:
+def trailing_window(df: DataFrame, date_col: str = "reviewed_date", days: int = 90, anchor=None) -> DataFrame:
     """P25: rows within ``days`` of the latest date in the data (inclusive).
 
-    The anchor is a scalar subquery, so the cutoff is evaluated once and is
-    also applied at the file scan as a runtime filter.
+    The anchor (default: a scalar subquery over ``df``) is evaluated once; on a
+    file scan it is also applied as a runtime filter.
     """
-    anchor = df.agg(F.max(date_col)).scalar()
+    if anchor is None:
+        anchor = df.agg(F.max(date_col)).scalar()
     return df.where(F.col(date_col) >= F.date_sub(anchor, days))
 
 
-def recent_sentiment(fct: DataFrame, days: int = 90) -> DataFrame:
+def recent_sentiment(fct: DataFrame, days: int = 90, anchor=None) -> DataFrame:
     """A10: trailing-window average rating, negatives and volume per product."""
-    recent = trailing_window(fct.select("product_id", "reviewed_date", "rating", "sentiment_bucket"), "reviewed_date", days)
+    recent = trailing_window(
+        fct.select("product_id", "reviewed_date", "rating", "sentiment_bucket"), "reviewed_date", days, anchor
+    )
     return recent.groupBy("product_id").agg(
         RF.round_half_away(F.avg("rating"), 2).alias("avg_rating_last_90d"),
         RF.count_if(F.col("sentiment_bucket") == "negative").alias("negative_count_last_90d"),
@@ -124,6 +127,7 @@ def products_at_risk(
     days: int = 90,
     weights: RiskWeights = RiskWeights(),
     sort: bool = True,
+    anchor=None,
 ) -> DataFrame:
     """Reviewed products + signal counts + recent sentiment → score and tier.
 
@@ -131,7 +135,7 @@ def products_at_risk(
     joins never see review-level skew.
     """
     products = dim_products.where(F.col("our_review_count") > 0)
-    j = products.join(signal_counts(ctx), "product_id", "left").join(recent_sentiment(fct, days), "product_id", "left")
+    j = products.join(signal_counts(ctx), "product_id", "left").join(recent_sentiment(fct, days, anchor), "product_id", "left")
     delta = RF.rating_delta("avg_rating_last_90d", "our_avg_rating", 2)
     scored = j.select(
         "product_id", "product_title", "brand", "subcategory", "category_group", "is_premium", "price_bucket",

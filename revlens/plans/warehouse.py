@@ -16,6 +16,7 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from revlens.operators.calendar import date_dimension
 from revlens.operators.categories import category_performance
@@ -69,6 +70,11 @@ class Warehouse:
     def stg_products(self) -> DataFrame:
         return stg_products(self.raw_products, self.mapping, self.rules, self.classify_method)
 
+    @cached_property
+    def latest_review_date(self):
+        """Scalar anchor: the latest review date (equal over staged and deduped reviews)."""
+        return self.stg_reviews.agg(F.max("reviewed_date")).scalar()
+
     # core ---------------------------------------------------------------
     @cached_property
     def fct_reviews(self) -> DataFrame:
@@ -89,7 +95,7 @@ class Warehouse:
     # marts --------------------------------------------------------------
     @cached_property
     def dim_products(self) -> DataFrame:
-        return self._keep("dim_products", dim_products(self.stg_products, self.product_review_stats))
+        return self._keep("dim_products", dim_products(self.stg_products, self.product_review_stats, anchor=self.latest_review_date))
 
     @cached_property
     def dim_reviewers(self) -> DataFrame:
@@ -121,11 +127,13 @@ class Warehouse:
 
     @cached_property
     def recent_sentiment(self) -> DataFrame:
-        return recent_sentiment(self.fct_reviews)
+        return recent_sentiment(self.fct_reviews, anchor=self.latest_review_date)
 
     @cached_property
     def mart_products_at_risk(self) -> DataFrame:
-        return products_at_risk(self.dim_products, self.reviews_with_context, self.fct_reviews)
+        return products_at_risk(
+            self.dim_products, self.reviews_with_context, self.fct_reviews, anchor=self.latest_review_date
+        )
 
     def snapshot_products(self, history: DataFrame | None, as_of: dt.datetime) -> DataFrame:
         return scd2_apply(history, self.stg_products, "product_id", PRODUCT_CHECK_COLS, as_of)
