@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens import functions as RF
+from revlens.operators.skew import MAX_HOT_KEYS, ROWS_PER_SPLIT, split_hot_join
 
 
 def reviewer_history(stg: DataFrame, approx_distinct: bool = False, min_reviews: int = 3, band: float = 0.75) -> DataFrame:
@@ -65,12 +66,18 @@ def dim_reviewers(history: DataFrame) -> DataFrame:
     )
 
 
-def with_reviewer_context(fct: DataFrame, history: DataFrame) -> DataFrame:
+def with_reviewer_context(
+    fct: DataFrame,
+    history: DataFrame,
+    rows_per_split: int = ROWS_PER_SPLIT,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
     """Each review with its reviewer's harshness context and signal flags.
 
-    A left sort-merge join on reviewer_id; a reviewer holding a large share of
-    the reviews is split across tasks by AQE's skew-join handling (the review
-    side of a left join may be split).
+    A left join on reviewer_id. The history already knows every reviewer's
+    review count, so reviewers above ``rows_per_split`` reviews are split
+    across tasks (their reviews spread by review key, their history row
+    replicated per split) — see ``revlens.operators.skew``.
     """
     ctx = history.select(
         "reviewer_id",
@@ -79,7 +86,12 @@ def with_reviewer_context(fct: DataFrame, history: DataFrame) -> DataFrame:
         "reviewer_tendency",
         "is_prolific_reviewer",
     )
-    j = fct.join(ctx, "reviewer_id", "left")
+    counts = history.select("reviewer_id", "lifetime_review_count")
+    spread = ["review_key"] if "review_key" in fct.columns else ()
+    j = split_hot_join(
+        fct, ctx, "reviewer_id", "left", spread=spread, counts=counts, count_col="lifetime_review_count",
+        rows_per_split=rows_per_split, max_hot_keys=max_hot_keys,
+    )
     t = F.col("reviewer_tendency")
     return j.select(
         *fct.columns,

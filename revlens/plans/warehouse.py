@@ -2,8 +2,8 @@
 
 ``Warehouse`` wires the operators in dependency order. Each model is built
 lazily on first use. With ``materialize="table"`` the models that several
-marts read (the review fact table, reviewer history, product dimension and
-the review context) are written once to the session's shared checkpoint
+marts read (the review fact table, reviewer history and product dimension)
+are written once to the session's shared checkpoint
 folder and re-read, which cuts lineage: a lost executor re-reads files rather
 than recomputing joins and dedup windows. With ``materialize="ephemeral"``
 everything stays one lazy plan (what the registered queries use).
@@ -31,7 +31,9 @@ from revlens.session import scratch_path
 # fixed values: columns tracked by the product history (check strategy)
 PRODUCT_CHECK_COLS = ["product_title", "brand", "category_group", "subcategory", "price_bucket", "amazon_average_rating"]
 
-SHARED_MODELS = ("fct_reviews", "reviewer_history", "dim_products", "reviews_with_context")
+# Read by several marts; the review-level context is left lazy because its
+# readers need a few columns, which a pruned scan of the fact table supplies.
+SHARED_MODELS = ("fct_reviews", "reviewer_history", "dim_products")
 
 
 class Warehouse:
