@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens import functions as RF
+from revlens.operators.skew import ROWS_PER_SPLIT, split_hot_join
 
 
 def check_not_null(df: DataFrame, col: str) -> DataFrame:
@@ -40,10 +41,16 @@ def check_accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFram
     )
 
 
-def check_relationship(df: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows whose non-null ``col`` has no ``field`` match in ``parent`` (anti join)."""
-    p = parent.select(F.col(field).alias("__parent_key"))
-    return df.where(F.col(col).isNotNull()).join(p, F.col(col) == F.col("__parent_key"), "left_anti")
+def check_relationship(
+    df: DataFrame, col: str, parent: DataFrame, field: str, rows_per_split: int = ROWS_PER_SPLIT
+) -> DataFrame:
+    """Child rows whose non-null ``col`` has no ``field`` match in ``parent`` (anti join).
+
+    Child keys with more than ``rows_per_split`` rows are split across tasks
+    (``revlens.operators.skew``); the result is the plain anti join's.
+    """
+    p = parent.select(F.col(field).alias(col)).distinct()
+    return split_hot_join(df.where(F.col(col).isNotNull()), p, col, "left_anti", rows_per_split=rows_per_split)
 
 
 def check_non_negative(df: DataFrame, col: str) -> DataFrame:

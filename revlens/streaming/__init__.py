@@ -1,0 +1,8 @@
+"""Streaming.
+
+The warehouse this library reproduces is batch-only: every model is a full
+rebuild (views, ephemeral CTEs and tables), with no incremental models, event
+time, watermarks or state. There is therefore no streaming operator here. The
+rollups' exact distinct counts also have no exact Structured Streaming form
+(streaming aggregations support only approximate distinct counts).
+"""
