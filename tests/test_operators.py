@@ -95,3 +95,17 @@ def test_materialized_warehouse_equals_lazy(spark):
     table = warehouse(spark, SF_SMALL, materialize="table")
     a, b = lazy.mart_products_at_risk, table.mart_products_at_risk
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_default_seed_rules(spark):
+    from revlens.sources.seeds import default_category_mapping, default_subcategory_rules
+
+    titles = [(1, "Hydrating Face Cream 50ml"), (2, "Lip Gloss + Mascara set"), (3, "Makeup Sponge Mirror"),
+              (4, "Round Brush with Mirror"), (5, "Plain soap")]
+    df = spark.createDataFrame(titles, "id int, title string")
+    got = dict((r.id, r.subcategory) for r in classify_by_rules(df, F.lower("title"), default_subcategory_rules(spark)).collect())
+    # equal priority → alphabetical label; priority 10 beats the priority-5 tools rule
+    assert got == {1: "Skincare", 2: "Eye Makeup", 3: "Beauty Tools", 4: "Hair Tools", 5: "Uncategorized"}
+    m = map_lookup(spark.createDataFrame([("Premium Beauty",), ("Other",)], "main_category string"),
+                   default_category_mapping(spark), "main_category", {"category_group": "Unknown", "is_premium": False})
+    assert sorted(tuple(r) for r in m.collect()) == [("Other", "Unknown", False), ("Premium Beauty", "Beauty", True)]
