@@ -19,12 +19,17 @@ from pyspark.sql import functions as F
 META_COLUMNS = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
 
-def _scd_id(key: str, as_of) -> F.Column:
-    return F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(as_of).cast("timestamp_ntz").cast("string")))
+def _ts(as_of) -> F.Column:
+    """A naive timestamp literal, independent of the session and process time zones."""
+    if isinstance(as_of, dt.datetime):
+        as_of = as_of.isoformat(sep=" ")
+    elif isinstance(as_of, dt.date):
+        as_of = as_of.isoformat() + " 00:00:00"
+    return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
-def _ts(as_of) -> F.Column:
-    return F.lit(as_of).cast("timestamp_ntz")
+def _scd_id(key: str, as_of) -> F.Column:
+    return F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), _ts(as_of).cast("string")))
 
 
 def scd2_initial(current: DataFrame, key: str, as_of: dt.datetime) -> DataFrame:
@@ -104,7 +109,7 @@ def scd2_apply(
 
 def scd2_as_of(history: DataFrame, ts) -> DataFrame:
     """H3: the version of every key that was valid at ``ts``."""
-    t = F.lit(ts).cast("timestamp_ntz")
+    t = _ts(ts)
     return history.where((F.col("valid_from") <= t) & (F.col("valid_to").isNull() | (F.col("valid_to") > t)))
 
 

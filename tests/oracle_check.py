@@ -50,6 +50,24 @@ def duck_conn(sf_dir):
     return con
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT",
+    "smallint": "SMALLINT", "tinyint": "TINYINT",
+}
+
+
+def type_mismatches(spark_types: dict, duck_types: dict) -> list[str]:
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    out = []
+    for c, t in spark_types.items():
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        got = duck_types.get(c)
+        if got is not None and got != want and not (t.startswith("array") and got.endswith("[]")):
+            out.append(f"{c}: spark {t} vs duck {got}")
+    return out
+
+
 def compare(spark_cols, spark_rows, duck_cols, duck_rows):
     msgs = []
     if sorted(spark_cols) != sorted(duck_cols):
@@ -110,6 +128,9 @@ def main():
             bad += 1
             continue
         msgs = compare(scols, srows, dcols, drows)
+        tm = type_mismatches(dict(df.dtypes), {c: str(t) for c, t in zip(rel.columns, rel.types)})
+        if tm:
+            msgs.append("types differ: " + "; ".join(tm))
         if msgs:
             bad += 1
             print(f"FAIL {name} ({len(srows)} rows, {ts:.1f}s)")
