@@ -70,12 +70,21 @@ class Check:
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Q6: one (check, column, failures) row per check.
 
-    Row-local checks (not_null, accepted_values, non_negative) share a single
-    aggregation pass; unique and relationship checks add one aggregation or
-    anti join each.
+    * not_null / non_negative: counted together in one aggregation pass (plain
+      partial aggregates, no ``Expand``);
+    * accepted_values: one filtered branch per check — only rows with a value
+      outside the list survive the scan, then their distinct values are counted
+      (the failure count is the number of distinct bad values);
+    * unique: one aggregation per check; relationship: child rows pre-counted
+      per key, then an anti join at key grain.
     """
     spark = df.sparkSession
     fused, parts = [], []
+
+    def row(i: int, ch: Check, failures) -> list:
+        return [F.lit(i).alias("ord"), F.lit(ch.kind).alias("check"), F.lit(ch.column).alias("column"),
+                failures.cast("long").alias("failures")]
+
     for i, ch in enumerate(checks):
         c = F.col(ch.column)
         if ch.kind == "not_null":
@@ -83,21 +92,17 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         elif ch.kind == "non_negative":
             fused.append((i, ch, RF.count_if(c < 0)))
         elif ch.kind == "accepted_values":
-            bad = F.when(c.isNotNull() & ~c.isin(list(ch.values)), c)
-            fused.append((i, ch, F.countDistinct(bad)))
+            bad = df.where(c.isNotNull() & ~c.isin(list(ch.values))).select(c.alias("__v")).distinct()
+            parts.append(bad.agg(*row(i, ch, F.count(F.lit(1)))))
         elif ch.kind == "unique":
-            parts.append(check_unique(df, ch.column).agg(
-                F.lit(i).alias("ord"), F.lit("unique").alias("check"), F.lit(ch.column).alias("column"),
-                F.count(F.lit(1)).alias("failures")))
+            parts.append(check_unique(df, ch.column).agg(*row(i, ch, F.count(F.lit(1)))))
         elif ch.kind == "relationship":
             # count child rows per key first: the anti join then runs at key
             # grain, so a key holding a large share of the rows is one row
             per_key = df.where(c.isNotNull()).groupBy(c.alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
             p = ch.parent.select(F.col(ch.parent_field).alias("__pk"))
             orphans = per_key.join(p, F.col("__k") == F.col("__pk"), "left_anti")
-            parts.append(orphans.agg(
-                F.lit(i).alias("ord"), F.lit("relationship").alias("check"), F.lit(ch.column).alias("column"),
-                F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("failures")))
+            parts.append(orphans.agg(*row(i, ch, F.coalesce(F.sum("__n"), F.lit(0)))))
         else:
             raise ValueError(ch.kind)
     if fused:

@@ -86,7 +86,7 @@ def q_top_at_risk(spark, sf_dir):
 
 
 def q_date_bounds(spark, sf_dir):
-    return date_bounds(warehouse(spark, sf_dir).fct_reviews)
+    return date_bounds(warehouse(spark, sf_dir).stg_reviews)
 
 
 def q_global_avg_rating(spark, sf_dir):

@@ -109,7 +109,9 @@ class Warehouse:
 
     @cached_property
     def dim_dates(self) -> DataFrame:
-        return date_dimension(self.fct_reviews)
+        # dedup keeps every review date, so the staged reviews give the same
+        # bounds without the dedup shuffle
+        return date_dimension(self.stg_reviews)
 
     @cached_property
     def fct_reviews_daily(self) -> DataFrame:
