@@ -2,8 +2,8 @@
 
 ``Warehouse`` wires the operators in dependency order. Each model is built
 lazily on first use. With ``materialize="table"`` the models that several
-marts read (the review fact table, reviewer history and product dimension)
-are written once to the session's shared checkpoint
+marts read (the review fact table, reviewer history, staged products and
+product dimension) are written once to the session's shared checkpoint
 folder and re-read, which cuts lineage: a lost executor re-reads files rather
 than recomputing joins and dedup windows. With ``materialize="ephemeral"``
 everything stays one lazy plan (what the registered queries use).
@@ -12,6 +12,7 @@ everything stays one lazy plan (what the registered queries use).
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from functools import cached_property
 
@@ -33,7 +34,7 @@ PRODUCT_CHECK_COLS = ["product_title", "brand", "category_group", "subcategory",
 
 # Read by several marts; the review-level context is left lazy because its
 # readers need a few columns, which a pruned scan of the fact table supplies.
-SHARED_MODELS = ("fct_reviews", "reviewer_history", "dim_products")
+SHARED_MODELS = ("fct_reviews", "reviewer_history", "stg_products", "dim_products")
 
 
 class Warehouse:
@@ -46,6 +47,7 @@ class Warehouse:
         materialize: str = "ephemeral",
         classify_method: str = "auto",
         run_id: str | None = None,
+        output_root: str | None = None,
     ):
         self.raw_reviews = reviews
         self.raw_products = products
@@ -54,12 +56,19 @@ class Warehouse:
         self.materialize = materialize
         self.classify_method = classify_method
         self.run_id = run_id or uuid.uuid4().hex[:12]
+        self.output_root = output_root.rstrip("/") if output_root else None
         self.spark = reviews.sparkSession
+        self._lock = threading.Lock()
+
+    def _path(self, name: str) -> str:
+        if self.output_root:
+            return f"{self.output_root}/{name}"
+        return scratch_path(self.spark, f"{self.run_id}/{name}")
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if self.materialize != "table" or name not in SHARED_MODELS:
             return df
-        path = scratch_path(self.spark, f"{self.run_id}/{name}")
+        path = self._path(name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
@@ -70,12 +79,19 @@ class Warehouse:
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return stg_products(self.raw_products, self.mapping, self.rules, self.classify_method)
+        return self._keep("stg_products", stg_products(self.raw_products, self.mapping, self.rules, self.classify_method))
+
+    @property
+    def _dated_reviews(self) -> DataFrame:
+        """Cheapest source of review dates: dedup keeps every date, so staged and
+        deduplicated reviews hold the same set; a materialized fact table is a
+        one-column scan, otherwise the staged reviews avoid the dedup shuffle."""
+        return self.fct_reviews if self.materialize == "table" else self.stg_reviews
 
     @cached_property
     def latest_review_date(self):
-        """Scalar anchor: the latest review date (equal over staged and deduped reviews)."""
-        return self.stg_reviews.agg(F.max("reviewed_date")).scalar()
+        """Scalar anchor: the latest review date."""
+        return self._dated_reviews.agg(F.max("reviewed_date")).scalar()
 
     # core ---------------------------------------------------------------
     @cached_property
@@ -109,9 +125,7 @@ class Warehouse:
 
     @cached_property
     def dim_dates(self) -> DataFrame:
-        # dedup keeps every review date, so the staged reviews give the same
-        # bounds without the dedup shuffle
-        return date_dimension(self.stg_reviews)
+        return date_dimension(self._dated_reviews)
 
     @cached_property
     def fct_reviews_daily(self) -> DataFrame:
@@ -150,6 +164,45 @@ class Warehouse:
     def marts(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.MARTS}
 
+    # Models by dependency level: everything in a level only reads models of
+    # earlier levels, so a level's models can run as concurrent Spark jobs.
+    LEVELS = (
+        ("fct_reviews", "reviewer_history", "stg_products"),
+        ("dim_products", "dim_reviewers", "dim_dates", "fct_reviews_daily", "fct_reviews_monthly"),
+        ("dim_categories", "mart_category_performance", "mart_products_at_risk"),
+    )
+
+    def build(self, threads: int = 4, extra: dict | None = None) -> dict[str, float]:
+        """Run every mart (and ``extra`` name → callable(wh) → DataFrame jobs) level by level.
+
+        Shared models are materialized (``materialize="table"``); the other
+        marts are written to ``output_root/<name>`` when set, else executed
+        through the ``noop`` sink. Returns seconds per model.
+        """
+        import time
+        from concurrent.futures import ThreadPoolExecutor
+
+        timings: dict[str, float] = {}
+
+        def run(name: str, make=None) -> None:
+            t0 = time.perf_counter()
+            df = make(self) if make else getattr(self, name)
+            if not (self.materialize == "table" and name in SHARED_MODELS):
+                if self.output_root:
+                    df.write.mode("overwrite").parquet(self._path(name))
+                else:
+                    df.write.format("noop").mode("overwrite").save()
+            with self._lock:
+                timings[name] = round(time.perf_counter() - t0, 3)
+
+        levels = [list(level) for level in self.LEVELS]
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            for level in levels:
+                list(pool.map(run, level))
+            if extra:
+                list(pool.map(lambda kv: run(kv[0], kv[1]), extra.items()))
+        return timings
+
 
 def build_warehouse(reviews, products, mapping, rules, materialize: str = "table", **kw) -> dict[str, DataFrame]:
     """Every mart of the warehouse as a DataFrame (shared models materialized once)."""
