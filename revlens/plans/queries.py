@@ -22,6 +22,7 @@ from revlens.operators.risk import top_at_risk
 from revlens.operators.rollups import date_bounds
 from revlens.operators.scd2 import scd2_apply, scd2_as_of
 from revlens.operators.staging import clean_products
+from revlens.plans.checks import SUITE, run_suite
 from revlens.plans.warehouse import PRODUCT_CHECK_COLS, Warehouse
 from revlens.sources.fixtures import AS_OF_V1, AS_OF_V2, Inputs
 from revlens.sources.io import stringify_nested
@@ -144,21 +145,19 @@ def q_check_non_negative(spark, sf_dir):
 
 
 def fact_checks(wh: Warehouse) -> list[Q.Check]:
-    """The fact table's column tests (grain, FK, enumerations, not-nulls)."""
-    return [
-        Q.Check("not_null", "review_key"),
-        Q.Check("unique", "review_key"),
-        Q.Check("not_null", "product_id"),
-        Q.Check("relationship", "product_id", parent=wh.dim_products, parent_field="product_id"),
-        Q.Check("not_null", "reviewer_id"),
-        Q.Check("not_null", "rating"),
-        Q.Check("accepted_values", "rating", values=[1, 2, 3, 4, 5]),
-        Q.Check("not_null", "sentiment_bucket"),
-        Q.Check("accepted_values", "sentiment_bucket", values=["positive", "neutral", "negative"]),
-        Q.Check("accepted_values", "review_length_bucket", values=["short", "medium"]),
-        Q.Check("not_null", "reviewed_at"),
-        Q.Check("non_negative", "review_text_length"),
-    ]
+    """The fact table's column tests from the suite (grain, FK, enumerations, not-nulls)."""
+    out = []
+    for model, kind, column, arg in SUITE:
+        if model != "fct_reviews":
+            continue
+        if kind == "relationship":
+            pm, pc = arg.split(".")
+            out.append(Q.Check(kind, column, parent=getattr(wh, pm), parent_field=pc))
+        elif kind == "accepted_values":
+            out.append(Q.Check(kind, column, values=arg))
+        else:
+            out.append(Q.Check(kind, column))
+    return out
 
 
 def q_run_checks(spark, sf_dir):
@@ -166,6 +165,10 @@ def q_run_checks(spark, sf_dir):
     return Q.run_checks(wh.fct_reviews, fact_checks(wh))
 
 
+def q_warehouse_checks(spark, sf_dir):
+    return run_suite(warehouse(spark, sf_dir))
+
+
 # --- profiling / sources ----------------------------------------------------
 
 def q_value_counts(spark, sf_dir):
@@ -257,6 +260,7 @@ QUERIES: dict[str, Query] = {
     "check_relationship": q_check_relationship,
     "check_non_negative": q_check_non_negative,
     "run_checks": q_run_checks,
+    "warehouse_checks": q_warehouse_checks,
     # step 9: profiling and sources
     "value_counts": q_value_counts,
     "value_share": q_value_share,
