@@ -125,7 +125,7 @@ SUITE = [
 def model_tables(wh) -> dict[str, DataFrame]:
     """Every model the suite tests, by name (lazy; shared models as materialized)."""
     names = sorted({m for m, *_ in SUITE} - {"raw_reviews", "raw_products", "category_mapping", "subcategory_rules"})
-    tables = {n: getattr(wh, n) for n in names}
+    tables = {n: wh.table(n) for n in names}
     tables.update(
         raw_reviews=wh.raw_reviews, raw_products=wh.raw_products,
         category_mapping=wh.mapping, subcategory_rules=wh.rules,

@@ -59,6 +59,7 @@ class Warehouse:
         self.output_root = output_root.rstrip("/") if output_root else None
         self.spark = reviews.sparkSession
         self._lock = threading.Lock()
+        self._written: dict[str, DataFrame] = {}
 
     def _path(self, name: str) -> str:
         if self.output_root:
@@ -70,7 +71,14 @@ class Warehouse:
             return df
         path = self._path(name)
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        written = self.spark.read.parquet(path)
+        with self._lock:
+            self._written[name] = written
+        return written
+
+    def table(self, name: str) -> DataFrame:
+        """A model by name: its written table when the build wrote it, else the lazy plan."""
+        return self._written.get(name) if name in self._written else getattr(self, name)
 
     # staging ------------------------------------------------------------
     @cached_property
@@ -176,8 +184,9 @@ class Warehouse:
         """Run every mart (and ``extra`` name → callable(wh) → DataFrame jobs) level by level.
 
         Shared models are materialized (``materialize="table"``); the other
-        marts are written to ``output_root/<name>`` when set, else executed
-        through the ``noop`` sink. Returns seconds per model.
+        marts are written to ``output_root/<name>`` when set (and later reads,
+        e.g. the test suite, use the written tables), else executed through the
+        ``noop`` sink. Returns seconds per model.
         """
         import time
         from concurrent.futures import ThreadPoolExecutor
@@ -188,8 +197,11 @@ class Warehouse:
             t0 = time.perf_counter()
             df = make(self) if make else getattr(self, name)
             if not (self.materialize == "table" and name in SHARED_MODELS):
-                if self.output_root:
+                if self.output_root and make is None:
                     df.write.mode("overwrite").parquet(self._path(name))
+                    written = self.spark.read.parquet(self._path(name))
+                    with self._lock:
+                        self._written[name] = written
                 else:
                     df.write.format("noop").mode("overwrite").save()
             with self._lock:

@@ -109,3 +109,19 @@ def test_default_seed_rules(spark):
     m = map_lookup(spark.createDataFrame([("Premium Beauty",), ("Other",)], "main_category string"),
                    default_category_mapping(spark), "main_category", {"category_group": "Unknown", "is_premium": False})
     assert sorted(tuple(r) for r in m.collect()) == [("Other", "Unknown", False), ("Premium Beauty", "Beauty", True)]
+
+
+def test_build_writes_every_model(spark, tmpdir_path):
+    import os
+
+    from revlens.plans.checks import run_suite
+
+    wh = warehouse(spark, SF_SMALL, materialize="table", output_root=f"{tmpdir_path}/marts")
+    timings = wh.build(threads=3, extra={"column_tests": run_suite})
+    names = {n for level in wh.LEVELS for n in level}
+    assert names <= set(timings) and "column_tests" in timings
+    assert names <= set(os.listdir(f"{tmpdir_path}/marts"))
+    lazy = warehouse(spark, SF_SMALL)
+    for name in ("mart_products_at_risk", "fct_reviews_daily", "dim_dates"):
+        a, b = wh.table(name), getattr(lazy, name)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
