@@ -88,22 +88,30 @@ def signal_counts(ctx: DataFrame) -> DataFrame:
     )
 
 
-def trailing_window(df: DataFrame, date_col: str = "reviewed_date", days: int = 90, anchor=None) -> DataFrame:
+def trailing_window(
+    df: DataFrame, date_col: str = "reviewed_date", days: int = 90, anchor=None, ts_col: str | None = None
+) -> DataFrame:
     """P25: rows within ``days`` of the latest date in the data (inclusive).
 
-    The anchor (default: a scalar subquery over ``df``) is evaluated once; on a
-    file scan it is also applied as a runtime filter.
+    The anchor (default: a scalar subquery over ``df``) is evaluated once. When
+    ``ts_col`` is the timestamp the date was taken from, the cutoff is applied
+    to it instead (``ts >= midnight of the cutoff day`` ⟺ ``date >= cutoff``):
+    a timestamp that is a dedup key lets Catalyst push the filter below the
+    dedup window and toward the scan, so only the trailing rows are deduped.
     """
     if anchor is None:
         anchor = df.agg(F.max(date_col)).scalar()
-    return df.where(F.col(date_col) >= F.date_sub(anchor, days))
+    cutoff = F.date_sub(anchor, days)
+    if ts_col is not None:
+        return df.where(F.col(ts_col) >= cutoff.cast("timestamp_ntz"))
+    return df.where(F.col(date_col) >= cutoff)
 
 
 def recent_sentiment(fct: DataFrame, days: int = 90, anchor=None) -> DataFrame:
     """A10: trailing-window average rating, negatives and volume per product."""
-    recent = trailing_window(
-        fct.select("product_id", "reviewed_date", "rating", "sentiment_bucket"), "reviewed_date", days, anchor
-    )
+    ts_col = "reviewed_at" if "reviewed_at" in fct.columns else None
+    cols = ["product_id", "reviewed_date", "rating", "sentiment_bucket"] + ([ts_col] if ts_col else [])
+    recent = trailing_window(fct.select(*cols), "reviewed_date", days, anchor, ts_col=ts_col)
     return recent.groupBy("product_id").agg(
         RF.round_half_away(F.avg("rating"), 2).alias("avg_rating_last_90d"),
         RF.count_if(F.col("sentiment_bucket") == "negative").alias("negative_count_last_90d"),
