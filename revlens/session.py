@@ -83,3 +83,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a materialized intermediate table next to the checkpoints."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def scale_conf(
+    input_bytes: int,
+    total_cores: int,
+    shuffle_expansion: float = 1.0,
+    target_partition_bytes: int = 256 << 20,
+    scan_split_bytes: int = 512 << 20,
+) -> dict[str, str]:
+    """Partition sizing for a cluster run, from the input size and core count.
+
+    * initial shuffle partitions ≈ shuffled bytes / target partition size
+      (``shuffle_expansion`` = shuffled bytes per input byte; the fact-table
+      dedup shuffles whole review rows, ≈ 1.0), at least 2 × cores so every
+      core has work; AQE coalesces small ones back toward the advisory size,
+      so over-estimating is cheap and under-estimating spills;
+    * scan splits of ``scan_split_bytes`` keep per-task input bounded;
+    * a partition counts as skewed at 4 × the median and > 2 × the advisory
+      size, and is then split by AQE (plain shuffle joins) — hot keys behind
+      an aggregate are split by ``revlens.operators.skew``.
+
+    Example: 100 TB of reviews on 1,000 executors × 8 cores →
+    ``scale_conf(100 << 40, 8000)`` gives 409,600 initial shuffle partitions.
+    """
+    shuffled = max(1, int(input_bytes * shuffle_expansion))
+    partitions = max(2 * total_cores, -(-shuffled // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }

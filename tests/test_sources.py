@@ -73,3 +73,12 @@ def test_sample_n_threshold_path_equals_direct(spark, monkeypatch):
     # repeatable and seed-dependent
     assert sorted(direct) == sorted(r.k for r in sampling.sample_n(df, 400, 7, "k").collect())
     assert sorted(direct) != sorted(r.k for r in sampling.sample_n(df, 400, 8, "k").collect())
+
+
+def test_scale_conf_sizes_partitions():
+    from revlens.session import scale_conf
+
+    big = scale_conf(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    small = scale_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
