@@ -91,6 +91,7 @@ def scale_conf(
     shuffle_expansion: float = 1.0,
     target_partition_bytes: int = 256 << 20,
     scan_split_bytes: int = 512 << 20,
+    max_partitions: int = 100_000,
 ) -> dict[str, str]:
     """Partition sizing for a cluster run, from the input size and core count.
 
@@ -104,11 +105,17 @@ def scale_conf(
       size, and is then split by AQE (plain shuffle joins) — hot keys behind
       an aggregate are split by ``revlens.operators.skew``.
 
+    * at most ``max_partitions`` reducers: map tasks × reducers is the number
+      of shuffle blocks, so past ~100k the reducers get larger (and spill)
+      instead of more numerous.
+
     Example: 100 TB of reviews on 1,000 executors × 8 cores →
-    ``scale_conf(100 << 40, 8000)`` gives 409,600 initial shuffle partitions.
+    ``scale_conf(100 << 40, 8000)`` gives 100,000 initial shuffle partitions
+    of ~1 GB (409,600 uncapped at 256 MB).
     """
     shuffled = max(1, int(input_bytes * shuffle_expansion))
     partitions = max(2 * total_cores, -(-shuffled // target_partition_bytes))
+    partitions = min(partitions, max(max_partitions, 2 * total_cores))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),

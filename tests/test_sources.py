@@ -79,6 +79,7 @@ def test_scale_conf_sizes_partitions():
     from revlens.session import scale_conf
 
     big = scale_conf(100 << 40, 8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.shuffle.partitions"] == "100000"  # capped: 409,600 at 256 MB
+    assert scale_conf(1 << 40, 8000)["spark.sql.shuffle.partitions"] == "16000"  # 2 × cores
     small = scale_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
