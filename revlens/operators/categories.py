@@ -56,4 +56,6 @@ def category_performance(ctx: DataFrame, products: DataFrame, sort: bool = True)
         RF.rating_delta("generous_reviewer_avg_rating", "harsh_reviewer_avg_rating", 2).alias("polarization_score"),
         RF.category_health("overall_avg_rating", "negative_review_pct").alias("category_health"),
     )
-    return out.orderBy(F.col("total_reviews").desc_nulls_last()) if sort else out
+    order = [F.col("total_reviews").desc_nulls_last(), F.col("category_group").asc_nulls_last(),
+             F.col("subcategory").asc_nulls_last()]
+    return out.orderBy(*order) if sort else out

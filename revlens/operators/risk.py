@@ -161,7 +161,10 @@ def products_at_risk(
         ).alias("risk_score"),
         risk_tier(F.col("negative_review_pct"), F.col("our_review_count")).alias("risk_tier"),
     )
-    return scored.orderBy(F.col("risk_score").desc_nulls_last()) if sort else scored
+    # the unique id as a tiebreaker lets the range partitioner split runs of
+    # equal scores (most products share a few score values)
+    order = [F.col("risk_score").desc_nulls_last(), F.col("product_id").asc_nulls_last()]
+    return scored.orderBy(*order) if sort else scored
 
 
 def top_at_risk(at_risk: DataFrame, k: int = 20) -> DataFrame:
