@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this size the top-n is not taken directly (each task would ship n rows
-# to the single final task); a hash-threshold pre-filter comes first.
+# The direct top-n ships n rows from every partition into one final task; it is
+# used only while n × partitions stays under this many rows, otherwise a
+# distributed hash-threshold pre-filter comes first.
 DIRECT_TOP_N = 10_000
+MAX_FINAL_TASK_ROWS = 5_000_000
 
 
 def sample_key(seed: int | str, key: str) -> F.Column:
@@ -18,7 +20,8 @@ def sample_n(df: DataFrame, n: int, seed: int | str, key: str, oversample: float
     """The ``n`` rows with the smallest md5(seed || key) (ties by key).
 
     Deterministic for a given seed and unique key, independent of partitioning.
-    Small ``n`` plans as one ``TakeOrderedAndProject``. Large ``n`` first keeps
+    Small ``n`` (with n × partitions ≤ ``MAX_FINAL_TASK_ROWS``) plans as one
+    ``TakeOrderedAndProject``. Otherwise it first keeps
     rows whose hash prefix falls under a threshold sized from the row count
     (a distributed filter), verifies the filtered set holds at least ``n`` rows
     (raising the threshold if not), then takes the exact top ``n`` of that
@@ -27,7 +30,7 @@ def sample_n(df: DataFrame, n: int, seed: int | str, key: str, oversample: float
     """
     h = sample_key(seed, key)
     ordered = [F.col("__h").asc(), F.col(key).asc_nulls_last()]
-    if n <= DIRECT_TOP_N:
+    if n <= DIRECT_TOP_N and n * df.rdd.getNumPartitions() <= MAX_FINAL_TASK_ROWS:
         return df.withColumn("__h", h).orderBy(*ordered).limit(n).drop("__h")
     total = df.count()
     if total <= n:
