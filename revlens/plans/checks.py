@@ -147,7 +147,7 @@ def run_suite(wh) -> DataFrame:
             ch = Check(kind, column)
         by_model.setdefault(model, []).append(ch)
     out = None
-    for order, (model, checks) in enumerate(by_model.items()):
+    for model, checks in by_model.items():
         part = run_checks(tables[model], checks).select(
             F.lit(model).alias("model"), "check", "column", "failures"
         )

@@ -42,7 +42,6 @@ def test_read_reviews_drops_images_and_prunes(spark, tmpdir_path):
         .write.parquet(p)
     df = io.read_reviews(spark, p)
     assert df.columns == ["text", "asin"]
-    from revlens.operators.staging import clean_reviews  # noqa: F401
     plan = df.where(F.col("text").isNotNull()).select("text")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(text)]" in plan and "images" not in plan
 
