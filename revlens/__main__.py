@@ -4,7 +4,8 @@
     python -m revlens test     --reviews R --products P --mapping M.csv --rules R.csv [--out DIR]
     python -m revlens snapshot --products P --mapping M.csv --rules R.csv --history DIR [--as-of TS]
 
-Inputs are parquet paths (files, directories or globs) and seed CSVs. The
+Inputs are parquet or JSON-lines paths (files, directories or globs;
+``--format json``) and seed CSVs. The
 session comes from ``spark-submit``/the environment; only a local session
 without ``spark.checkpoint.dir`` gets a scratch checkpoint folder.
 """
@@ -21,8 +22,8 @@ def _inputs(spark, a):
     from revlens.sources.fixtures import MAPPING_SCHEMA, RULES_SCHEMA
     from revlens.sources.io import read_products, read_reviews, read_seed
 
-    reviews = read_reviews(spark, a.reviews) if getattr(a, "reviews", None) else None
-    products = read_products(spark, a.products)
+    reviews = read_reviews(spark, a.reviews, fmt=a.format) if getattr(a, "reviews", None) else None
+    products = read_products(spark, a.products, fmt=a.format)
     mapping = read_seed(spark, a.mapping, MAPPING_SCHEMA, max_rows=1_000_000)
     rules = read_seed(spark, a.rules, RULES_SCHEMA, max_rows=100_000)
     return reviews, products, mapping, rules
@@ -38,6 +39,8 @@ def main(argv=None) -> int:
         s.add_argument("--products", required=True)
         s.add_argument("--mapping", required=True)
         s.add_argument("--rules", required=True)
+        s.add_argument("--format", default="parquet", choices=["parquet", "json"],
+                       help="raw review/product files: parquet or JSON lines")
         if name == "build":
             s.add_argument("--out", required=True)
             s.add_argument("--threads", type=int, default=4)

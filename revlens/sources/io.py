@@ -15,16 +15,86 @@ from pyspark.sql import types as T
 from revlens.session import scratch_path
 
 
-def read_products(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One scan over every product file (a directory, glob or list)."""
+# Raw record layouts of the public review dataset (JSON lines or parquet).
+REVIEW_SCHEMA = T.StructType([
+    T.StructField("rating", T.DoubleType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("images", T.ArrayType(T.StructType([
+        T.StructField("small_image_url", T.StringType()),
+        T.StructField("medium_image_url", T.StringType()),
+        T.StructField("large_image_url", T.StringType()),
+        T.StructField("attachment_type", T.StringType()),
+    ]))),
+    T.StructField("asin", T.StringType()),
+    T.StructField("parent_asin", T.StringType()),
+    T.StructField("user_id", T.StringType()),
+    T.StructField("timestamp", T.LongType()),
+    T.StructField("helpful_vote", T.IntegerType()),
+    T.StructField("verified_purchase", T.BooleanType()),
+])
+PRODUCT_SCHEMA = T.StructType([
+    T.StructField("main_category", T.StringType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("average_rating", T.DoubleType()),
+    T.StructField("rating_number", T.IntegerType()),
+    T.StructField("features", T.ArrayType(T.StringType())),
+    T.StructField("description", T.ArrayType(T.StringType())),
+    T.StructField("price", T.StringType()),
+    T.StructField("images", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+    T.StructField("videos", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+    T.StructField("store", T.StringType()),
+    T.StructField("categories", T.ArrayType(T.StringType())),
+    T.StructField("details", T.StringType()),
+    T.StructField("parent_asin", T.StringType()),
+    T.StructField("bought_together", T.ArrayType(T.StringType())),
+])
+
+
+def _read(spark: SparkSession, paths, fmt: str, schema: T.StructType | None, merge_schema: bool) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.parquet(*paths)
-
-
-def read_reviews(spark: SparkSession, paths: str | Sequence[str], drop: Iterable[str] = ("images",)) -> DataFrame:
-    """Review records without the nested ``images`` column (pruned from the scan)."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.parquet(*paths)
+    if fmt == "parquet":
+        r = spark.read.option("mergeSchema", str(merge_schema).lower())
+        return (r.schema(schema) if schema is not None else r).parquet(*paths)
+    if fmt == "json":
+        # an explicit schema: no inference pass over the input; numbers read
+        # into string fields keep their text (e.g. a numeric price)
+        return spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths)
+    raise ValueError(f"unsupported format {fmt!r}")
+
+
+def read_products(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+    merge_schema: bool = False,
+) -> DataFrame:
+    """One scan over every product file (a directory, glob or list).
+
+    ``fmt="json"`` reads JSON lines with ``schema`` (default ``PRODUCT_SCHEMA``);
+    ``merge_schema`` reconciles parquet files whose columns differ.
+    """
+    if fmt == "json" and schema is None:
+        schema = PRODUCT_SCHEMA
+    return _read(spark, paths, fmt, schema, merge_schema)
+
+
+def read_reviews(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    drop: Iterable[str] = ("images",),
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Review records without the nested ``images`` column (pruned from the scan).
+
+    ``fmt="json"`` reads JSON lines with ``schema`` (default ``REVIEW_SCHEMA``,
+    timestamps as epoch milliseconds).
+    """
+    if fmt == "json" and schema is None:
+        schema = REVIEW_SCHEMA
+    df = _read(spark, paths, fmt, schema, False)
     return df.drop(*[c for c in drop if c in df.columns])
 
 

@@ -82,3 +82,39 @@ def test_scale_conf_sizes_partitions():
     assert scale_conf(1 << 40, 8000)["spark.sql.shuffle.partitions"] == "16000"  # 2 × cores
     small = scale_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_json_lines_reviews_and_products(spark, tmpdir_path):
+    """Raw JSON lines: epoch-millisecond timestamps, numeric/None prices, nested columns."""
+    import datetime as dt
+
+    from revlens.operators.staging import clean_reviews, stg_products
+    from revlens.sources.fixtures import category_mapping, subcategory_rules
+
+    rev = [
+        {"rating": 5.0, "title": "Great", "text": "Loved it", "images": [{"small_image_url": "u"}], "asin": "A1",
+         "parent_asin": "P1", "user_id": "U1", "timestamp": 1588687728923, "helpful_vote": 2, "verified_purchase": True},
+        {"rating": 2.0, "title": "Meh", "text": "", "images": [], "asin": "A2", "parent_asin": "P1",
+         "user_id": "U2", "timestamp": 1588687728000, "helpful_vote": 0, "verified_purchase": False},
+    ]
+    prod = [
+        {"main_category": "SMALL", "title": "Small Ring", "average_rating": 4.5, "rating_number": 10,
+         "features": ["a"], "price": 12.5, "store": "S", "parent_asin": "P1", "categories": []},
+        {"main_category": "PROMO", "title": "Bolt", "average_rating": 3.0, "rating_number": None,
+         "price": "None", "parent_asin": "P2"},
+    ]
+    with open(f"{tmpdir_path}/reviews.jsonl", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rev))
+    with open(f"{tmpdir_path}/products.jsonl", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in prod))
+    reviews = io.read_reviews(spark, f"{tmpdir_path}/reviews.jsonl", fmt="json")
+    assert "images" not in reviews.columns
+    stg = clean_reviews(reviews).collect()
+    assert len(stg) == 1  # empty text dropped
+    assert stg[0].reviewed_at == dt.datetime(2020, 5, 5, 14, 8, 48, 923000)  # epoch ms, UTC session
+    products = io.read_products(spark, f"{tmpdir_path}/products.jsonl", fmt="json")
+    out = {r.product_id: r for r in stg_products(products, category_mapping(spark), subcategory_rules(spark)).collect()}
+    assert out["P1"].price_usd == 12.5 and out["P1"].price_bucket == "10_to_25" and out["P1"].subcategory == "Rings"
+    assert out["P2"].price_usd is None and out["P2"].category_group == "Unknown" and out["P2"].is_new_or_unreviewed
+    flat = io.stringify_nested(products)
+    assert json.loads(flat.where("parent_asin = 'P1'").first().features) == ["a"]
