@@ -180,13 +180,26 @@ class Warehouse:
         ("dim_categories", "mart_category_performance", "mart_products_at_risk"),
     )
 
-    def build(self, threads: int = 4, extra: dict | None = None) -> dict[str, float]:
-        """Run every mart (and ``extra`` name → callable(wh) → DataFrame jobs) level by level.
+    # Tests of a model run alongside the level after the one that builds it
+    # (inputs and staged reviews with the first level; relationship tests once
+    # their parent exists).
+    TEST_LEVELS = (
+        ("raw_reviews", "raw_products", "category_mapping", "subcategory_rules", "stg_reviews"),
+        ("stg_products", "reviewer_history", "product_review_stats", "reviews_with_context"),
+        ("fct_reviews", "dim_products", "dim_reviewers", "dim_dates", "fct_reviews_daily", "fct_reviews_monthly"),
+        ("dim_categories", "mart_category_performance", "mart_products_at_risk"),
+    )
+
+    def build(self, threads: int = 4, extra: dict | None = None, tests: bool = False) -> dict[str, float]:
+        """Run every mart level by level, optionally with the column tests.
 
         Shared models are materialized (``materialize="table"``); the other
         marts are written to ``output_root/<name>`` when set (and later reads,
-        e.g. the test suite, use the written tables), else executed through the
-        ``noop`` sink. Returns seconds per model.
+        e.g. the tests, use the written tables), else executed through the
+        ``noop`` sink. With ``tests`` each model's column tests run as a job of
+        the level after the model is built (``TEST_LEVELS``). ``extra`` maps
+        names to callables (wh → DataFrame) run after the last level. Returns
+        seconds per model / test group.
         """
         import time
         from concurrent.futures import ThreadPoolExecutor
@@ -207,12 +220,20 @@ class Warehouse:
             with self._lock:
                 timings[name] = round(time.perf_counter() - t0, 3)
 
-        levels = [list(level) for level in self.LEVELS]
+        from revlens.plans.checks import run_suite
+
+        def test(model: str):
+            return (f"tests:{model}", lambda wh: run_suite(wh, [model]))
+
+        jobs = [[(name, None) for name in level] for level in self.LEVELS] + [[]]
+        if tests:
+            for i, models in enumerate(self.TEST_LEVELS):
+                jobs[i] += [test(m) for m in models]
+        if extra:
+            jobs.append(list(extra.items()))
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-            for level in levels:
-                list(pool.map(run, level))
-            if extra:
-                list(pool.map(lambda kv: run(kv[0], kv[1]), extra.items()))
+            for level in jobs:
+                list(pool.map(lambda job: run(*job), level))
         return timings
 
 

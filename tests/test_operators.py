@@ -111,15 +111,26 @@ def test_default_seed_rules(spark):
     assert sorted(tuple(r) for r in m.collect()) == [("Other", "Unknown", False), ("Premium Beauty", "Beauty", True)]
 
 
+def wh_levels():
+    from revlens.plans.warehouse import Warehouse
+
+    return Warehouse.TEST_LEVELS
+
+
 def test_build_writes_every_model(spark, tmpdir_path):
     import os
 
     from revlens.plans.checks import run_suite
 
+    from revlens.plans.checks import suite_models
+
+    tested = [m for level in wh_levels() for m in level]
+    assert sorted(tested) == sorted(suite_models())  # every tested model, once
     wh = warehouse(spark, SF_SMALL, materialize="table", output_root=f"{tmpdir_path}/marts")
-    timings = wh.build(threads=3, extra={"column_tests": run_suite})
+    timings = wh.build(threads=3, tests=True, extra={"column_tests": run_suite})
     names = {n for level in wh.LEVELS for n in level}
     assert names <= set(timings) and "column_tests" in timings
+    assert {f"tests:{m}" for m in tested} <= set(timings)
     assert names <= set(os.listdir(f"{tmpdir_path}/marts"))
     lazy = warehouse(spark, SF_SMALL)
     for name in ("mart_products_at_risk", "fct_reviews_daily", "dim_dates"):
