@@ -103,14 +103,20 @@ def trailing_window(
         anchor = df.agg(F.max(date_col)).scalar()
     cutoff = F.date_sub(anchor, days)
     if ts_col is not None:
-        return df.where(F.col(ts_col) >= cutoff.cast("timestamp_ntz"))
-    return df.where(F.col(date_col) >= cutoff)
+        out = df.where(F.col(ts_col) >= cutoff.cast("timestamp_ntz"))
+    else:
+        out = df.where(F.col(date_col) >= cutoff)
+    if "review_month" in df.columns:
+        # month-partitioned table: prune whole partitions at runtime
+        out = out.where(F.col("review_month") >= F.trunc(cutoff, "month"))
+    return out
 
 
 def recent_sentiment(fct: DataFrame, days: int = 90, anchor=None) -> DataFrame:
     """A10: trailing-window average rating, negatives and volume per product."""
     ts_col = "reviewed_at" if "reviewed_at" in fct.columns else None
     cols = ["product_id", "reviewed_date", "rating", "sentiment_bucket"] + ([ts_col] if ts_col else [])
+    cols += ["review_month"] if "review_month" in fct.columns else []
     recent = trailing_window(fct.select(*cols), "reviewed_date", days, anchor, ts_col=ts_col)
     return recent.groupBy("product_id").agg(
         RF.round_half_away(F.avg("rating"), 2).alias("avg_rating_last_90d"),

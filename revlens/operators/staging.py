@@ -75,11 +75,18 @@ def clean_reviews(
     )
 
 
-def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title")) -> DataFrame:
+def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title"), cluster_by_month: bool = False) -> DataFrame:
     """W1 + F3 + P5–P7: one row per (reviewer, product, time) with derived buckets.
 
     Duplicates keep the longest text, then the most helpful votes; ``tiebreak``
-    (ascending) makes remaining ties repeatable.
+    (ascending) makes remaining ties repeatable. The dedup keeps its hash
+    exchange so the partial ``WindowGroupLimit`` cuts any group of copies to
+    one row per map task before the shuffle.
+
+    ``cluster_by_month`` adds ``review_month`` (first day of the review's month)
+    and range-partitions the deduplicated rows on (month, review key) — the key
+    is unique, so every month splits evenly across tasks — ready to be written
+    partitioned by month with one or two month directories per task.
     """
     best = keep_best(
         stg,
@@ -87,7 +94,7 @@ def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title")) -> Data
         order=[F.col("review_text_length").desc_nulls_last(), F.col("helpful_vote_count").desc_nulls_last()],
         tiebreak=list(tiebreak),
     )
-    return best.select(
+    out = best.select(
         RF.surrogate_key("reviewer_id", "product_id", "reviewed_at").alias("review_key"),
         "product_id", "variant_id", "reviewer_id", "review_title", "review_text",
         "review_text_length", "review_word_count_approx", "rating", "helpful_vote_count",
@@ -96,6 +103,11 @@ def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title")) -> Data
         RF.review_length_bucket("review_text_length").alias("review_length_bucket"),
         RF.has_votes("helpful_vote_count").alias("has_helpful_votes"),
     )
+    if cluster_by_month:
+        out = out.withColumn("review_month", F.trunc("reviewed_date", "month")).repartitionByRange(
+            F.col("review_month").asc_nulls_last(), F.col("review_key").asc()
+        )
+    return out
 
 
 def dedupe_products(raw: DataFrame, key: str = "parent_asin", count_col: str = "rating_number", tiebreak=("title",)) -> DataFrame:

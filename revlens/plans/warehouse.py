@@ -66,11 +66,14 @@ class Warehouse:
             return f"{self.output_root}/{name}"
         return scratch_path(self.spark, f"{self.run_id}/{name}")
 
-    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+    def _keep(self, name: str, df: DataFrame, partition_by: tuple = ()) -> DataFrame:
         if self.materialize != "table" or name not in SHARED_MODELS:
             return df
         path = self._path(name)
-        df.write.mode("overwrite").parquet(path)
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
         written = self.spark.read.parquet(path)
         with self._lock:
             self._written[name] = written
@@ -98,13 +101,25 @@ class Warehouse:
 
     @cached_property
     def latest_review_date(self):
-        """Scalar anchor: the latest review date."""
-        return self._dated_reviews.agg(F.max("reviewed_date")).scalar()
+        """Scalar anchor: the latest review date.
+
+        On the month-partitioned fact table only the newest month's partition is
+        read (its month comes from partition metadata).
+        """
+        src = self._dated_reviews
+        if "review_month" in src.columns:
+            last_month = src.agg(F.max("review_month")).scalar()
+            src = src.where(F.col("review_month") == last_month)
+        return src.agg(F.max("reviewed_date")).scalar()
 
     # core ---------------------------------------------------------------
     @cached_property
     def fct_reviews(self) -> DataFrame:
-        return self._keep("fct_reviews", fct_reviews(self.stg_reviews))
+        if self.materialize == "table":
+            # written partitioned by month: trailing-window reads prune partitions
+            fct = fct_reviews(self.stg_reviews, cluster_by_month=True)
+            return self._keep("fct_reviews", fct, partition_by=("review_month",))
+        return fct_reviews(self.stg_reviews)
 
     @cached_property
     def product_review_stats(self) -> DataFrame:

@@ -136,3 +136,19 @@ def test_build_writes_every_model(spark, tmpdir_path):
     for name in ("mart_products_at_risk", "fct_reviews_daily", "dim_dates"):
         a, b = wh.table(name), getattr(lazy, name)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_month_partitioned_fact_table(spark, tmpdir_path):
+    from revlens.operators.staging import fct_reviews
+
+    lazy = warehouse(spark, SF_SMALL)
+    plan = fct_reviews(lazy.stg_reviews, cluster_by_month=True)._jdf.queryExecution().executedPlan().toString()
+    # dedup keeps its partial group limit before the hash exchange; the month layout comes after
+    assert plan.count("WindowGroupLimit") == 2 and "rangepartitioning(review_month" in plan
+    wh = warehouse(spark, SF_SMALL, materialize="table", output_root=f"{tmpdir_path}/m")
+    assert "review_month" in wh.fct_reviews.columns
+    recent = wh.recent_sentiment
+    scan = [l for l in recent._jdf.queryExecution().executedPlan().toString().split("\n") if "PartitionFilters" in l]
+    assert any("review_month" in l.split("PartitionFilters")[1] for l in scan)
+    a, b = recent, lazy.recent_sentiment
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
