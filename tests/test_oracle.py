@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle on the smallest scale factor,
 plus plan-shape checks (no cartesian products, product-grain joins)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -33,11 +35,20 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "risk_score" in df.columns
 
 
+WINDOW = re.compile(r"\bWindow \[.*?\], \[(.*?)\], \[")
+
+
 @pytest.mark.parametrize("name", NAMES)
-def test_no_cartesian_products(spark, name):
+def test_plan_shape(spark, name):
+    """No cartesian products, no nested-loop joins but the rule theta join, no
+    window over the whole table (every Window has partition keys)."""
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan or name == "classify_by_rules_join"
+    for line in plan.split("\n"):
+        if " Window [" in line:
+            m = WINDOW.search(line)
+            assert m and m.group(1).strip(), f"window without partition keys: {line[:200]}"
 
 
 def test_category_join_is_product_grain(spark):
