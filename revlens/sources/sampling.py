@@ -20,8 +20,8 @@ def sample_n(df: DataFrame, n: int, seed: int | str, key: str, oversample: float
     """The ``n`` rows with the smallest md5(seed || key) (ties by key).
 
     Deterministic for a given seed and unique key, independent of partitioning.
-    Small ``n`` (with n × partitions ≤ ``MAX_FINAL_TASK_ROWS``) plans as one
-    ``TakeOrderedAndProject``. Otherwise it first keeps
+    Small ``n`` (with n × partitions ≤ ``MAX_FINAL_TASK_ROWS``, partitions
+    estimated from the session) plans as one ``TakeOrderedAndProject``. Otherwise it first keeps
     rows whose hash prefix falls under a threshold sized from the row count
     (a distributed filter), verifies the filtered set holds at least ``n`` rows
     (raising the threshold if not), then takes the exact top ``n`` of that
@@ -30,7 +30,11 @@ def sample_n(df: DataFrame, n: int, seed: int | str, key: str, oversample: float
     """
     h = sample_key(seed, key)
     ordered = [F.col("__h").asc(), F.col(key).asc_nulls_last()]
-    if n <= DIRECT_TOP_N and n * df.rdd.getNumPartitions() <= MAX_FINAL_TASK_ROWS:
+    # partitions feeding the top-n, estimated from the session without running
+    # anything (asking an adaptive plan for its RDD would execute its shuffles)
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    if n <= DIRECT_TOP_N and n * parts <= MAX_FINAL_TASK_ROWS:
         return df.withColumn("__h", h).orderBy(*ordered).limit(n).drop("__h")
     total = df.count()
     if total <= n:
