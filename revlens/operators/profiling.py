@@ -62,14 +62,17 @@ def coverage(left: DataFrame, left_key: str, right: DataFrame, right_key: str, d
 def profile_joined_categories(products: DataFrame, reviews: DataFrame, key: str = "parent_asin", category: str = "main_category") -> DataFrame:
     """Per category, products that have reviews and the reviews they get.
 
-    Reviews are pre-counted per key before the join, so the join is at product
-    grain and a hot product never lands in one join task.
+    Both sides are counted per key first — reviews per product id, product rows
+    per (id, category) — so the join runs at key grain: neither a hot product
+    nor a product id with many copies lands in one join task. The joined count
+    is Σ product rows × reviews, as the row-level join would give.
     """
     per_key = reviews.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    j = products.select(key, category).join(per_key, key)
+    per_product = products.where(F.col(key).isNotNull()).groupBy(key, category).agg(F.count(F.lit(1)).alias("__m"))
+    j = per_product.join(per_key, key)
     return (
         j.groupBy(category)
-        .agg(F.countDistinct(key).alias("products"), F.sum("__n").cast("long").alias("review_count"))
+        .agg(F.count(F.lit(1)).alias("products"), F.sum(F.col("__m") * F.col("__n")).cast("long").alias("review_count"))
         .orderBy(F.col("review_count").desc(), F.col(category).asc_nulls_last())
     )
 
