@@ -70,16 +70,17 @@ class Check:
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Q6: one (check, column, failures) row per check.
 
-    * not_null / non_negative: counted together in one aggregation pass (plain
-      partial aggregates, no ``Expand``);
-    * accepted_values: one filtered branch per check — only rows with a value
-      outside the list survive the scan, then their distinct values are counted
-      (the failure count is the number of distinct bad values);
+    * not_null / non_negative / accepted_values share ONE pass over ``df``: it
+      groups by the offending value of each accepted-values check (null for
+      good rows) and sums the null / negative counts. Good rows collapse into
+      a single all-null group in each map task, so only distinct offending
+      combinations reach the shuffle; a final aggregate over that small result
+      counts the distinct bad values per check (no ``Expand`` over the input);
     * unique: one aggregation per check; relationship: child rows pre-counted
       per key, then an anti join at key grain.
     """
     spark = df.sparkSession
-    fused, parts = [], []
+    counted, accepted, parts = [], [], []
 
     def row(i: int, ch: Check, failures) -> list:
         return [F.lit(i).alias("ord"), F.lit(ch.kind).alias("check"), F.lit(ch.column).alias("column"),
@@ -88,12 +89,11 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     for i, ch in enumerate(checks):
         c = F.col(ch.column)
         if ch.kind == "not_null":
-            fused.append((i, ch, RF.count_if(c.isNull())))
+            counted.append((i, ch, RF.count_if(c.isNull())))
         elif ch.kind == "non_negative":
-            fused.append((i, ch, RF.count_if(c < 0)))
+            counted.append((i, ch, RF.count_if(c < 0)))
         elif ch.kind == "accepted_values":
-            bad = df.where(c.isNotNull() & ~c.isin(list(ch.values))).select(c.alias("__v")).distinct()
-            parts.append(bad.agg(*row(i, ch, F.count(F.lit(1)))))
+            accepted.append((i, ch, F.when(c.isNotNull() & ~c.isin(list(ch.values)), c)))
         elif ch.kind == "unique":
             parts.append(check_unique(df, ch.column).agg(*row(i, ch, F.count(F.lit(1)))))
         elif ch.kind == "relationship":
@@ -105,12 +105,19 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             parts.append(orphans.agg(*row(i, ch, F.coalesce(F.sum("__n"), F.lit(0)))))
         else:
             raise ValueError(ch.kind)
-    if fused:
-        one = df.agg(*[e.alias(f"f{i}") for i, _, e in fused])
+    if counted or accepted:
+        grouped = df.groupBy(*[bad.alias(f"b{i}") for i, _, bad in accepted]).agg(
+            F.count(F.lit(1)).alias("__rows"), *[e.alias(f"f{i}") for i, _, e in counted]
+        )
+        one = grouped.agg(
+            F.lit(0).alias("__dummy"),
+            *[F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"r{i}") for i, _, _ in counted],
+            *[F.countDistinct(f"b{i}").alias(f"r{i}") for i, _, _ in accepted],
+        )
         stack = F.array(*[
             F.struct(F.lit(i).alias("ord"), F.lit(ch.kind).alias("check"), F.lit(ch.column).alias("column"),
-                     F.col(f"f{i}").cast("long").alias("failures"))
-            for i, ch, _ in fused
+                     F.col(f"r{i}").cast("long").alias("failures"))
+            for i, ch, _ in sorted(counted + accepted, key=lambda t: t[0])
         ])
         parts.insert(0, one.select(F.explode(stack).alias("r")).select("r.*"))
     if not parts:
