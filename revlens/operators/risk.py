@@ -134,10 +134,30 @@ RISK_COLUMNS = [
 ]
 
 
+def review_signals(ctx: DataFrame, days: int = 90, anchor=None) -> DataFrame:
+    """A9 + A10 in one pass: high-signal counts and trailing-window sentiment per product.
+
+    Both are per-product aggregates over the same review rows, so one
+    aggregation computes them; the trailing-window figures are conditional
+    aggregates and are null for products without reviews in the window (as
+    an outer join with ``recent_sentiment`` would leave them).
+    """
+    if anchor is None:
+        anchor = ctx.agg(F.max("reviewed_date")).scalar()
+    recent = F.col("reviewed_date") >= F.date_sub(anchor, days)
+    n_recent = F.count(F.when(recent, F.lit(1)))
+    return ctx.groupBy("product_id").agg(
+        RF.count_if(F.col("is_high_signal_negative")).alias("high_signal_negative_count"),
+        RF.count_if(F.col("is_high_signal_positive")).alias("high_signal_positive_count"),
+        RF.round_half_away(F.avg(F.when(recent, F.col("rating"))), 2).alias("avg_rating_last_90d"),
+        F.when(n_recent > 0, RF.count_if(recent & (F.col("sentiment_bucket") == "negative"))).alias("negative_count_last_90d"),
+        F.when(n_recent > 0, n_recent).alias("review_count_last_90d"),
+    )
+
+
 def products_at_risk(
     dim_products: DataFrame,
     ctx: DataFrame,
-    fct: DataFrame,
     days: int = 90,
     weights: RiskWeights = RiskWeights(),
     sort: bool = True,
@@ -145,11 +165,13 @@ def products_at_risk(
 ) -> DataFrame:
     """Reviewed products + signal counts + recent sentiment → score and tier.
 
-    All three inputs are product-grain aggregates joined on product_id, so the
-    joins never see review-level skew.
+    The review-level inputs are reduced to one row per product in a single
+    aggregation (``review_signals``) and joined to the product dimension on
+    product_id, so the join never sees review-level skew and the reviews are
+    aggregated once.
     """
     products = dim_products.where(F.col("our_review_count") > 0)
-    j = products.join(signal_counts(ctx), "product_id", "left").join(recent_sentiment(fct, days, anchor), "product_id", "left")
+    j = products.join(review_signals(ctx, days, anchor), "product_id", "left")
     delta = RF.rating_delta("avg_rating_last_90d", "our_avg_rating", 2)
     scored = j.select(
         "product_id", "product_title", "brand", "subcategory", "category_group", "is_premium", "price_bucket",

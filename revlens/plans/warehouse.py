@@ -172,9 +172,7 @@ class Warehouse:
 
     @cached_property
     def mart_products_at_risk(self) -> DataFrame:
-        return products_at_risk(
-            self.dim_products, self.reviews_with_context, self.fct_reviews, anchor=self.latest_review_date
-        )
+        return products_at_risk(self.dim_products, self.reviews_with_context, anchor=self.latest_review_date)
 
     def snapshot_products(self, history: DataFrame | None, as_of: dt.datetime) -> DataFrame:
         return scd2_apply(history, self.stg_products, "product_id", PRODUCT_CHECK_COLS, as_of)
