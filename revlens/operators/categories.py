@@ -10,19 +10,11 @@ from revlens import functions as RF
 TENDENCIES = ("harsh", "generous", "balanced")
 
 
-def category_performance(ctx: DataFrame, products: DataFrame, sort: bool = True) -> DataFrame:
-    """Scorecard per (category_group, subcategory), split by reviewer tendency.
-
-    Reviews are first reduced to one row per product (sums and counts, map-side
-    partial aggregation), then joined to the products' category columns and
-    re-aggregated. Averages are rebuilt as sum / count, which is exact for
-    integer ratings, so the result equals a review-level join + group-by while
-    the join runs at product grain (no hot-product skew, no review-sized
-    shuffle into the join).
-    """
+def tendency_aggregates() -> list:
+    """Per-product partial sums/counts the scorecard is rebuilt from (aggregate columns)."""
     r = F.col("rating")
     t = F.col("reviewer_tendency")
-    per_product = ctx.groupBy("product_id").agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.sum(r).cast("long").alias("r_sum"),
         F.count(r).alias("r_n"),
@@ -31,7 +23,22 @@ def category_performance(ctx: DataFrame, products: DataFrame, sort: bool = True)
         *[F.count(F.when(t == k, F.lit(1))).alias(f"{k}_rows") for k in TENDENCIES],
         RF.count_if(F.col("sentiment_bucket") == "negative").alias("neg"),
         RF.count_if(F.col("is_verified_purchase")).alias("ver"),
-    )
+    ]
+
+
+def category_performance(ctx: DataFrame, products: DataFrame, sort: bool = True, per_product: DataFrame | None = None) -> DataFrame:
+    """Scorecard per (category_group, subcategory), split by reviewer tendency.
+
+    Reviews are first reduced to one row per product (sums and counts, map-side
+    partial aggregation), then joined to the products' category columns and
+    re-aggregated. Averages are rebuilt as sum / count, which is exact for
+    integer ratings, so the result equals a review-level join + group-by while
+    the join runs at product grain (no hot-product skew, no review-sized
+    shuffle into the join). ``per_product`` may pass that reduction in when it
+    is already computed (it must hold the ``tendency_aggregates`` columns).
+    """
+    if per_product is None:
+        per_product = ctx.groupBy("product_id").agg(*tendency_aggregates())
     cats = products.select("product_id", "category_group", "subcategory")
     joined = per_product.join(cats, "product_id")
 

@@ -134,6 +134,25 @@ RISK_COLUMNS = [
 ]
 
 
+SIGNAL_COLUMNS = [
+    "high_signal_negative_count", "high_signal_positive_count",
+    "avg_rating_last_90d", "negative_count_last_90d", "review_count_last_90d",
+]
+
+
+def signal_aggregates(anchor, days: int = 90) -> list:
+    """A9 + A10 as aggregate columns over review rows (see ``review_signals``)."""
+    recent = F.col("reviewed_date") >= F.date_sub(anchor, days)
+    n_recent = F.count(F.when(recent, F.lit(1)))
+    return [
+        RF.count_if(F.col("is_high_signal_negative")).alias("high_signal_negative_count"),
+        RF.count_if(F.col("is_high_signal_positive")).alias("high_signal_positive_count"),
+        RF.round_half_away(F.avg(F.when(recent, F.col("rating"))), 2).alias("avg_rating_last_90d"),
+        F.when(n_recent > 0, RF.count_if(recent & (F.col("sentiment_bucket") == "negative"))).alias("negative_count_last_90d"),
+        F.when(n_recent > 0, n_recent).alias("review_count_last_90d"),
+    ]
+
+
 def review_signals(ctx: DataFrame, days: int = 90, anchor=None) -> DataFrame:
     """A9 + A10 in one pass: high-signal counts and trailing-window sentiment per product.
 
@@ -144,15 +163,7 @@ def review_signals(ctx: DataFrame, days: int = 90, anchor=None) -> DataFrame:
     """
     if anchor is None:
         anchor = ctx.agg(F.max("reviewed_date")).scalar()
-    recent = F.col("reviewed_date") >= F.date_sub(anchor, days)
-    n_recent = F.count(F.when(recent, F.lit(1)))
-    return ctx.groupBy("product_id").agg(
-        RF.count_if(F.col("is_high_signal_negative")).alias("high_signal_negative_count"),
-        RF.count_if(F.col("is_high_signal_positive")).alias("high_signal_positive_count"),
-        RF.round_half_away(F.avg(F.when(recent, F.col("rating"))), 2).alias("avg_rating_last_90d"),
-        F.when(n_recent > 0, RF.count_if(recent & (F.col("sentiment_bucket") == "negative"))).alias("negative_count_last_90d"),
-        F.when(n_recent > 0, n_recent).alias("review_count_last_90d"),
-    )
+    return ctx.groupBy("product_id").agg(*signal_aggregates(anchor, days))
 
 
 def products_at_risk(
@@ -162,16 +173,19 @@ def products_at_risk(
     weights: RiskWeights = RiskWeights(),
     sort: bool = True,
     anchor=None,
+    signals: DataFrame | None = None,
 ) -> DataFrame:
     """Reviewed products + signal counts + recent sentiment → score and tier.
 
     The review-level inputs are reduced to one row per product in a single
-    aggregation (``review_signals``) and joined to the product dimension on
-    product_id, so the join never sees review-level skew and the reviews are
-    aggregated once.
+    aggregation (``review_signals``, or a precomputed ``signals`` frame with
+    ``SIGNAL_COLUMNS``) and joined to the product dimension on product_id, so
+    the join never sees review-level skew and the reviews are aggregated once.
     """
     products = dim_products.where(F.col("our_review_count") > 0)
-    j = products.join(review_signals(ctx, days, anchor), "product_id", "left")
+    if signals is None:
+        signals = review_signals(ctx, days, anchor)
+    j = products.join(signals.select("product_id", *SIGNAL_COLUMNS), "product_id", "left")
     delta = RF.rating_delta("avg_rating_last_90d", "our_avg_rating", 2)
     scored = j.select(
         "product_id", "product_title", "brand", "subcategory", "category_group", "is_premium", "price_bucket",

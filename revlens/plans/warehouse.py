@@ -2,8 +2,8 @@
 
 ``Warehouse`` wires the operators in dependency order. Each model is built
 lazily on first use. With ``materialize="table"`` the models that several
-marts read (the review fact table, reviewer history, staged products and
-product dimension) are written once to the session's shared checkpoint
+marts read (the review fact table, reviewer history, staged products, product
+dimension and the per-product review aggregates) are written once to the session's shared checkpoint
 folder and re-read, which cuts lineage: a lost executor re-reads files rather
 than recomputing joins and dedup windows. With ``materialize="ephemeral"``
 everything stays one lazy plan (what the registered queries use).
@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.calendar import date_dimension
-from revlens.operators.categories import category_performance
+from revlens.operators.categories import category_performance, tendency_aggregates
 from revlens.operators.products import dim_products
 from revlens.operators.reviewers import dim_reviewers, reviewer_history, with_reviewer_context
-from revlens.operators.risk import products_at_risk, recent_sentiment, signal_counts
+from revlens.operators.risk import products_at_risk, recent_sentiment, signal_aggregates, signal_counts
 from revlens.operators.rollups import category_rollup, daily_rollup, monthly_rollup, product_review_stats
 from revlens.operators.scd2 import scd2_apply
 from revlens.operators.staging import clean_reviews, fct_reviews, stg_products
@@ -34,7 +34,7 @@ PRODUCT_CHECK_COLS = ["product_title", "brand", "category_group", "subcategory",
 
 # Read by several marts; the review-level context is left lazy because its
 # readers need a few columns, which a pruned scan of the fact table supplies.
-SHARED_MODELS = ("fct_reviews", "reviewer_history", "stg_products", "dim_products")
+SHARED_MODELS = ("fct_reviews", "reviewer_history", "stg_products", "dim_products", "product_review_facts")
 
 
 class Warehouse:
@@ -158,9 +158,16 @@ class Warehouse:
     def fct_reviews_monthly(self) -> DataFrame:
         return monthly_rollup(self.fct_reviews)
 
+    @cached_property
+    def product_review_facts(self) -> DataFrame:
+        """Per-product aggregates of the review context shared by the category
+        scorecard and the risk mart: one review-grain join + aggregation for both."""
+        aggs = tendency_aggregates() + signal_aggregates(self.latest_review_date)
+        return self._keep("product_review_facts", self.reviews_with_context.groupBy("product_id").agg(*aggs))
+
     @cached_property
     def mart_category_performance(self) -> DataFrame:
-        return category_performance(self.reviews_with_context, self.stg_products)
+        return category_performance(self.reviews_with_context, self.stg_products, per_product=self.product_review_facts)
 
     @cached_property
     def signal_counts(self) -> DataFrame:
@@ -172,7 +179,10 @@ class Warehouse:
 
     @cached_property
     def mart_products_at_risk(self) -> DataFrame:
-        return products_at_risk(self.dim_products, self.reviews_with_context, anchor=self.latest_review_date)
+        return products_at_risk(
+            self.dim_products, self.reviews_with_context, anchor=self.latest_review_date,
+            signals=self.product_review_facts,
+        )
 
     def snapshot_products(self, history: DataFrame | None, as_of: dt.datetime) -> DataFrame:
         return scd2_apply(history, self.stg_products, "product_id", PRODUCT_CHECK_COLS, as_of)
@@ -189,7 +199,8 @@ class Warehouse:
     # earlier levels, so a level's models can run as concurrent Spark jobs.
     LEVELS = (
         ("fct_reviews", "reviewer_history", "stg_products"),
-        ("dim_products", "dim_reviewers", "dim_dates", "fct_reviews_daily", "fct_reviews_monthly"),
+        ("dim_products", "dim_reviewers", "dim_dates", "fct_reviews_daily", "fct_reviews_monthly",
+         "product_review_facts"),
         ("dim_categories", "mart_category_performance", "mart_products_at_risk"),
     )
 
