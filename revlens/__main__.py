@@ -18,8 +18,8 @@ import sys
 
 
 def _inputs(spark, a):
-    from revlens.sources.fixtures import MAPPING_SCHEMA, RULES_SCHEMA
     from revlens.sources.io import read_products, read_reviews, read_seed
+    from revlens.sources.seeds import MAPPING_SCHEMA, RULES_SCHEMA
 
     reviews = read_reviews(spark, a.reviews, fmt=a.format) if getattr(a, "reviews", None) else None
     products = read_products(spark, a.products, fmt=a.format)

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens.sources.fixtures import MAPPING_SCHEMA, RULES_SCHEMA
 
+__all__ = ["MAPPING_SCHEMA", "RULES_SCHEMA", "CATEGORY_MAPPING", "SUBCATEGORY_RULES",
+           "default_category_mapping", "default_subcategory_rules"]
+
 # fixed values: main_category → (category_group, is_premium)
 CATEGORY_MAPPING = [
     ("All Beauty", "Beauty", False),
