@@ -3,6 +3,7 @@
     python -m revlens build    --reviews R --products P --mapping M.csv --rules R.csv --out DIR [--threads 4]
     python -m revlens test     --reviews R --products P --mapping M.csv --rules R.csv [--out DIR]
     python -m revlens snapshot --products P --mapping M.csv --rules R.csv --history DIR [--as-of TS]
+                                  (history stored append-only: DIR/run=N/kind=closed|open)
 
 Inputs are parquet or JSON-lines paths (files, directories or globs;
 ``--format json``) and seed CSVs. The session comes from ``spark-submit``/the environment; only a local session

@@ -3,9 +3,9 @@
 ``scd2_apply`` is a pure DataFrame function (old history + new load → new
 history) planned as one full outer join of the *open* versions with the new
 load on the key, followed by an ``explode`` of at most two versions per key,
-so every key is touched in a single shuffle. ``scd2_snapshot`` stores each
-history version as a new partition directory; the previous version stays
-readable (no in-place overwrite of a table that is being read).
+so every key is touched in a single shuffle. ``scd2_snapshot`` stores the
+history append-only (closed versions per run + the current open set), never
+overwriting a table that is being read; ``scd2_history`` reads it back.
 """
 
 from __future__ import annotations
@@ -113,6 +113,26 @@ def scd2_as_of(history: DataFrame, ts) -> DataFrame:
     return history.where((F.col("valid_from") <= t) & (F.col("valid_to").isNull() | (F.col("valid_to") > t)))
 
 
+def _latest_run(spark: SparkSession, root: str):
+    """(stored table, latest run number) or (None, None) when nothing is stored yet."""
+    try:
+        stored = spark.read.parquet(root)
+    except Exception:  # no history yet
+        return None, None
+    # the run number is a partition column: answered from the directory listing
+    return stored, stored.agg(F.max("run")).first()[0]
+
+
+def scd2_history(spark: SparkSession, root: str) -> DataFrame:
+    """The full history stored under ``root``: every closed version plus the open
+    versions of the latest run (both read with partition pruning)."""
+    stored, latest = _latest_run(spark, root)
+    if stored is None:
+        raise FileNotFoundError(root)
+    keep = (F.col("kind") == "closed") | ((F.col("kind") == "open") & (F.col("run") == latest))
+    return stored.where(keep).drop("run", "kind")
+
+
 def scd2_snapshot(
     spark: SparkSession,
     current: DataFrame,
@@ -121,18 +141,21 @@ def scd2_snapshot(
     check_cols: Sequence[str],
     as_of: dt.datetime,
 ) -> DataFrame:
-    """Apply a load to the history stored under ``root`` and store the result.
-
-    Versions live in ``root/version=N``; the newest is read (partition
-    pruning), the new history is appended as ``version=N+1``.
+    """Apply a load to the history stored under ``root``; return the new full history.
+
+    Storage is append-only and grows with the changes, not with the number of
+    runs × history: run ``N`` writes ``run=N/kind=closed`` (only the versions it
+    closes) and ``run=N/kind=open`` (the currently open versions). A run reads
+    just the previous run's open versions (partition pruning), so its cost is
+    proportional to the current table, whatever the length of the history.
+    Re-running a load is a no-op apart from a new open set.
     """
-    try:
-        stored = spark.read.parquet(root)
-        latest = stored.agg(F.max("version")).first()[0]
-    except Exception:  # no history yet
-        stored, latest = None, None
-    history = None if latest is None else stored.where(F.col("version") == latest).drop("version")
-    new = scd2_apply(history, current, key, check_cols, as_of)
-    version = 0 if latest is None else latest + 1
-    new.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(root)
-    return spark.read.parquet(root).where(F.col("version") == version).drop("version")
+    stored, latest = _latest_run(spark, root)
+    open_h = None
+    if latest is not None:
+        open_h = stored.where((F.col("run") == latest) & (F.col("kind") == "open")).drop("run", "kind")
+    out = scd2_apply(open_h, current, key, check_cols, as_of)
+    run = 0 if latest is None else latest + 1
+    kind = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
+    out.withColumn("run", F.lit(run)).withColumn("kind", kind).write.mode("append").partitionBy("run", "kind").parquet(root)
+    return scd2_history(spark, root)

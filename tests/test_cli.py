@@ -35,8 +35,9 @@ def test_cli_build_test_snapshot(spark, tmpdir_path, capsys):
     snap = ["--mapping", f"{root}/mapping.csv", "--rules", f"{root}/rules.csv", "--history", f"{root}/history"]
     assert main(["snapshot", "--products", f"{root}/products", *snap, "--as-of", "2024-01-01T00:00:00"]) == 0
     assert main(["snapshot", "--products", f"{root}/products_v2", *snap, "--as-of", "2024-02-01T00:00:00"]) == 0
+    from revlens.operators.scd2 import scd2_history
     from revlens.plans.queries import _history
 
-    stored = spark.read.parquet(f"{root}/history").where("version = 1").drop("version")
+    stored = scd2_history(spark, f"{root}/history")
     expect = _history(spark, SF_SMALL)
     assert stored.exceptAll(expect).count() == 0 and expect.exceptAll(stored).count() == 0
