@@ -84,7 +84,7 @@ def main() -> None:
     run_id = f"bench-{uuid.uuid4().hex[:8]}"
     out = scratch_path(spark, f"{run_id}/marts")
     wh = warehouse(spark, sf_dir, materialize="table", run_id=run_id, output_root=out)
-    wh.build(threads=4, tests=True)
+    breakdown = wh.build(threads=4, tests=True)
     build = round(time.perf_counter() - t0, 3)
     times["warehouse_build"] = build
 
@@ -96,6 +96,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "queries_total": queries_total,
+        "build_breakdown": breakdown,
         "deduplicated_reviews": reviews,
         "sf": sf,
         "cpus": cpus,
