@@ -26,10 +26,18 @@ def _sentiment_counts(prefix: str = "", suffix: str = "_review_count"):
     ]
 
 
-def product_review_stats(fct: DataFrame, approx_distinct: bool = False) -> DataFrame:
-    """A1: per-product review statistics over the deduplicated fact table."""
+STAT_AGG_COLUMNS = [
+    "review_count", "distinct_reviewer_count", "avg_rating", "min_rating", "max_rating", "rating_stddev",
+    "five_star_count", "four_star_count", "three_star_count", "two_star_count", "one_star_count",
+    "positive_review_count", "neutral_review_count", "negative_review_count",
+    "verified_purchase_review_count", "total_helpful_votes", "first_reviewed_date", "last_reviewed_date",
+]
+
+
+def product_stat_aggregates(approx_distinct: bool = False) -> list:
+    """A1's aggregate columns over review rows (finished by ``finish_product_stats``)."""
     r = F.col("rating")
-    agg = fct.groupBy("product_id").agg(
+    return [
         F.count(F.lit(1)).alias("review_count"),
         _distinct("reviewer_id", approx_distinct).alias("distinct_reviewer_count"),
         RF.round_half_away(F.avg(r), 2).alias("avg_rating"),
@@ -43,23 +51,25 @@ def product_review_stats(fct: DataFrame, approx_distinct: bool = False) -> DataF
         F.sum("helpful_vote_count").cast("long").alias("total_helpful_votes"),
         F.min("reviewed_date").alias("first_reviewed_date"),
         F.max("reviewed_date").alias("last_reviewed_date"),
-    )
+    ]
+
+
+def finish_product_stats(agg: DataFrame) -> DataFrame:
+    """Span and percentages over the A1 aggregates, in the published column order."""
     return agg.select(
-        "*",
+        "product_id", *STAT_AGG_COLUMNS,
         F.datediff("last_reviewed_date", "first_reviewed_date").cast("long").alias("review_span_days"),
         RF.pct("negative_review_count", "review_count").alias("negative_review_pct"),
         RF.pct("positive_review_count", "review_count").alias("positive_review_pct"),
         RF.pct("verified_purchase_review_count", "review_count").alias("verified_review_pct"),
-    ).select(
-        "product_id", "review_count", "distinct_reviewer_count", "avg_rating", "min_rating", "max_rating",
-        "rating_stddev", "five_star_count", "four_star_count", "three_star_count", "two_star_count",
-        "one_star_count", "positive_review_count", "neutral_review_count", "negative_review_count",
-        "verified_purchase_review_count", "total_helpful_votes", "first_reviewed_date",
-        "last_reviewed_date", "review_span_days", "negative_review_pct", "positive_review_pct",
-        "verified_review_pct",
     )
 
 
+def product_review_stats(fct: DataFrame, approx_distinct: bool = False) -> DataFrame:
+    """A1: per-product review statistics over the deduplicated fact table."""
+    return finish_product_stats(fct.groupBy("product_id").agg(*product_stat_aggregates(approx_distinct)))
+
+
 def daily_rollup(fct: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """A5/O1: one row per review date, sorted by date.
 

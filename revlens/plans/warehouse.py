@@ -24,7 +24,10 @@ from revlens.operators.categories import category_performance, tendency_aggregat
 from revlens.operators.products import dim_products
 from revlens.operators.reviewers import dim_reviewers, reviewer_history, with_reviewer_context
 from revlens.operators.risk import products_at_risk, recent_sentiment, signal_aggregates, signal_counts
-from revlens.operators.rollups import category_rollup, daily_rollup, monthly_rollup, product_review_stats
+from revlens.operators.rollups import (
+    STAT_AGG_COLUMNS, category_rollup, daily_rollup, finish_product_stats, monthly_rollup,
+    product_review_stats, product_stat_aggregates,
+)
 from revlens.operators.scd2 import scd2_apply
 from revlens.operators.staging import clean_reviews, fct_reviews, stg_products
 from revlens.session import scratch_path
@@ -123,6 +126,11 @@ class Warehouse:
 
     @cached_property
     def product_review_stats(self) -> DataFrame:
+        if self.materialize == "table":
+            # the review context holds the fact table's rows (a left join to one
+            # history row per reviewer), so the statistics come out of the shared
+            # per-product aggregate instead of a second pass over the fact table
+            return finish_product_stats(self.product_review_facts.select("product_id", *STAT_AGG_COLUMNS))
         return product_review_stats(self.fct_reviews)
 
     @cached_property
@@ -163,6 +171,8 @@ class Warehouse:
         """Per-product aggregates of the review context shared by the category
         scorecard and the risk mart: one review-grain join + aggregation for both."""
         aggs = tendency_aggregates() + signal_aggregates(self.latest_review_date)
+        if self.materialize == "table":
+            aggs += product_stat_aggregates()
         return self._keep("product_review_facts", self.reviews_with_context.groupBy("product_id").agg(*aggs))
 
     @cached_property
@@ -199,9 +209,9 @@ class Warehouse:
     # earlier levels, so a level's models can run as concurrent Spark jobs.
     LEVELS = (
         ("fct_reviews", "reviewer_history", "stg_products"),
-        ("dim_products", "dim_reviewers", "dim_dates", "fct_reviews_daily", "fct_reviews_monthly",
-         "product_review_facts"),
-        ("dim_categories", "mart_category_performance", "mart_products_at_risk"),
+        ("product_review_facts", "dim_reviewers", "dim_dates", "fct_reviews_daily", "fct_reviews_monthly"),
+        ("dim_products", "mart_category_performance"),
+        ("dim_categories", "mart_products_at_risk"),
     )
 
     # Tests of a model run alongside the level after the one that builds it
@@ -209,9 +219,10 @@ class Warehouse:
     # their parent exists).
     TEST_LEVELS = (
         ("raw_reviews", "raw_products", "category_mapping", "subcategory_rules", "stg_reviews"),
-        ("stg_products", "reviewer_history", "product_review_stats", "reviews_with_context"),
-        ("fct_reviews", "dim_products", "dim_reviewers", "dim_dates", "fct_reviews_daily", "fct_reviews_monthly"),
-        ("dim_categories", "mart_category_performance", "mart_products_at_risk"),
+        ("stg_products", "reviewer_history", "reviews_with_context"),
+        ("product_review_stats", "dim_reviewers", "dim_dates", "fct_reviews_daily", "fct_reviews_monthly"),
+        ("fct_reviews", "dim_products", "mart_category_performance"),
+        ("dim_categories", "mart_products_at_risk"),
     )
 
     def build(self, threads: int = 4, extra: dict | None = None, tests: bool = False) -> dict[str, float]:
