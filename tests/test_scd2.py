@@ -84,3 +84,26 @@ def test_snapshot_versions_on_disk(spark, tmpdir_path):
     assert [(r.run, r.kind, r["count"]) for r in parts] == [
         (0, "open", 2), (1, "closed", 1), (1, "open", 2), (2, "open", 2)]
     assert scd2_history(spark, root).count() == 3
+
+
+def test_snapshot_reads_only_the_previous_open_set(spark, tmpdir_path):
+    from revlens.operators.scd2 import _latest_run
+
+    root = f"{tmpdir_path}/snap"
+    scd2_snapshot(spark, load(spark, [("a", "x", "b", 1)]), root, "id", ["name"], T1)
+    scd2_snapshot(spark, load(spark, [("a", "y", "b", 1)]), root, "id", ["name"], T2)
+    stored, latest = _latest_run(spark, root)
+    assert latest == 1
+    open_h = stored.where((F.col("run") == latest) & (F.col("kind") == "open"))
+    plan = open_h._jdf.queryExecution().executedPlan().toString()
+    filters = [l.split("PartitionFilters: ")[1] for l in plan.split("\n") if "PartitionFilters: [" in l][0]
+    assert "run" in filters and "kind" in filters  # pruned to one directory
+
+
+def test_warehouse_snapshot_products(spark):
+    from revlens.plans.queries import warehouse
+
+    wh = warehouse(spark, SF_SMALL)
+    h = wh.snapshot_products(None, T1)
+    assert h.count() == wh.stg_products.count()
+    assert wh.snapshot_products(h, T2).exceptAll(h).count() == 0  # same load: no-op

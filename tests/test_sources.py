@@ -118,3 +118,11 @@ def test_json_lines_reviews_and_products(spark, tmpdir_path):
     assert out["P2"].price_usd is None and out["P2"].category_group == "Unknown" and out["P2"].is_new_or_unreviewed
     flat = io.stringify_nested(products)
     assert json.loads(flat.where("parent_asin = 'P1'").first().features) == ["a"]
+
+
+def test_read_products_merges_schemas(spark, tmpdir_path):
+    spark.createDataFrame([("P1", "t")], "parent_asin string, title string").write.parquet(f"{tmpdir_path}/p/a")
+    spark.createDataFrame([("P2", "t", 3)], "parent_asin string, title string, rating_number int") \
+        .write.parquet(f"{tmpdir_path}/p/b")
+    df = io.read_products(spark, [f"{tmpdir_path}/p/a", f"{tmpdir_path}/p/b"], merge_schema=True)
+    assert "rating_number" in df.columns and df.count() == 2
