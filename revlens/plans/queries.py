@@ -97,6 +97,8 @@ def q_global_avg_rating(spark, sf_dir):
 # --- history ----------------------------------------------------------------
 
 def _history(spark, sf_dir):
+    # both loads are staged products, unique per product_id by construction
+    # (dedup by key), so the duplicate-key validation — an eager job — is skipped
     i = Inputs(spark, sf_dir)
     v1 = build_stg_products(i.products(), i.mapping(), i.rules())
     v2 = build_stg_products(i.products_v2(), i.mapping(), i.rules())
