@@ -2,11 +2,14 @@
 
 ``Warehouse`` wires the operators in dependency order. Each model is built
 lazily on first use. With ``materialize="table"`` the models that several
-marts read (the review fact table, reviewer history, staged products, product
-dimension and the per-product review aggregates) are written once to the session's shared checkpoint
-folder and re-read, which cuts lineage: a lost executor re-reads files rather
-than recomputing joins and dedup windows. With ``materialize="ephemeral"``
-everything stays one lazy plan (what the registered queries use).
+marts read (the review fact table — partitioned by review month —, reviewer
+history, staged products, product dimension and the per-product review
+aggregates) are written once, under ``output_root`` or the session's shared
+checkpoint folder, and re-read, which cuts lineage: a lost executor re-reads
+files rather than recomputing joins and dedup windows. ``build`` runs every
+model level by level (independent models as concurrent jobs), optionally with
+the column tests. With ``materialize="ephemeral"`` everything stays one lazy
+plan (what the registered queries use).
 """
 
 from __future__ import annotations
