@@ -9,9 +9,11 @@ similarity. The work follows the number of elements and darts, not their product
 
 k = 160 coordinates make 32 bands of 5: at similarity 0.8 a pair shares no band with
 probability 3e-6. Exact copies are one text from the start. Texts of a band are linked
-to one of them, by their exact similarity; what these stars leave apart in a band is
-compared with all others of it, so no link of a band is lost and a large group costs
-its size, not its square.
+to one of them, by their exact similarity: a star, as long as the band. Where that
+leaves texts of a band in several classes, all texts that hang together by such bands
+(a crowd) are compared exactly, in parts of bounded size; of the links found, only
+those that join classes are returned. So no link of a band is lost, and no table of
+pairs grows with the square of a group.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from revlens.llm.common import PLAIN, U, apart, blocks, keyed, mix, seeds, shing
 from revlens.llm.components import components
 
 K, ROWS = 160, 5
+#: Texts of a crowd that are compared in one task, at most about twice.
+PART = 1024
 THRESHOLD = 0.8
 SHINGLE = 5
 
@@ -154,6 +158,68 @@ def similarity():
     return of
 
 
+def _elements(text: str) -> np.ndarray:
+    """Shingles of a text, the n-th occurrence of one told from the others: the weighted
+    similarity of two texts is the plain one of these sets."""
+    x = np.sort(shingles(word_hashes(np.frombuffer(text.encode(), np.uint8), PLAIN)[2], SHINGLE))
+    if not len(x):
+        return x
+    heads = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+    nth = np.arange(len(x)) - np.repeat(heads, np.diff(np.r_[heads, len(x)]))
+    return mix(x + mix(nth.astype(U)))
+
+
+def _joined(threshold: float):
+    """Compares the texts of a group exactly and returns the links that join its classes."""
+
+    def run(key, table):
+        import pyarrow as pa
+
+        tids, side = table["tid"].to_pylist(), table["side"].to_numpy()
+        sets = [_elements(x.as_py()) for x in table["text"]]
+        _, label = np.unique(np.array([x.hex() for x in table["root"].to_pylist()]), return_inverse=True)
+        size = np.array([len(x) for x in sets])
+        doc = np.repeat(np.arange(len(sets)), size)
+        _, number = np.unique(np.concatenate(sets), return_inverse=True) if size.sum() else (None, np.zeros(0, np.int64))
+        order = np.argsort(number, kind="stable")
+        holders = doc[order]
+        first = np.searchsorted(number[order], np.arange(number.max(initial=-1) + 2))
+        ends = np.r_[0, np.cumsum(size)]
+        out = []
+        two = side.max() > 0  # two parts of a crowd: compare across
+        for i in np.flatnonzero(side == 0) if two else range(len(sets)):
+            mine = number[ends[i] : ends[i + 1]]
+            a, n = first[mine], first[mine + 1] - first[mine]
+            at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            common = np.bincount(holders[at], minlength=len(sets))
+            near = common >= threshold * (size[i] + size - common) - 1e-12
+            near &= (common > 0) & (label != label[i])
+            if two:
+                near &= side == 1
+            for j in np.flatnonzero(near).tolist():
+                if label[j] != label[i]:
+                    out.append((tids[i], tids[j]))
+                    label[label == label[j]] = label[i]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
+
+    return run
+
+
+def _compared(crowd: DataFrame, roots: DataFrame, body: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between classes within each crowd: parts of PART texts, each against each.
+
+    What a group returns joins classes, so it is shorter than the group, never its square.
+    """
+    known = roots.select(F.col("node").alias("tid"), "root")
+    rows = crowd.join(known, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
+    sizes = rows.groupBy("crowd").agg(F.count("*").alias("n"), F.count_distinct("root").alias("classes")).where("classes > 1")
+    rows = rows.join(sizes, "crowd").withColumn("parts", F.ceil(F.col("n") / PART).cast("int"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("tid"), F.col("parts")).cast("int")).join(body, "tid")
+    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least("part", p).alias("i"), F.greatest("part", p).alias("j"), (F.col("part") > p).cast("int").alias("side")))
+    pairs = rows.select("crowd", "tid", "root", "text", F.inline(others))
+    return pairs.groupBy("crowd", "i", "j").applyInArrow(_joined(threshold), "a binary, b binary")
+
+
 # --- classes ---------------------------------------------------------------------------
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -195,15 +261,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     more = labelled(labelled(more, "a", roots, "ra"), "b", roots, "rb").where("ra <> rb").select("a", "b")
     links = links.union(verified(more))
     roots = written(components(links), "roots")
-    # then, in bands that still hold several classes, all that is not of the band's largest against the others
-    member = labelled(member, "tid", roots, "root")
-    sizes = member.groupBy("band", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("classes")).where("classes > 1")
-    member = written(member.join(largest, "band"), "mixed-bands")
-    apart = member.where("root <> largest").select("band", F.col("tid").alias("a"), F.col("root").alias("ra"), F.col("hub").alias("ha"))
-    other = member.select("band", F.col("tid").alias("b"), F.col("root").alias("rb"), "largest")
-    rest = apart.join(other, "band").where("ra <> rb and (rb = largest or a < b) and b <> ha and a <> ha").select("a", "b").distinct()
-    links = links.union(verified(rest))
+    # then all that share bands and are still in several classes, against each other
+    mixed = labelled(member, "tid", roots, "root")
+    mixed = mixed.join(mixed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high"), "band")
+    crowd = written(components(mixed.select(F.col("tid").alias("a"), F.col("hub").alias("b"))), "crowds")
+    links = links.union(written(_compared(crowd.select(F.col("node").alias("tid"), F.col("root").alias("crowd")), roots, body, threshold), "links"))
     roots = components(links)
 
     of_text = labelled(seen.select("did", "tid"), "tid", roots, "root")
