@@ -113,6 +113,7 @@ def op4_document_fingerprints(docs: DataFrame) -> DataFrame:
     given = base.drop("doc_id", "n_chars").join(need, ["did", "tid"]).select(
         F.col("pdid").alias("did"), F.col("ptid").alias("tid"), "half", F.expr("left(text, half)").alias("tail")
     ).groupBy("did", "tid").agg(F.first("half").alias("half"), F.first("tail").alias("tail"))  # a repeated next row gives its text once
+    given = written(given, "fp-tails")
     edited = base.drop("doc_id").join(given, ["did", "tid"]).select(
         "did", "tid", F.expr("concat(left(text, cast(n_chars - half as int)), tail)").alias("edited")
     ).withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
