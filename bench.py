@@ -64,7 +64,7 @@ def main() -> None:
     from revlens.plans.queries import QUERIES, warehouse
     from revlens.session import get_session, scratch_path
 
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus)
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus, extra_conf={"spark.driver.memory": "12g"})
     # warm-up on other (tiny) tables: JVM class loading and JIT, not counted
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):

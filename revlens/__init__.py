@@ -6,7 +6,6 @@ Layout:
   operators/  DataFrame operators (dedup, classification, rollups, reviewers,
               risk, calendar, SCD2 history, quality checks, profiling)
   plans/      the warehouse build (operator wiring) and the registered queries
-  streaming/  incremental (Structured Streaming) form of the daily rollup
 """
 
 __version__ = "0.1.0"

@@ -24,8 +24,8 @@ def _inputs(spark, a):
 
     reviews = read_reviews(spark, a.reviews, fmt=a.format) if getattr(a, "reviews", None) else None
     products = read_products(spark, a.products, fmt=a.format)
-    mapping = read_seed(spark, a.mapping, MAPPING_SCHEMA, max_rows=1_000_000)
-    rules = read_seed(spark, a.rules, RULES_SCHEMA, max_rows=100_000)
+    mapping = read_seed(spark, a.mapping, MAPPING_SCHEMA)
+    rules = read_seed(spark, a.rules, RULES_SCHEMA)
     return reviews, products, mapping, rules
 
 

@@ -62,15 +62,14 @@ def to_int(c: ColumnOrName, source_type=None) -> Column:
 def stddev_samp_int(c: ColumnOrName) -> Column:
     """Sample standard deviation of an integer-valued column from exact moments.
 
-    sqrt((n·Σx² − (Σx)²) / (n·(n−1))) with the sums in decimal(38,0): the
+    sqrt((n·Σx² − (Σx)²) / (n·(n−1))) with long sums, and decimal(38,0) in the final step: the
     moments are exact, so the result is the correctly rounded value (no
     dependence on summation order or partitioning) and it stays a plain
     partial/final aggregate. Null for fewer than two values.
     """
-    x = _c(c).cast("decimal(38,0)")
-    n = F.count(x).cast("decimal(38,0)")
-    s1 = F.sum(x)
-    s2 = F.sum(x * x)
+    x = _c(c).cast("long")
+    wide = "decimal(38,0)"
+    n, s1, s2 = F.count(x).cast(wide), F.sum(x).cast(wide), F.sum(x * x).cast(wide)
     num = (n * s2 - s1 * s1).cast("double")
     den = (n * (n - F.lit(1))).cast("double")
     return F.when(F.count(x) > 1, F.sqrt(num / den))

@@ -7,25 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Reference tables at or below this many rows are broadcast; the count is
-# checked (with a limit) before the hint is applied.
-MAX_BROADCAST_ROWS = 1_000_000
-# Rule tables up to this size are compiled into one CASE expression.
-MAX_INLINE_RULES = 200
-# Larger rule tables are matched with a broadcast theta join up to this size.
-MAX_JOIN_RULES = 100_000
-
-
-def _row_count_at_most(df: DataFrame, bound: int) -> int:
-    """Rows in ``df``, counting at most ``bound + 1`` of them."""
-    return df.limit(bound + 1).count()
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` provably has at most ``max_rows`` rows."""
-    if _row_count_at_most(df, max_rows) <= max_rows:
-        return F.broadcast(df)
-    return df
+# Rules per CASE expression; further rules follow in further expressions.
+RULES_PER_CASE = 100
 
 
 def map_lookup(
@@ -33,24 +16,20 @@ def map_lookup(
     mapping: DataFrame,
     on: str,
     defaults: Mapping[str, object],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join a (unique-keyed) mapping table; unmatched rows get ``defaults``.
 
-    The mapping side is broadcast when its size check passes, so the large
-    side is never shuffled; otherwise Spark plans a regular (AQE) join.
+    No hint: Spark broadcasts the mapping when its bytes are under the session's
+    threshold, so the large side is not shuffled, and else plans a shuffle join
+    that AQE can split.
     """
     m = mapping.select(on, *[F.col(c).alias(f"__m_{c}") for c in defaults])
-    joined = df.join(checked_broadcast(m, max_broadcast_rows), on=on, how="left")
+    joined = df.join(m, on=on, how="left")
     out = [F.col(c) for c in df.columns]
     out += [F.coalesce(F.col(f"__m_{c}"), F.lit(v)).alias(c) for c, v in defaults.items()]
     return joined.select(*out)
 
 
-def _ordered_rules(rules: DataFrame, label: str, pattern: str, priority: str) -> DataFrame:
-    return rules.select(label, pattern, priority).orderBy(F.col(priority).desc(), F.col(label).asc())
-
-
 def classify_by_rules(
     df: DataFrame,
     text: Column,
@@ -60,48 +39,25 @@ def classify_by_rules(
     label: str = "subcategory",
     pattern: str = "keyword_pattern",
     priority: str = "priority",
-    method: str = "auto",
-    key: str | None = None,
+    rules_per_case: int = RULES_PER_CASE,
 ) -> DataFrame:
     """Label each row with its best-matching regex rule.
 
     A rule matches when its pattern occurs anywhere in ``text`` (unanchored
-    regex search). Among matching rules the highest ``priority`` wins, then the
-    alphabetically first label; rows with no match get ``default``.
+    regex search). Among matching rules the highest ``priority`` wins (null
+    last), then the alphabetically first label; rows with no match get
+    ``default``.
 
-    * ``chain`` — the ordered rules become one CASE WHEN ... RLIKE expression:
-      no join, no shuffle, patterns compiled once per task.
-    * ``join`` — broadcast theta join + ``min_by`` per ``key`` (unique row key),
-      for rule tables too large for one expression.
-    * ``auto`` — chain up to ``MAX_INLINE_RULES`` rules, join above.
+    The ordered rules (reference data) become CASE WHEN ... RLIKE expressions of
+    ``rules_per_case`` rules each, the first that matches counts: no join, no
+    shuffle, patterns compiled once per task, rows judged one by one.
     """
-    if method not in ("auto", "chain", "join"):
-        raise ValueError(method)
-    ordered = _ordered_rules(rules, label, pattern, priority)
-    if method in ("auto", "chain"):
-        rows = ordered.limit(MAX_INLINE_RULES + 1).collect()
-        if len(rows) <= MAX_INLINE_RULES:
-            expr = None
-            for r in rows:
-                cond = text.rlike(r[pattern])
-                expr = F.when(cond, F.lit(r[label])) if expr is None else expr.when(cond, F.lit(r[label]))
-            result = F.lit(default) if expr is None else expr.otherwise(F.lit(default))
-            return df.withColumn(out_col, result)
-        if method == "chain":
-            raise ValueError(f"more than {MAX_INLINE_RULES} rules: use method='join'")
-    return _classify_by_join(df, text, rules, out_col, default, label, pattern, priority, key)
-
-
-def _classify_by_join(df, text, rules, out_col, default, label, pattern, priority, key):
-    if key is None:
-        raise ValueError("the join method needs a unique row key")
-    if _row_count_at_most(rules, MAX_JOIN_RULES) > MAX_JOIN_RULES:
-        raise ValueError(f"rule table exceeds {MAX_JOIN_RULES} rows; it is reference data and is broadcast")
-    r = F.broadcast(rules.select(F.col(label).alias("__lbl"), F.col(pattern).alias("__pat"), F.col(priority).alias("__pri")))
-    probe = df.select(F.col(key).alias("__key"), text.alias("__txt")).where(F.col("__txt").isNotNull())
-    matched = probe.join(r, F.regexp_like(F.col("__txt"), F.col("__pat")))
-    best = matched.groupBy("__key").agg(
-        F.min_by(F.col("__lbl"), F.struct(-F.col("__pri"), F.col("__lbl"))).alias("__best")
-    )
-    out = df.join(best, df[key] == best["__key"], "left")
-    return out.select(*[df[c] for c in df.columns if c != out_col], F.coalesce(F.col("__best"), F.lit(default)).alias(out_col))
+    order = [F.col(priority).desc_nulls_last(), F.col(label).asc(), F.col(pattern).asc()]
+    ordered = rules.select(label, pattern, priority).orderBy(*order).collect()
+    cases = []
+    for at in range(0, len(ordered), rules_per_case):
+        case = F
+        for r in ordered[at : at + rules_per_case]:
+            case = case.when(text.rlike(r[pattern]), F.lit(r[label]))
+        cases.append(case)
+    return df.withColumn(out_col, F.coalesce(*cases, F.lit(default)))

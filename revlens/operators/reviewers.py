@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens import functions as RF
-from revlens.operators.skew import MAX_HOT_KEYS, ROWS_PER_SPLIT, split_hot_join
+from revlens.operators.skew import ROWS_PER_SPLIT, split_hot_join
 
 
 def reviewer_history(stg: DataFrame, approx_distinct: bool = False, min_reviews: int = 3, band: float = 0.75) -> DataFrame:
@@ -70,7 +70,6 @@ def with_reviewer_context(
     fct: DataFrame,
     history: DataFrame,
     rows_per_split: int = ROWS_PER_SPLIT,
-    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Each review with its reviewer's harshness context and signal flags.
 
@@ -90,7 +89,7 @@ def with_reviewer_context(
     spread = ["review_key"] if "review_key" in fct.columns else ()
     j = split_hot_join(
         fct, ctx, "reviewer_id", "left", spread=spread, counts=counts, count_col="lifetime_review_count",
-        rows_per_split=rows_per_split, max_hot_keys=max_hot_keys,
+        rows_per_split=rows_per_split,
     )
     t = F.col("reviewer_tendency")
     return j.select(

@@ -44,12 +44,19 @@ def scd2_initial(current: DataFrame, key: str, as_of: dt.datetime) -> DataFrame:
 
 
 def assert_unique_key(df: DataFrame, key: str) -> None:
-    """Fail when the new load has a duplicated (non-null) key."""
-    dup = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
+    """Fail when the new load has a duplicated key (null is one key)."""
+    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"duplicate {key} in the new load: {dup[0][key]!r}")
 
 
+def assert_newer(history: DataFrame, as_of: dt.datetime) -> None:
+    """Fail when a version already starts at or after ``as_of``."""
+    late = history.where(F.col("valid_from") >= _ts(as_of)).limit(1).collect()
+    if late:
+        raise ValueError(f"load of {as_of} is not after the newest version ({late[0]['valid_from']})")
+
+
 def scd2_apply(
     history: DataFrame | None,
     current: DataFrame,
@@ -64,20 +71,25 @@ def scd2_apply(
     A version changes when any ``check_cols`` value differs null-safely
     (``NOT a <=> b``), so a value turning null is a change and null → null is
     not. Keys absent from the new load stay open unless ``close_missing``.
-    Applying the same load twice is a no-op.
+    Applying the same load again, later, is a no-op. A null key is a key like any
+    other. With ``validate``, duplicate keys and an ``as_of`` that is not after the
+    newest version are rejected; so are, always, loads with other columns.
     """
     if validate:
         assert_unique_key(current, key)
     if history is None:
         return scd2_initial(current, key, as_of)
     data_cols = [c for c in history.columns if c not in META_COLUMNS]
+    if set(current.columns) != set(data_cols):
+        raise ValueError(f"columns of the load and the history differ: {sorted(set(current.columns) ^ set(data_cols))}")
+    if validate:
+        assert_newer(history, as_of)
     open_h = history.where(F.col("valid_to").isNull())
     closed_h = history.where(F.col("valid_to").isNotNull())
-    h = open_h.select(*[F.col(c).alias(f"h__{c}") for c in history.columns])
-    c = current.select(*[F.col(x).alias(f"c__{x}") for x in data_cols])
-    j = h.join(c, F.col(f"h__{key}") == F.col(f"c__{key}"), "full_outer")
-    has_h = F.col(f"h__{key}").isNotNull()
-    has_c = F.col(f"c__{key}").isNotNull()
+    h = open_h.select(F.lit(True).alias("__h"), *[F.col(c).alias(f"h__{c}") for c in history.columns])
+    c = current.select(F.lit(True).alias("__c"), *[F.col(x).alias(f"c__{x}") for x in data_cols])
+    j = h.join(c, F.col(f"h__{key}").eqNullSafe(F.col(f"c__{key}")), "full_outer")
+    has_h, has_c = F.col("__h").isNotNull(), F.col("__c").isNotNull()
     diff = None
     for col in check_cols:
         d = ~F.col(f"h__{col}").eqNullSafe(F.col(f"c__{col}"))
@@ -113,14 +125,26 @@ def scd2_as_of(history: DataFrame, ts) -> DataFrame:
     return history.where((F.col("valid_from") <= t) & (F.col("valid_to").isNull() | (F.col("valid_to") > t)))
 
 
+def _runs(spark: SparkSession, root: str) -> tuple[list[int], int]:
+    """(complete runs, next free number) from the directory listing; a run without its
+    _SUCCESS marker was not finished and does not count. A root that is not there has
+    none; any other failure to list is an error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return [], 0
+    found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("run=")]
+    numbers = {int(p.getName().partition("=")[2]): p for p in found}
+    marker = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")
+    return sorted(n for n, p in numbers.items() if fs.exists(marker(p))), max(numbers, default=-1) + 1
+
+
 def _latest_run(spark: SparkSession, root: str):
-    """(stored table, latest run number) or (None, None) when nothing is stored yet."""
-    try:
-        stored = spark.read.parquet(root)
-    except Exception:  # no history yet
+    """(stored rows of complete runs, latest run number) or (None, None) when nothing is stored yet."""
+    complete, _ = _runs(spark, root)
+    if not complete:
         return None, None
-    # the run number is a partition column: answered from the directory listing
-    return stored, stored.agg(F.max("run")).first()[0]
+    return spark.read.parquet(root).where(F.col("run").isin(complete)), complete[-1]
 
 
 def scd2_history(spark: SparkSession, root: str) -> DataFrame:
@@ -155,7 +179,8 @@ def scd2_snapshot(
     if latest is not None:
         open_h = stored.where((F.col("run") == latest) & (F.col("kind") == "open")).drop("run", "kind")
     out = scd2_apply(open_h, current, key, check_cols, as_of)
-    run = 0 if latest is None else latest + 1
+    run = _runs(spark, root)[1]
     kind = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
-    out.withColumn("run", F.lit(run)).withColumn("kind", kind).write.mode("append").partitionBy("run", "kind").parquet(root)
+    # its own directory, refused if it is there; readers see the run once it is complete
+    out.withColumn("kind", kind).write.mode("errorifexists").partitionBy("kind").parquet(f"{root.rstrip('/')}/run={run}")
     return scd2_history(spark, root)

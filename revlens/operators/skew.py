@@ -8,17 +8,16 @@ dimension produced by an aggregate on the join key is not, so the split is
 done explicitly here:
 
 * hot keys = keys whose (known or counted) row count exceeds
-  ``rows_per_split``; at most ``max_hot_keys`` of them, chosen
-  deterministically (largest first), so the broadcast list has a fixed bound;
-* each hot key gets ``ceil(count / rows_per_split)`` splits (≤ ``max_splits``);
-  its fact rows pick a split by a deterministic hash of ``spread`` columns and
+  ``rows_per_split``, all of them: there are fewer than rows / ``rows_per_split``,
+  which bounds the broadcast list (60,000 keys for 30 billion rows);
+* each hot key gets ``ceil(count / rows_per_split)`` splits; its fact rows pick a split by a deterministic hash of ``spread`` columns and
   its dimension row is replicated once per split;
 * the join runs on (key, split).
 
 Every fact row still meets exactly the dimension rows of its key, so the
-result equals the plain join for any hot set — keys left out of the list only
-lose the extra parallelism. The replicated dimension rows are bounded by
-Σ splits ≤ rows / ``rows_per_split`` + hot keys, whatever the per-key cap.
+result equals the plain join for any hot set. Null keys match nothing and are
+spread by the same hash. The replicated dimension rows are bounded by
+Σ splits ≤ rows / ``rows_per_split`` + hot keys.
 """
 
 from __future__ import annotations
@@ -29,30 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SPLIT = 500_000
-MAX_HOT_KEYS = 10_000
-MAX_SPLITS = 65_536
+NULL_SPLITS = 4096
 
 
-def hot_keys(
-    counts: DataFrame,
-    key: str,
-    count_col: str,
-    rows_per_split: int = ROWS_PER_SPLIT,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    max_splits: int = MAX_SPLITS,
-) -> DataFrame:
-    """(key, __splits) for the largest keys above ``rows_per_split`` — at most ``max_hot_keys`` rows."""
+def hot_keys(counts: DataFrame, key: str, count_col: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """(key, __splits) for the keys above ``rows_per_split`` rows."""
     n = F.col(count_col)
-    return (
-        counts.where(n > rows_per_split)
-        .select(
-            F.col(key).alias("__hot_key"),
-            n.alias("__hot_n"),
-            F.least(F.ceil(n / F.lit(float(rows_per_split))), F.lit(max_splits)).cast("int").alias("__splits"),
-        )
-        .orderBy(F.col("__hot_n").desc(), F.col("__hot_key").asc())
-        .limit(max_hot_keys)
-        .drop("__hot_n")
+    return counts.where(n > rows_per_split).select(
+        F.col(key).alias("__hot_key"), F.ceil(n / F.lit(float(rows_per_split))).cast("int").alias("__splits")
     )
 
 
@@ -65,8 +48,6 @@ def split_hot_join(
     counts: DataFrame | None = None,
     count_col: str | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    max_splits: int = MAX_SPLITS,
 ) -> DataFrame:
     """Join ``fact`` to a unique-keyed ``dim`` on ``key`` with hot keys split.
 
@@ -81,13 +62,11 @@ def split_hot_join(
     if counts is None or count_col is None:
         counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
         count_col = "__rows"
-    hot = F.broadcast(hot_keys(counts, key, count_col, rows_per_split, max_hot_keys, max_splits))
+    hot = F.broadcast(hot_keys(counts, key, count_col, rows_per_split))
     spread_cols = [F.col(c) for c in (spread or fact.columns)]
     f = fact.join(hot, fact[key] == F.col("__hot_key"), "left")
-    f = f.withColumn(
-        "__split",
-        F.when(F.col("__splits") > 1, F.pmod(F.xxhash64(*spread_cols), F.col("__splits"))).otherwise(F.lit(0)).cast("int"),
-    ).drop("__hot_key", "__splits")
+    splits = F.when(fact[key].isNull(), F.lit(NULL_SPLITS)).otherwise(F.coalesce(F.col("__splits"), F.lit(1)))
+    f = f.withColumn("__split", F.pmod(F.xxhash64(*spread_cols), splits).cast("int")).drop("__hot_key", "__splits")
     d = dim.join(hot, dim[key] == F.col("__hot_key"), "left")
     d = d.withColumn("__split", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__splits"), F.lit(1)) - 1))).drop(
         "__hot_key", "__splits"

@@ -75,11 +75,12 @@ def clean_reviews(
     )
 
 
-def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title"), cluster_by_month: bool = False) -> DataFrame:
+def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title", "review_text", "rating", "is_verified_purchase"), cluster_by_month: bool = False) -> DataFrame:
     """W1 + F3 + P5–P7: one row per (reviewer, product, time) with derived buckets.
 
     Duplicates keep the longest text, then the most helpful votes; ``tiebreak``
-    (ascending) makes remaining ties repeatable. The dedup keeps its hash
+    (ascending) takes every remaining column, so the order is total and the
+    same row stays whatever the input order. The dedup keeps its hash
     exchange so the partial ``WindowGroupLimit`` cuts any group of copies to
     one row per map task before the shuffle.
 
@@ -111,12 +112,17 @@ def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title"), cluster
 
 
 def dedupe_products(raw: DataFrame, key: str = "parent_asin", count_col: str = "rating_number", tiebreak=("title",)) -> DataFrame:
-    """One row per product id with the most ratings (nulls last); null ids dropped."""
+    """One row per product id with the most ratings (nulls last); null ids dropped.
+
+    Ties go by ``tiebreak``, then by every other column that can be ordered.
+    """
+    unordered = (T.MapType, T.VariantType)
+    rest = [f.name for f in raw.schema.fields if f.name not in (key, count_col, *tiebreak) and not isinstance(f.dataType, unordered)]
     return keep_best(
         raw,
         keys=[key],
         order=[F.col(count_col).desc_nulls_last()],
-        tiebreak=list(tiebreak),
+        tiebreak=[*tiebreak, *rest],
         drop_null_keys=True,
     )
 
@@ -139,15 +145,12 @@ def stg_products(
     raw: DataFrame,
     mapping: DataFrame,
     rules: DataFrame,
-    classify_method: str = "auto",
     tiebreak=("title",),
 ) -> DataFrame:
     """Staged products: dedup + clean + category group (J1) + rule subcategory."""
     cleaned = clean_products(raw, tiebreak=tiebreak)
     grouped = map_lookup(cleaned, mapping, on="main_category", defaults={"category_group": "Unknown", "is_premium": False})
-    labelled = classify_by_rules(
-        grouped, F.lower(F.col("product_title")), rules, method=classify_method, key="product_id"
-    )
+    labelled = classify_by_rules(grouped, F.lower(F.col("product_title")), rules)
     return labelled.select(
         "product_id", "product_title", "brand", "main_category", "category_group", "is_premium",
         "subcategory", "amazon_average_rating", "amazon_rating_count", "price_usd",

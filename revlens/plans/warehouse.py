@@ -51,7 +51,6 @@ class Warehouse:
         mapping: DataFrame,
         rules: DataFrame,
         materialize: str = "ephemeral",
-        classify_method: str = "auto",
         run_id: str | None = None,
         output_root: str | None = None,
     ):
@@ -60,7 +59,6 @@ class Warehouse:
         self.mapping = mapping
         self.rules = rules
         self.materialize = materialize
-        self.classify_method = classify_method
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self.output_root = output_root.rstrip("/") if output_root else None
         self.spark = reviews.sparkSession
@@ -96,7 +94,7 @@ class Warehouse:
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return self._keep("stg_products", stg_products(self.raw_products, self.mapping, self.rules, self.classify_method))
+        return self._keep("stg_products", stg_products(self.raw_products, self.mapping, self.rules))
 
     @property
     def _dated_reviews(self) -> DataFrame:

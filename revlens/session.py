@@ -8,7 +8,6 @@ bench and local runs; on a cluster, pass your own session and make sure
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,13 +32,17 @@ def get_session(
     app_name: str = "revlens",
     extra_conf: dict | None = None,
 ) -> SparkSession:
-    """Build (or reuse) a session with the library's base settings."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Build (or reuse) a session with the library's base settings.
+
+    Master, shuffle partitions and memory are the deployment's (spark-submit,
+    spark-defaults) unless they are asked for here.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf.setdefault("spark.driver.memory", "12g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -91,7 +94,6 @@ def scale_conf(
     shuffle_expansion: float = 1.0,
     target_partition_bytes: int = 256 << 20,
     scan_split_bytes: int = 512 << 20,
-    max_partitions: int = 100_000,
 ) -> dict[str, str]:
     """Partition sizing for a cluster run, from the input size and core count.
 
@@ -105,17 +107,12 @@ def scale_conf(
       size, and is then split by AQE (plain shuffle joins) — hot keys behind
       an aggregate are split by ``revlens.operators.skew``.
 
-    * at most ``max_partitions`` reducers: map tasks × reducers is the number
-      of shuffle blocks, so past ~100k the reducers get larger (and spill)
-      instead of more numerous.
-
     Example: 100 TB of reviews on 1,000 executors × 8 cores →
-    ``scale_conf(100 << 40, 8000)`` gives 100,000 initial shuffle partitions
-    of ~1 GB (409,600 uncapped at 256 MB).
+    ``scale_conf(100 << 40, 8000)`` gives 409,600 initial shuffle partitions
+    of 256 MB.
     """
     shuffled = max(1, int(input_bytes * shuffle_expansion))
     partitions = max(2 * total_cores, -(-shuffled // target_partition_bytes))
-    partitions = min(partitions, max(max_partitions, 2 * total_cores))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),

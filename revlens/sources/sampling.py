@@ -5,47 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The direct top-n ships n rows from every partition into one final task; it is
-# used only while n × partitions stays under this many rows, otherwise a
-# distributed hash-threshold pre-filter comes first.
-DIRECT_TOP_N = 10_000
-MAX_FINAL_TASK_ROWS = 5_000_000
+# Hash buckets counted to find where the sample ends; fixed, whatever the table holds.
+BUCKETS = 16 ** 4
 
 
 def sample_key(seed: int | str, key: str) -> F.Column:
-    return F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
+    """md5(seed || key); a null key counts as an empty one."""
+    return F.md5(F.concat(F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
-def sample_n(df: DataFrame, n: int, seed: int | str, key: str, oversample: float = 1.2) -> DataFrame:
-    """The ``n`` rows with the smallest md5(seed || key) (ties by key).
+def sample_n(df: DataFrame, n: int, seed: int | str, key: str) -> DataFrame:
+    """The ``n`` rows with the smallest md5(seed || key) (ties by key, nulls last).
 
-    Deterministic for a given seed and unique key, independent of partitioning.
-    Small ``n`` (with n × partitions ≤ ``MAX_FINAL_TASK_ROWS``, partitions
-    estimated from the session) plans as one ``TakeOrderedAndProject``. Otherwise it first keeps
-    rows whose hash prefix falls under a threshold sized from the row count
-    (a distributed filter), verifies the filtered set holds at least ``n`` rows
-    (raising the threshold if not), then takes the exact top ``n`` of that
-    set — the same rows as the direct method, without funnelling
-    ``n × tasks`` rows into one task.
+    Deterministic for a given seed and unique key, independent of partitioning, and one
+    method for every ``n``: rows are counted per hash prefix (65,536 counts), whole
+    prefixes below the boundary are kept by a filter, and only the boundary prefix is
+    cut by an ordered limit. So no task receives more than one prefix's rows.
+    Fewer than ``n`` rows are all returned.
     """
-    h = sample_key(seed, key)
-    ordered = [F.col("__h").asc(), F.col(key).asc_nulls_last()]
-    # partitions feeding the top-n, estimated from the session without running
-    # anything (asking an adaptive plan for its RDD would execute its shuffles)
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    if n <= DIRECT_TOP_N and n * parts <= MAX_FINAL_TASK_ROWS:
-        return df.withColumn("__h", h).orderBy(*ordered).limit(n).drop("__h")
-    total = df.count()
-    if total <= n:
-        return df
-    frac = min(1.0, oversample * n / total)
-    tagged = df.withColumn("__h", h)
-    while True:
-        # first 15 hex digits as an integer in [0, 16**15): monotone in the hash order
-        cut = int(frac * 16 ** 15)
-        prefix = F.conv(F.substring(F.col("__h"), 1, 15), 16, 10).cast("long")
-        kept = tagged.where(prefix <= F.lit(cut))
-        if frac >= 1.0 or kept.count() >= n:
-            return kept.orderBy(*ordered).limit(n).drop("__h")
-        frac = min(1.0, frac * 2)
+    tagged = df.withColumn("__h", sample_key(seed, key))
+    tagged = tagged.withColumn("__p", F.conv(F.substring("__h", 1, 4), 16, 10).cast("int"))
+    counts = dict(tagged.groupBy("__p").count().collect())  # at most BUCKETS rows
+    taken, boundary = 0, BUCKETS
+    for p in range(BUCKETS):
+        if taken + counts.get(p, 0) > n:
+            boundary = p
+            break
+        taken += counts.get(p, 0)
+    whole = tagged.where(F.col("__p") < boundary)
+    if boundary < BUCKETS and n > taken:
+        edge = tagged.where(F.col("__p") == boundary).orderBy(F.col("__h").asc(), F.col(key).asc_nulls_last()).limit(n - taken)
+        whole = whole.unionByName(edge)
+    return whole.drop("__h", "__p")
