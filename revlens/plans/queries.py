@@ -7,6 +7,7 @@ matching DuckDB SQL for each name is in ``revlens.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +21,15 @@ from revlens.operators.profiling import (
 )
 from revlens.operators.risk import top_at_risk
 from revlens.operators.rollups import date_bounds
-from revlens.operators.scd2 import scd2_apply, scd2_as_of
+from revlens.operators.scd2 import scd2_apply, scd2_as_of, scd2_snapshot
 from revlens.operators.staging import clean_products
 from revlens.plans.checks import SUITE, run_suite
 from revlens.plans.warehouse import PRODUCT_CHECK_COLS, Warehouse
 from revlens.sources.fixtures import AS_OF_V1, AS_OF_V2, Inputs
-from revlens.sources.io import stringify_nested
+from revlens.session import scratch_path
+from revlens.sources.io import materialize, read_products, read_reviews, register_sources, stringify_nested, write_sorted, write_table
 from revlens.sources.sampling import sample_n
+from revlens.sources.seeds import default_subcategory_rules
 from revlens.operators.staging import stg_products as build_stg_products
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,9 +40,14 @@ def warehouse(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
     return Warehouse(i.reviews(), i.products(), i.mapping(), i.rules(), **kw)
 
 
-def _wh(attr: str) -> Query:
+#: Standard deviations are compared to this many digits: engines differ in the last bits.
+STDDEV_DIGITS = 9
+
+
+def _wh(attr: str, **kw) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(warehouse(spark, sf_dir), attr)
+        df = getattr(warehouse(spark, sf_dir, **kw), attr)
+        return df.withColumn("rating_stddev", F.round("rating_stddev", STDDEV_DIGITS)) if "rating_stddev" in df.columns else df
 
     q.__name__ = f"q_{attr}"
     return q
@@ -62,18 +70,24 @@ def q_map_lookup(spark, sf_dir):
     return map_lookup(raw, i.mapping(), "main_category", {"category_group": "Unknown", "is_premium": False})
 
 
-def _classified(spark, sf_dir, method):
+def _classified(spark, sf_dir, **kw):
     i = Inputs(spark, sf_dir)
     cleaned = clean_products(i.products()).select("product_id", "product_title")
-    return classify_by_rules(cleaned, F.lower("product_title"), i.rules(), method=method, key="product_id")
+    return classify_by_rules(cleaned, F.lower("product_title"), i.rules(), **kw)
 
 
 def q_classify_by_rules(spark, sf_dir):
-    return _classified(spark, sf_dir, "chain")
+    return _classified(spark, sf_dir)
 
 
 def q_classify_by_rules_join(spark, sf_dir):
-    return _classified(spark, sf_dir, "join")
+    # rules in several expressions joined by coalesce, as large rule tables are
+    return _classified(spark, sf_dir, rules_per_case=2)
+
+
+def q_classify_default_rules(spark, sf_dir):
+    docs = Inputs(spark, sf_dir).table("documents").select("doc_id", "text")
+    return classify_by_rules(docs, F.lower("text"), default_subcategory_rules(spark)).drop("text")
 
 
 def q_clean_products(spark, sf_dir):
@@ -212,6 +226,49 @@ def q_stringify_nested(spark, sf_dir):
     return stringify_nested(Inputs(spark, sf_dir).table("embeddings"), ["embedding"])
 
 
+def q_stringify_nested_text(spark, sf_dir):
+    orders = Inputs(spark, sf_dir).table("orders")
+    nested = orders.select("o_orderkey", F.struct("o_orderkey", F.array("o_orderstatus", "o_orderpriority").alias("tags")).alias("status"))
+    return stringify_nested(nested)
+
+
+def _value_counts(column: str) -> Query:
+    return lambda spark, sf_dir: value_counts(warehouse(spark, sf_dir).stg_products, [column], "product_count")
+
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_ingest_reviews(spark, sf_dir):
+    # raw files with the nested column that the reader leaves out, a table, and the table again
+    raw, landed, table = Inputs(spark, sf_dir).reviews(), _scratch(spark, "raw-reviews"), _scratch(spark, "reviews")
+    raw.withColumn("images", F.array(F.struct(F.col("asin").alias("id")))).write.parquet(landed)
+    write_table(read_reviews(spark, landed), table)
+    return register_sources(spark, {"ingested_reviews": table})["ingested_reviews"]
+
+
+def q_ingest_products(spark, sf_dir):
+    # JSON lines in two places, read as one, with an explicit schema; sorted output, read again
+    raw, landed, table = Inputs(spark, sf_dir).products(), _scratch(spark, "raw-products"), _scratch(spark, "products")
+    even = F.coalesce(F.crc32(F.col("parent_asin").cast("binary")) % 2 == 0, F.lit(True))
+    raw.where(even).write.json(f"{landed}/a")
+    raw.where(~even).write.json(f"{landed}/b")
+    read = read_products(spark, [f"{landed}/a", f"{landed}/b"], fmt="json", schema=raw.schema)
+    write_sorted(read, ["parent_asin"], table)
+    return materialize(spark.read.parquet(table), "ingested_products", "view")
+
+
+def q_scd2_snapshot_history(spark, sf_dir):
+    i, root = Inputs(spark, sf_dir), _scratch(spark, "history")
+    v1 = build_stg_products(i.products(), i.mapping(), i.rules())
+    v2 = build_stg_products(i.products_v2(), i.mapping(), i.rules())
+    later = AS_OF_V2 + (AS_OF_V2 - AS_OF_V1)
+    for load, as_of in ((v1, AS_OF_V1), (v2, AS_OF_V2), (v2, later)):  # the last changes nothing
+        out = scd2_snapshot(spark, load, root, "product_id", PRODUCT_CHECK_COLS, as_of)
+    return out
+
+
 def q_safe_divide(spark, sf_dir):
     d = warehouse(spark, sf_dir).dim_products
     return d.select(
@@ -272,5 +329,16 @@ QUERIES: dict[str, Query] = {
     "profile_samples": q_profile_samples,
     "sample_n": q_sample_n,
     "stringify_nested": q_stringify_nested,
+    "stringify_nested_text": q_stringify_nested_text,
     "safe_divide": q_safe_divide,
+    "value_counts_main_category": _value_counts("main_category"),
+    "value_counts_price_bucket": _value_counts("price_bucket"),
+    "classify_default_rules": q_classify_default_rules,
+    # the build's table mode, ingestion and stored history
+    "table_products_at_risk": _wh("mart_products_at_risk", materialize="table"),
+    "table_category_performance": _wh("mart_category_performance", materialize="table"),
+    "table_dim_products": _wh("dim_products", materialize="table"),
+    "ingest_reviews": q_ingest_reviews,
+    "ingest_products": q_ingest_products,
+    "scd2_snapshot_history": q_scd2_snapshot_history,
 }

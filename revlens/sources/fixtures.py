@@ -28,14 +28,19 @@ def _pid(c) -> F.Column:
 # FX1 — raw reviews
 # --------------------------------------------------------------------------
 
+def _reviewed_part(pk: F.Column, ln: F.Column) -> F.Column:
+    """The product a line item reviews. Every line item is a review; parts divisible by 50
+    get none and those by 7 or 11 few: their other reviews go to one of the four parts before."""
+    sparse = lambda k: (k % 50 == 0) | (k % 7 == 0) | (k % 11 == 0)
+    before = F.when(~sparse(pk - 1), pk - 1).when(~sparse(pk - 2), pk - 2).when(~sparse(pk - 3), pk - 3).otherwise(pk - 4)
+    moved = (pk % 50 == 0) | ((pk % 7 == 0) & (ln != 1)) | ((pk % 11 == 0) & (ln > 3))
+    return F.when(moved, before).otherwise(pk)
+
+
 def raw_reviews(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     li = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
-    ).where(
-        (F.col("l_partkey") % 50 != 0)
-        & ((F.col("l_partkey") % 7 != 0) | (F.col("l_linenumber") == 1))
-        & ((F.col("l_partkey") % 11 != 0) | (F.col("l_linenumber") <= 3))
-    )
+    ).withColumn("l_partkey", _reviewed_part(F.col("l_partkey"), F.col("l_linenumber")))
     o = orders.select("o_orderkey", "o_custkey")
     p = part.select("p_partkey", "p_name")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
@@ -229,22 +234,28 @@ class Inputs:
 # --------------------------------------------------------------------------
 
 FX1_SQL = """
-with base as (
-  select 'P' || cast(l_partkey as string) as parent_asin,
-         'P' || cast(l_partkey as string) || '-' || cast(l_suppkey % 3 as string) as asin,
+with moved as (
+  select *, case when l_partkey % 50 = 0 or (l_partkey % 7 = 0 and l_linenumber <> 1) or (l_partkey % 11 = 0 and l_linenumber > 3)
+                 then case when not ((l_partkey - 1) % 50 = 0 or (l_partkey - 1) % 7 = 0 or (l_partkey - 1) % 11 = 0) then l_partkey - 1
+                           when not ((l_partkey - 2) % 50 = 0 or (l_partkey - 2) % 7 = 0 or (l_partkey - 2) % 11 = 0) then l_partkey - 2
+                           when not ((l_partkey - 3) % 50 = 0 or (l_partkey - 3) % 7 = 0 or (l_partkey - 3) % 11 = 0) then l_partkey - 3
+                           else l_partkey - 4 end
+                 else l_partkey end as pk
+  from lineitem),
+base as (
+  select 'P' || cast(pk as string) as parent_asin,
+         'P' || cast(pk as string) || '-' || cast(l_suppkey % 3 as string) as asin,
          'U' || cast(case when o_custkey % 10 = 0 then l_orderkey + 1000000 else o_custkey end as string) as user_id,
          cast(least(5, greatest(1, 4 + (o_custkey % 4 - 2)
-              + (case l_partkey % 5 when 0 then -2 when 1 then -1 else 1 end)
+              + (case pk % 5 when 0 then -2 when 1 then -1 else 1 end)
               + (l_linenumber % 3 - 1))) as double) as rating,
          p_name as title,
          repeat(p_name || ' ', cast(l_quantity as int)) as text,
          l_shipdate as timestamp,
          cast(l_quantity as int) % 4 as helpful_vote,
-         not (l_returnflag = 'R' and l_partkey % 3 <> 1) as verified_purchase,
+         not (l_returnflag = 'R' and pk % 3 <> 1) as verified_purchase,
          l_linenumber as ln
-  from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
-  where l_partkey % 50 <> 0 and (l_partkey % 7 <> 0 or l_linenumber = 1)
-    and (l_partkey % 11 <> 0 or l_linenumber <= 3))
+  from moved join orders on l_orderkey = o_orderkey join part on pk = p_partkey)
 select parent_asin, asin, user_id, rating, title, text, timestamp, helpful_vote, verified_purchase from base
 union all
 select parent_asin, asin, user_id, rating, title, 'dup', timestamp, 0, verified_purchase from base where ln = 7

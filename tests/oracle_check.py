@@ -102,7 +102,7 @@ def main():
     import __spark_entry__ as E
     from revlens.session import get_session
 
-    spark = get_session(shuffle_partitions=8)
+    spark = get_session(master="local[8]", shuffle_partitions=8, extra_conf={"spark.driver.memory": "8g"})
     qs, oracle = E.queries(), E.oracle_sql()
     con = duck_conn(sf_dir)
     ok = bad = 0

@@ -36,20 +36,19 @@ def test_rules_priority_then_label(spark):
     rules = spark.createDataFrame(RULES, RULES_SCHEMA)
     df = spark.createDataFrame([(1, "Small Ring"), (2, "small red"), (3, None), (4, "plate"), (5, "rod ring")],
                                "id int, title string")
-    for method in ("chain", "join"):
-        out = classify_by_rules(df, F.lower("title"), rules, method=method, key="id")
+    for size in (1, 2, 100):
+        out = classify_by_rules(df, F.lower("title"), rules, rules_per_case=size)
         got = dict((r.id, r.subcategory) for r in out.collect())
         # ring matches Rings and Alpha at priority 10 → alphabetical: Alpha
-        assert got == {1: "Alpha", 2: "Small Red", 3: "Uncategorized", 4: "Uncategorized", 5: "Alpha"}, method
+        assert got == {1: "Alpha", 2: "Small Red", 3: "Uncategorized", 4: "Uncategorized", 5: "Alpha"}, size
 
 
-def test_large_rule_tables_use_the_join(spark, monkeypatch):
-    monkeypatch.setattr(C, "MAX_INLINE_RULES", 2)
-    rules = spark.createDataFrame(RULES, RULES_SCHEMA)
-    df = spark.createDataFrame([(1, "small gizmo")], "id int, title string")
-    out = classify_by_rules(df, F.lower("title"), rules, key="id")
-    assert out.first().subcategory == "Rings"
-    assert "BroadcastNestedLoopJoin" in out._jdf.queryExecution().executedPlan().toString()
+def test_rules_beyond_one_expression_with_null_priority_and_null_key(spark):
+    rules = spark.createDataFrame([("B", "ring", None), ("A", "ring", 1)] + [(f"Z{i}", f"word{i}\\b", 5) for i in range(250)], RULES_SCHEMA)
+    df = spark.createDataFrame([(None, "ring x"), (1, "word249 ring"), (1, "nothing")], "id int, title string")
+    out = classify_by_rules(df, F.lower("title"), rules)
+    assert sorted(r.subcategory for r in out.collect()) == ["A", "Uncategorized", "Z249"]
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_map_lookup_defaults_and_broadcast(spark):

@@ -107,3 +107,34 @@ def test_warehouse_snapshot_products(spark):
     h = wh.snapshot_products(None, T1)
     assert h.count() == wh.stg_products.count()
     assert wh.snapshot_products(h, T2).exceptAll(h).count() == 0  # same load: no-op
+
+
+def test_null_keys_out_of_order_and_changed_columns(spark):
+    v1 = load(spark, [("k1", "x", "b", 1), (None, "n", "b", 1)])
+    h = scd2_apply(None, v1, "id", ["name"], T1)
+    assert scd2_apply(h, v1, "id", ["name"], T2).count() == 2  # the null key's version is kept, and found again
+    with pytest.raises(ValueError):
+        scd2_apply(h, v1, "id", ["name"], dt.datetime(2023, 1, 1))
+    with pytest.raises(ValueError):
+        scd2_apply(h, v1.withColumn("w", F.lit(1)), "id", ["name"], T2)
+
+
+def test_failed_read_or_run_loses_no_load(spark, tmpdir_path, monkeypatch):
+    import revlens.operators.scd2 as S
+
+    root = f"{tmpdir_path}/snap"
+    scd2_snapshot(spark, load(spark, [("a", "x", "b", 1)]), root, "id", ["name"], T1)
+    scd2_snapshot(spark, load(spark, [("a", "y", "b", 1)]), root, "id", ["name"], T2)
+
+    def broken(*a):
+        raise IOError("503")
+
+    monkeypatch.setattr(S, "_runs", broken)
+    with pytest.raises(IOError):
+        scd2_snapshot(spark, load(spark, [("a", "z", "b", 1)]), root, "id", ["name"], T3)
+    monkeypatch.undo()
+    # a run that did not finish does not count, and its number is not used again
+    load(spark, [("a", "half", "b", 1)]).write.parquet(f"{root}/run=2/kind=open")
+    assert S._runs(spark, root) == ([0, 1], 3)
+    h = scd2_snapshot(spark, load(spark, [("a", "z", "b", 1)]), root, "id", ["name"], T3)
+    assert sorted(r.name for r in h.collect()) == ["x", "y", "z"]

@@ -63,3 +63,12 @@ def test_split_join_kinds_and_missing_keys(spark, no_broadcast):
         want = sorted(map(tuple, fact.join(dim, "k", how).collect()), key=str)
         got = sorted(map(tuple, split_hot_join(fact, dim, "k", how, rows_per_split=5).collect()), key=str)
         assert got == want, how
+
+
+def test_null_keys_are_spread(spark, no_broadcast):
+    fact = spark.range(30000).select(F.when(F.col("id") % 3 != 0, (F.col("id") % 40).cast("string")).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(40).select(F.col("id").cast("string").alias("k"), F.col("id").alias("d"))
+    out = split_hot_join(fact, dim, "k", "left", rows_per_split=500)
+    assert out.count() == 30000
+    sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
