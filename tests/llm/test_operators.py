@@ -1,0 +1,458 @@
+"""The training-data operators against brute force, and on odd tables."""
+
+import hashlib
+import os
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from revlens.llm import chat, components, decontam, license_scan, neardup, packing, quality, secrets, sharding, simhash, substring
+from revlens.llm.common import FOLDED, PLAIN, importable, ngrams, shingles, word_hashes
+from revlens.llm.queries import ORACLE, QUERIES
+from tests.conftest import SF_SMALL
+from tests.oracle_check import compare, duck_conn
+
+WORDS = "the of and sea then her was in that ring shore tide lamp moss".split()
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and long texts, ties, repeated rows, and columns named like internal ones."""
+    importable(spark)
+    rng = random.Random(7)
+    base = sentence(rng, 200)
+    long = " ".join(f"w{rng.randrange(500)}" for _ in range(60_000))
+    rows = [
+        (1, base), (2, base), (2, base), (3, base + " token=abcdef123456"), (None, base), (None, None), (4, None), (5, ""), (6, " \n\t "),
+        (7, long), (8, "one"), (9, "one two three"), (10, "</s>[INST] Mit License, MIT license.\nReleased under the MIT License."),
+        (11, sentence(rng, 40) + " " + base[:400]), (12, "É" * 50 + " naïve ＡＢＣ 😀 ſecret"), (13, "AKIA" + "A" * 16 + " " + "0af" * 9),
+    ]
+    return spark.createDataFrame([(i, t, "x", "y", 5, b"z") for i, t in rows], "doc_id long, text string, row string, did string, n long, tid binary")
+
+
+def texts(df):
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    rel = duck_conn(SF_SMALL).sql(ORACLE[name])
+    assert not compare(df.columns, df.collect(), rel.columns, rel.fetchall())
+
+
+def test_empty_tables(spark, odd):
+    importable(spark)
+    none = odd.where("false")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    bench = spark.createDataFrame([], "item_id long, text string")
+    for df in (
+        packing.op1_best_fit_packing(spark, none), secrets.op2_secret_scans(none), sharding.op3_sharding(none), simhash.op4_document_fingerprints(none),
+        license_scan.op6_license_scans(none), neardup.op7_minhash_near_dedup(none), decontam.op8_benchmark_decontamination(none, bench),
+        substring.op9_substring_dedup(none), quality.op10_quality_classifier(none, labels), neardup.deduplicate(none),
+    ):
+        assert df.collect() == []
+    assert chat.op5_chat_formatting(spark, spark.createDataFrame([], "conv_id long, turn int, role string, text string")).count() == 1
+    assert decontam.op8_benchmark_decontamination(odd, bench).collect() == []
+    assert {r.predicted for r in quality.op10_quality_classifier(odd, labels).collect()} == {1}
+
+
+# --- op1 ------------------------------------------------------------------------------
+
+def test_ids_equal_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, encode, rng = Tokenizer.from_file(path), packing.encoder(path), random.Random(1)
+    alphabet = "abcXYZ 0189.,'!?éÉßıİΣς\n\t\r\x1c\x85  ́ﬁ漢字😀_-<|endoftext|>"
+    cases = ["<|endoftext|> it's <|startoftext|>x", "", " ", "don't we'll I'd", "é ́"] + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(1500)]
+    for text in cases:
+        assert encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), repr(text)
+
+
+def test_packing_places_every_piece_once(spark, odd):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = Counter()
+    for doc, text in texts(odd):
+        ids = whole.encode(text, add_special_tokens=False).ids + [0]
+        want.update((doc, i // 2048, i, len(ids[i : i + 2048]), packing.crc(ids[i : i + 2048])) for i in range(0, len(ids), 2048))
+    rows = packing.op1_best_fit_packing(spark, odd).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_plan_is_a_packing_and_near_the_bound():
+    rng = random.Random(3)
+    for trial in range(60):
+        cap = rng.choice([7, 30, 100])
+        counts = {k: rng.randrange(1, 60) for k in rng.sample(range(1, cap + 1), rng.randrange(1, cap))}
+        slots, n = packing.plan(counts, cap)
+        bins, seen = defaultdict(list), Counter()
+        for length, first, some, sequence, per, offset in slots:
+            for i in range(some):
+                assert (length, first + i) not in seen
+                seen[length, first + i] += 1
+                bins[sequence + i // per].append((offset + i % per * length, length))
+        assert Counter(k for k, _ in seen) == Counter(counts) and len(bins) == n and set(bins) == set(range(n))
+        for parts in bins.values():
+            at = 0
+            for offset, length in sorted(parts):
+                assert offset == at
+                at += length
+            assert at <= cap and sum(3 * x > cap for _, x in parts) <= 2
+        # best fit decreasing, plain
+        gaps = []
+        for x in sorted((k for k, c in counts.items() for _ in range(c)), reverse=True):
+            fit = [i for i, g in enumerate(gaps) if g >= x]
+            if fit:
+                gaps[min(fit, key=lambda i: gaps[i])] -= x
+            else:
+                gaps.append(cap - x)
+        assert n <= len(gaps) * 1.08 + 1
+
+
+# --- op2 ------------------------------------------------------------------------------
+
+def test_secrets_equal_a_plain_scan(spark, odd):
+    rng = random.Random(5)
+    bits = ["token", "=", ":", '"', "'", "password", "PassWD ", "api_key", "apikey", "abcdef", "AKIA", "AB12" * 5, "0a1b" * 7, "f", " ", "\n", "ſecret=abcdefg", "é", "ghp_" + "a" * 36, "xoxb-" + "1" * 12]
+    made = spark.createDataFrame([(i, "".join(rng.choice(bits) for _ in range(rng.randrange(30)))) for i in range(600)], "doc_id long, text string")
+    for df in (odd, made):
+        got = Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secrets.op2_secret_scans(df).collect())
+        want = Counter()
+        for doc, text in texts(df):
+            spans = secrets.reference(text)
+            base = [s for s in spans if s[0] in ("assign", "access", "hex")]
+            n = Counter(k for k, _, _ in base)
+            want[doc, n["assign"], n["access"], n["hex"], secrets.sha(base), ",".join(f"{k}:{a}:{b}" for k, a, b in spans)] += 1
+        assert got == want
+
+
+def test_trigram_queries_never_lose_a_match():
+    rng = random.Random(9)
+    for pattern, wants in ((r"abc[de]f+x?", [b"abc"]), (r"(foo|bar)baz", [b"baz"]), (r"[0-9a-f]+", []), (r"a.c", []), (r"(?:abc){2}", [b"abc", b"bca", b"cab"])):
+        q = secrets.trigram_query(pattern)
+        assert set(wants) <= secrets.trigrams(q) and (wants or q is True)
+    import re
+
+    patterns = [r"ab(c|d)?e{2,3}f", r"x(yz|zy)+w", r"[ab]cd[ef]gh", r"(a|bc|def)ghi?j", r"abc|de", r"k(l?m){1,2}no"]
+    for p in patterns:
+        q, c = secrets.trigram_query(p), re.compile(p)
+        for _ in range(3000):
+            t = "".join(rng.choice("abcdefghijklmnowxyz") for _ in range(8)) if rng.random() < 0.3 else "".join(rng.choice(["ab", "c", "d", "ee", "f", "x", "yz", "zy", "w", "gh", "i", "j", "kl", "m", "no", "cd", "a", "bc", "def", "l"]) for _ in range(6))
+            if c.search(t):
+                posting = {g: np.array([0]) if g.decode() in t else np.zeros(0, int) for g in secrets.trigrams(q)}
+                assert len(secrets.candidates(q, posting, 1)), (p, t)
+
+
+def test_mask(spark):
+    df = spark.createDataFrame([("xx token=abcdef123 é 0123456789abcdef01234567 end",), ("token=0123456789abcdef01234567",), ("clean",), (None,)], "text string")
+    out = secrets.scan(df).select(secrets.mask(F.col("text"), F.col("spans")).alias("m")).collect()
+    assert [r.m for r in out] == ["xx [REDACTED] é [REDACTED] end", "[REDACTED]", "clean", None]
+
+
+# --- op3 ------------------------------------------------------------------------------
+
+def test_sharding_is_exact_and_uniform(spark, odd):
+    rows = sharding.op3_sharding(odd).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter((d, len(t.encode()) + 16, zlib.crc32(t.encode())) for d, t in texts(odd))
+    out = sharding.assign_shards(spark.range(5003).select("id"), 7, block_rows=300).collect()
+    by = defaultdict(list)
+    for r in out:
+        by[r.shard].append(r.slot)
+    assert sorted(map(len, by.values())) == [714, 714, 715, 715, 715, 715, 715] and all(sorted(x) == list(range(len(x))) for x in by.values())
+    # rows of one source block are spread as a uniform shuffle spreads them
+    first = np.bincount([r.shard for r in out if r.id < 700], minlength=7)
+    assert abs(first - 100).max() < 45
+    assert abs(np.corrcoef([r.id for r in out], [r.slot for r in out])[0, 1]) < 0.06
+
+
+def test_hypergeometric_draws(spark):
+    cases = spark.createDataFrame([(50.0, 20.0, 10.0), (1000.0, 300.0, 400.0), (10.0, 10.0, 4.0), (9.0, 3.0, 9.0), (8.0, 0.0, 5.0)], "total double, good double, draws double")
+    u = spark.range(4000).select(((F.col("id") + 0.5) / 4000).alias("u"))
+    drawn = cases.crossJoin(u).select("total", "good", "draws", sharding.hypergeometric(F.col("total"), F.col("good"), F.col("draws"), F.col("u")).alias("x"))
+    for r in drawn.groupBy("total", "good", "draws").agg(F.avg("x").alias("m"), F.var_pop("x").alias("v"), F.min("x").alias("a"), F.max("x").alias("b")).collect():
+        mean = r.draws * r.good / r.total
+        var = mean * (1 - r.good / r.total) * (r.total - r.draws) / (r.total - 1)
+        assert abs(r.m - mean) < 0.02 and abs(r.v - var) < 0.02 * max(var, 1)
+        assert max(0, r.draws + r.good - r.total) <= r.a and r.b <= min(r.good, r.draws)
+
+
+# --- op4 ------------------------------------------------------------------------------
+
+def test_fingerprints(spark, odd):
+    rows = simhash.op4_document_fingerprints(odd).collect()
+    assert len(rows) == odd.count()
+    docs = sorted({(d if d is not None else -(2**63), hashlib.md5(t.encode()).digest(), t) for d, t in texts(odd)}, reverse=True)
+    want, prints = {}, {}
+    for (d, _, t), (_, _, nxt) in zip(docs, docs[1:] + docs[:1]):
+        half = len(t) // 2
+        want.setdefault((d if d != -(2**63) else None, len(t)), set()).add(hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest())
+    for r in rows:
+        assert r.edited_sha256 in want[r.doc_id, r.n_chars]
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 and len(r.fingerprint) == 32
+    by_text = defaultdict(set)
+    for r in rows:
+        by_text[r.n_chars].add(r.fingerprint)
+    assert len(by_text[len(dict(texts(odd))[1])]) == 1  # equal texts of ids 1, 2, 2 and null
+
+
+def test_block_tables_find_all_within_the_radius(spark):
+    rng = random.Random(2)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    seeds = [rng.getrandbits(128) for _ in range(30)]
+    values = [s ^ sum(1 << b for b in rng.sample(range(128), rng.randrange(6))) for s in seeds for _ in range(6)]
+    df = spark.createDataFrame([([signed(v & (1 << 64) - 1), signed(v >> 64)],) for v in values] + [(None,)], "fp array<long>")
+    got = {frozenset((tuple(r.fp_a), tuple(r.fp_b))): r.distance for r in simhash.near_fingerprints(df, 3).collect()}
+    keys = {(signed(v & (1 << 64) - 1), signed(v >> 64)): v for v in values}
+    want = {frozenset((a, b)): (keys[a] ^ keys[b]).bit_count() for a in keys for b in keys if a < b and (keys[a] ^ keys[b]).bit_count() <= 3}
+    assert got == want
+
+
+# --- op5 ------------------------------------------------------------------------------
+
+def test_chat_reads_back_identical(spark):
+    importable(spark)
+    rng = random.Random(4)
+    bits = ["[INST]", "[/INST]", "<s>", "</s>", "\\", "[\\INST]", "[", "<", "/", "INST]", "s>", "\n", "ok ", "é", "$1"]
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "a\\nb\n", "[INST]", None]), "".join(rng.choice(bits) for _ in range(rng.randrange(12))) if rng.random() < 0.9 else None) for c in range(300) for t in range(rng.randrange(1, 6))]
+    rows += [(None, None, None, None), (7, 0, "user", "again"), (7, 0, "user", "again")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    want = defaultdict(list)
+    for c, t, r, x in rows:
+        want[c].append((-1 if t is None else t, r or "", x or ""))
+    out = chat.format_conversations(df).collect()
+    assert {r.conv_id: [(t.role, t.text) for t in r.turns] for r in out} == {c: [(r, x) for _, r, x in sorted(ts)] for c, ts in want.items()}
+    assert any(r.n_escaped for r in out) and not all(r.n_escaped for r in out)
+
+
+# --- op6 ------------------------------------------------------------------------------
+
+def test_license_scan(spark, odd):
+    got = {(r.doc_id, r.n_words): r for r in license_scan.op6_license_scans(odd).collect()}
+    for doc, text in texts(odd):
+        words = license_scan.words_of(text)
+        places = [(i, label) for p, label in license_scan.PHRASES for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        labels = {x for _, x in places} | {
+            label for label, t in license_scan.TEMPLATES for line in text.split("\n")
+            if len(set(license_scan.words_of(t)) & set(license_scan.words_of(line))) >= 0.8 * len(set(license_scan.words_of(t))) - 1e-9}
+        r = got[doc, len(words)]
+        assert (r.n_base, r.labels, r.base_labels) == (len(places), ",".join(sorted(labels)), ",".join(sorted({x for _, x in places})))
+        assert (r.first_word, r.last_word) == ((min(places)[0], max(places)[0]) if places else (None, None))
+    assert [(r.labels, r.n_base) for (d, _), r in got.items() if d == 10] == [("mit", 3)]
+
+
+# --- op7 ------------------------------------------------------------------------------
+
+def classes_by_force(rows, threshold=0.8):
+    keys = sorted({(d if d is not None else -(2**63), t) for d, t in rows})
+    by_text = {}
+    for d, t in keys:
+        by_text.setdefault(t, d)
+    sets = {t: Counter(shingles(word_hashes(np.frombuffer(t.encode(), np.uint8), PLAIN)[2]).tolist()) for t in by_text}
+    parent = {t: t for t in by_text}
+
+    def find(t):
+        while parent[t] != t:
+            t = parent[t]
+        return t
+
+    todo = list(by_text)
+    for i, a in enumerate(todo):
+        for b in todo[:i]:
+            x, y = sets[a], sets[b]
+            both = sum((x & y).values())
+            if x and y and both >= threshold * (sum(x.values()) + sum(y.values()) - both):
+                parent[find(a)] = find(b)
+    least = {}
+    for d, t in keys:
+        least[find(t)] = min(least.get(find(t), d), d)
+    return Counter((d, least[find(t)] if least[find(t)] != -(2**63) else None) for d, t in rows)
+
+
+def near_copies(seed, n, edits):
+    rng = random.Random(seed)
+    base = [rng.choice(WORDS) + str(rng.randrange(50)) for _ in range(120)]
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randrange(edits)):
+            words[rng.randrange(len(words))] = "x" + str(rng.randrange(10**6))
+        out.append(" ".join(words))
+    return out
+
+
+def test_near_duplicate_classes(spark, odd, monkeypatch):
+    rows = texts(odd) + [(100 + i, t) for i, t in enumerate(near_copies(1, 60, 5) + near_copies(2, 60, 12) + near_copies(3, 5, 2))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = classes_by_force(rows)
+    assert Counter((r.doc_id, r.class_id) for r in neardup.op7_minhash_near_dedup(df).collect()) == want
+    monkeypatch.setattr(neardup, "PART", 16)  # crowds in several parts
+    assert Counter((r.doc_id, r.class_id) for r in neardup.op7_minhash_near_dedup(df).collect()) == want
+    kept = neardup.deduplicate(df.withColumn("row", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "row"] and kept.count() == len({c for _, c in want}) + 1  # null ids are in two classes
+
+
+def test_darts_estimate_weighted_similarity():
+    rng = np.random.default_rng(1)
+    e = rng.integers(0, 2**63, 80).astype(np.uint64)
+    a, b = rng.uniform(0.2, 4, 80), rng.uniform(0.2, 4, 80)
+    b[40:] = a[40:]
+    sig = neardup.dart_signatures(np.repeat([0, 1], 80), np.tile(e, 2), np.r_[a, b], 3, k=4000)
+    assert abs((sig[0] == sig[1]).mean() - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.03
+    assert not sig[2].any() and (sig[:2] != 0).all()
+
+
+def test_components(spark):
+    rng = random.Random(6)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1080)] + [(2000, 3000 + i) for i in range(50)] + [(5, 5)]
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges + [(None, 1)], "a long, b long")).collect()}
+    assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+
+
+# --- op8 ------------------------------------------------------------------------------
+
+def test_containment_equals_brute_force(spark):
+    importable(spark)
+    rng = random.Random(8)
+    word = lambda: rng.choice(WORDS) + str(rng.randrange(300))
+    items = [(i, " ".join(word() for _ in range(rng.choice([1, 3, 5, 9, 20, 40, 70, 200])))) for i in range(60)] + [(60, ""), (61, None), (62, "!!")]
+    docs = []
+    for d in range(300):
+        words = [word() for _ in range(rng.choice([0, 4, 60, 500, 4000]))]
+        for _ in range(rng.randrange(3)):
+            part = (rng.choice(items)[1] or "").split()
+            if rng.random() < 0.4 and len(part) > 20:
+                part[rng.randrange(len(part))] = "Zzz"
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = part
+        docs.append((d, " ".join(words).upper() if d % 7 == 0 else " ".join(words)))
+    docs += [(None, None), (5, "")]
+    got = {(r.doc_id, r.item_id, round(r.containment, 9)) for r in decontam.op8_benchmark_decontamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+
+    def grams(text, n):
+        return set(ngrams(word_hashes(np.frombuffer((text or "").encode(), np.uint8), FOLDED)[2], n).tolist())
+
+    want = set()
+    for i, t in items:
+        n = min(5, len(word_hashes(np.frombuffer((t or "").encode(), np.uint8), FOLDED)[2]))
+        s = grams(t, n) if n else set()
+        for d, x in docs:
+            if s and len(s & grams(x, n)) / len(s) >= 0.8:
+                want.add((d, i, round(len(s & grams(x, n)) / len(s), 9)))
+    assert got == want and len(want) > 50
+
+
+def test_items_in_several_batches(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "ITEMS_AT_ONCE", 2)
+    items = spark.createDataFrame([(i, f"a{i} b c d e f{i} g") for i in range(5)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x a0 b c d e f0 g y a4 b c d e f4 g")], "doc_id long, text string")
+    assert sorted(r.item_id for r in decontam.op8_benchmark_decontamination(docs, items).collect()) == [0, 4]
+
+
+# --- op9 ------------------------------------------------------------------------------
+
+def kept_by_force(rows):
+    docs = [(d if d is not None else -(2**63), t.encode().split()) for d, t in rows]
+    first = {}
+    for d, w in docs:
+        for i in range(len(w) - 12):
+            key = tuple(w[i : i + 13])
+            first[key] = min(first.get(key, d), d)
+    out = Counter()
+    for (d, w), (doc, _) in zip(docs, rows):
+        gone = {p for i in range(len(w) - 12) if first[tuple(w[i : i + 13])] < d for p in range(i, i + 13)}
+        out[doc, len(w), len(gone), hashlib.sha256(b" ".join(x for i, x in enumerate(w) if i not in gone)).hexdigest()] += 1
+    return out
+
+
+def test_substring_dedup_equals_brute_force(spark, odd):
+    rng = random.Random(11)
+    passages = [sentence(rng, n).split() for n in (13, 14, 20, 25, 60, 12)]
+    rows = texts(odd)
+    for d in range(250):
+        words = [rng.choice(WORDS) + str(rng.randrange(400)) for _ in range(rng.choice([0, 5, 13, 40, 200]))]
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = rng.choice(passages)
+        rows.append((rng.randrange(1000), rng.choice([" ", "\n", "\t "]).join(words)))
+    rows += rng.sample(rows, 30) + [(2000 + i, rows[-5][1]) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = kept_by_force(rows)
+    for sizes in ({}, {"shard_bytes": 3000, "block_bytes": 4000}):
+        got = substring.remove_repeats(df, **sizes).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("h")).collect()
+        assert Counter(tuple(r) for r in got) == want
+
+
+# --- op10 and the pipeline ----------------------------------------------------------------
+
+def test_quality_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = {r.doc_id: r for r in QUERIES["op10_quality_classifier"](spark, sf).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(d).encode()) % 4 == 2) and r.predicted == int(r.score >= 0.7) for d, r in rows.items())
+    held = [d for d in labels if rows[d].held_out]
+    assert len(held) > 50 and np.mean([rows[d].predicted == labels[d] for d in held]) >= 0.95
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    importable(spark)
+    names = docs.columns
+    good = corpus_pipeline.quality_stage(spark, docs, SF_SMALL)
+    assert good.columns == names and 0 < good.count() <= docs.count()
+    once = corpus_pipeline.near_dedup_stage(spark, docs, SF_SMALL)
+    want = classes_by_force(texts(docs))
+    assert once.columns == names and sorted(r.doc_id for r in once.collect()) == sorted({c for _, c in want})
+    clean = corpus_pipeline.decontamination_stage(spark, docs, SF_SMALL)
+    leaks = {r.doc_id for r in QUERIES["op8_benchmark_decontamination"](spark, SF_SMALL).collect()}
+    assert clean.columns == names and {r.doc_id for r in clean.collect()} == {d for d, _ in texts(docs)} - leaks
+    masked = {r.doc_id: r for r in corpus_pipeline.secrets_stage(spark, docs, SF_SMALL).collect()}
+    for r in docs.collect():
+        out, spans = masked[r.doc_id].text, secrets.reference(r.text)
+        assert (out == r.text and masked[r.doc_id].n_chars == r.n_chars) if not spans else (not secrets.reference(out) and masked[r.doc_id].n_chars == len(out))
+    packed = corpus_pipeline.run(spark, SF_SMALL)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "decontamination", "secrets", "packing"] and packed.count() > 0
+
+
+def test_the_rest_works_without_the_subpackage(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    shutil.copytree(f"{here}/revlens", tmp_path / "revlens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{here}/__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'products_at_risk' in q and not any(k.startswith('op') for k in q) and 'pipeline' not in q and set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
