@@ -114,10 +114,13 @@ def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title", "review_
 def dedupe_products(raw: DataFrame, key: str = "parent_asin", count_col: str = "rating_number", tiebreak=("title",)) -> DataFrame:
     """One row per product id with the most ratings (nulls last); null ids dropped.
 
-    Ties go by ``tiebreak``, then by every other column that can be ordered.
+    Ties go by ``tiebreak``, then by every other column.
     """
-    unordered = (T.MapType, T.VariantType)
-    rest = [f.name for f in raw.schema.fields if f.name not in (key, count_col, *tiebreak) and not isinstance(f.dataType, unordered)]
+    # maps cannot be ordered; columns that hold some go by their JSON text
+    rest = [
+        F.to_json(f.name).asc_nulls_last() if "map<" in f.dataType.simpleString() else f.name
+        for f in raw.schema.fields if f.name not in (key, count_col, *tiebreak)
+    ]
     return keep_best(
         raw,
         keys=[key],

@@ -44,7 +44,7 @@ def test_rules_priority_then_label(spark):
 
 
 def test_rules_beyond_one_expression_with_null_priority_and_null_key(spark):
-    rules = spark.createDataFrame([("B", "ring", None), ("A", "ring", 1)] + [(f"Z{i}", f"word{i}\\b", 5) for i in range(250)], RULES_SCHEMA)
+    rules = spark.createDataFrame([("B", "ring", None), ("A", "ring", 1)] + [(f"Z{i}", f"word{i}\\b", 5) for i in range(250)], "subcategory string, keyword_pattern string, priority int")
     df = spark.createDataFrame([(None, "ring x"), (1, "word249 ring"), (1, "nothing")], "id int, title string")
     out = classify_by_rules(df, F.lower("title"), rules)
     assert sorted(r.subcategory for r in out.collect()) == ["A", "Uncategorized", "Z249"]
@@ -170,3 +170,12 @@ def test_output_column_contracts(spark):
     }
     for name, width in expected_widths.items():
         assert len(getattr(wh, name).columns) == width, name
+
+
+def test_dedup_keeps_the_same_row_for_any_input_order(spark):
+    from revlens.operators.staging import clean_reviews, fct_reviews
+
+    rows = [("P", "V", "U", r, "t", "same text", dt.datetime(2020, 1, 1), 1, v) for r in (1.0, 5.0) for v in (True, False)]
+    schema = "parent_asin string, asin string, user_id string, rating double, title string, text string, timestamp timestamp_ntz, helpful_vote int, verified_purchase boolean"
+    kept = {tuple(fct_reviews(clean_reviews(spark.createDataFrame(x, schema).coalesce(1))).select("rating", "is_verified_purchase").first()) for x in (rows, rows[::-1])}
+    assert kept == {(1, False)}

@@ -127,3 +127,10 @@ def test_read_products_merges_schemas(spark, tmpdir_path):
         .write.parquet(f"{tmpdir_path}/p/b")
     df = io.read_products(spark, [f"{tmpdir_path}/p/a", f"{tmpdir_path}/p/b"], merge_schema=True)
     assert "rating_number" in df.columns and df.count() == 2
+
+
+def test_malformed_json_lines_fail(spark, tmpdir_path):
+    with open(f"{tmpdir_path}/bad.jsonl", "w") as f:
+        f.write('{"rating": 5.0, "text": "a", "asin": "A"}\n{"rating": 5.0, "text"\n')
+    with pytest.raises(Exception):
+        io.read_reviews(spark, f"{tmpdir_path}/bad.jsonl", fmt="json").collect()
