@@ -28,6 +28,10 @@ ITEMS_AT_ONCE, CHARS_AT_ONCE = 20_000, 1 << 24
 SMALLEST = 8
 
 _A, _B = seeds(HASHES, 21) | U(1), seeds(HASHES, 22)
+#: Tells the values of one hash from those of another in a common table.
+_OWN = seeds(HASHES, 23)
+#: Shingles hashed at a time.
+AT_ONCE = 1 << 14
 
 
 class Items:
@@ -50,11 +54,9 @@ class Items:
         self.tables = {}
         for key, members in self.classes.items():
             sketch = np.array([(self.sets[m][:, None] * _A + _B).min(axis=0) for m in members], dtype=U)
-            table = []
-            for c in range(HASHES):
-                order = np.argsort(sketch[:, c], kind="stable")
-                table.append((sketch[order, c], np.array(members)[order]))
-            self.tables[key] = table
+            values = (sketch ^ _OWN).ravel()
+            order = np.argsort(values, kind="stable")
+            self.tables[key] = values[order], np.repeat(members, HASHES)[order]
 
     def candidates(self, words: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
         """Items that may be contained in a document, and its sorted shingles by width."""
@@ -66,20 +68,18 @@ class Items:
                 continue
             shingled[width] = np.unique(s)
             sizes = sorted(z for w, z in self.tables if w == width)
-            for c in range(HASHES):
-                v = s * _A[c] + _B[c]
+            step = max(AT_ONCE, sizes[-1])  # parts begin where blocks do, and overlap by a window
+            for low in range(0, len(s), step):
+                v = s[low : low + step + 2 * sizes[-1], None] * _A + _B
                 size = 1
                 for z in sizes:
-                    step = z // size
-                    v, size = np.minimum.reduceat(v, np.arange(0, len(v), step)), z
-                    window = np.minimum(v[:-1], v[1:]) if len(v) > 1 else v
-                    values, members = self.tables[width, z][c]
+                    v, size = np.minimum.reduceat(v, np.arange(0, len(v), z // size), axis=0), z
+                    window = ((np.minimum(v[:-1], v[1:]) if len(v) > 1 else v) ^ _OWN).ravel()
+                    values, members = self.tables[width, z]
                     at = np.searchsorted(values, window)
-                    hit = window[(at < len(values)) & (values[np.minimum(at, len(values) - 1)] == window)]
-                    if len(hit):
-                        hit = np.unique(hit)
-                        a, b = np.searchsorted(values, hit), np.searchsorted(values, hit, side="right")
-                        found += [members[x:y] for x, y in zip(a, b)]
+                    hit = np.unique(window[values[np.minimum(at, len(values) - 1)] == window])
+                    x, y = np.searchsorted(values, hit), np.searchsorted(values, hit, side="right")
+                    found += [members[i:j] for i, j in zip(x, y)]
         return (np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)), shingled
 
     def contained(self, words: np.ndarray, threshold: float) -> list[tuple[int, float]]:
