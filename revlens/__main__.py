@@ -70,7 +70,7 @@ def main(argv=None) -> int:
 
         as_of = dt.datetime.fromisoformat(a.as_of) if a.as_of else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         hist = scd2_snapshot(spark, stg_products(products, mapping, rules), a.history, "product_id", PRODUCT_CHECK_COLS, as_of)
-        print(json.dumps({"history_rows": hist.count(), "open_rows": hist.where("valid_to is null").count()}))
+        print(json.dumps(hist.selectExpr("count(*) history_rows", "count_if(valid_to is null) open_rows").first().asDict()))
         return 0
 
     from revlens.plans.checks import run_suite
@@ -87,10 +87,10 @@ def main(argv=None) -> int:
         return 0
 
     # test
-    wh = Warehouse(reviews, products, mapping, rules, materialize="ephemeral")
     if a.out:
-        for name in {n for level in Warehouse.LEVELS for n in level}:
-            wh._written[name] = spark.read.parquet(f"{a.out.rstrip('/')}/{name}")
+        wh = Warehouse(reviews, products, mapping, rules, materialize="table", output_root=a.out).load()
+    else:
+        wh = Warehouse(reviews, products, mapping, rules, materialize="ephemeral")
     rows = run_suite(wh).collect()
     bad = [r for r in rows if r.failures]
     for r in rows:

@@ -18,18 +18,21 @@ def date_dimension(
     df: DataFrame,
     date_col: str = "reviewed_date",
     pad_days: int = 30,
-    floor: dt.date = SPINE_START,
-    end: dt.date = SPINE_END,
+    floor: dt.date | None = None,
+    end: dt.date | None = None,
 ) -> DataFrame:
-    """One row per day from (min − pad) to (max + pad), clamped to [floor, end).
+    """One row per day from (min − pad) to (max + pad), clamped to [floor, end) where given.
 
     The bounds are one partial/final aggregate; the day list is generated with
-    ``sequence`` + ``explode`` (bounded by the spine, at most ~9.5k rows).
+    ``sequence`` + ``explode`` (366 rows a year of the data's range). No dates: no rows.
     """
     b = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    lo = F.greatest(F.date_sub("lo", pad_days), F.lit(floor))
-    hi = F.least(F.date_add("hi", pad_days), F.date_sub(F.lit(end), 1))
-    days = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<date>"))
+    lo, hi = F.date_sub("lo", pad_days), F.date_add("hi", pad_days)
+    if floor is not None:
+        lo = F.greatest(lo, F.lit(floor))
+    if end is not None:
+        hi = F.least(hi, F.date_sub(F.lit(end), 1))
+    days = F.when(F.col("lo").isNotNull() & (lo <= hi), F.sequence(lo, hi)).otherwise(F.array().cast("array<date>"))
     d = b.select(F.explode(days).alias("date"))
     c = F.col("date")
     year, quarter, month = F.year(c).cast("long"), F.quarter(c).cast("long"), F.month(c).cast("long")

@@ -85,9 +85,9 @@ def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title", "review_
     one row per map task before the shuffle.
 
     ``cluster_by_month`` adds ``review_month`` (first day of the review's month)
-    and range-partitions the deduplicated rows on (month, review key) — the key
-    is unique, so every month splits evenly across tasks — ready to be written
-    partitioned by month with one or two month directories per task.
+    and rebalances the deduplicated rows by month, ready to be written
+    partitioned by month: adaptive execution splits the shuffle blocks of a big
+    month over several tasks and merges small ones, without a sampling job.
     """
     best = keep_best(
         stg,
@@ -105,9 +105,7 @@ def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title", "review_
         RF.has_votes("helpful_vote_count").alias("has_helpful_votes"),
     )
     if cluster_by_month:
-        out = out.withColumn("review_month", F.trunc("reviewed_date", "month")).repartitionByRange(
-            F.col("review_month").asc_nulls_last(), F.col("review_key").asc()
-        )
+        out = out.withColumn("review_month", F.trunc("reviewed_date", "month")).hint("rebalance", "review_month")
     return out
 
 

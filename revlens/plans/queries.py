@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from revlens import functions as RF
 from revlens.operators import quality as Q
+from revlens.operators.calendar import date_dimension
 from revlens.operators.classify import classify_by_rules, map_lookup
 from revlens.operators.profiling import (
     coverage, profile_joined_categories, profile_samples, profile_table, value_counts, value_share,
@@ -309,6 +310,7 @@ QUERIES: dict[str, Query] = {
     # step 6: calendar
     "date_bounds": q_date_bounds,
     "date_dimension": _wh("dim_dates"),
+    "date_dimension_all": lambda spark, d: date_dimension(warehouse(spark, d).stg_reviews),
     # step 7: history
     "scd2_apply": q_scd2_apply,
     "scd2_as_of": q_scd2_as_of,

@@ -22,7 +22,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.operators.calendar import date_dimension
+from revlens.operators.calendar import SPINE_END, SPINE_START, date_dimension
 from revlens.operators.categories import category_performance, tendency_aggregates
 from revlens.operators.products import dim_products
 from revlens.operators.reviewers import dim_reviewers, reviewer_history, with_reviewer_context
@@ -83,6 +83,13 @@ class Warehouse:
             self._written[name] = written
         return written
 
+    def load(self) -> "Warehouse":
+        """Take every model that ``build`` writes from ``output_root``: other models, and
+        tests, then derive from those tables, not from the raw inputs."""
+        for name in (n for level in self.LEVELS for n in level):
+            self.__dict__[name] = self._written[name] = self.spark.read.parquet(self._path(name))
+        return self
+
     def table(self, name: str) -> DataFrame:
         """A model by name: its written table when the build wrote it, else the lazy plan."""
         return self._written.get(name) if name in self._written else getattr(self, name)
@@ -107,8 +114,8 @@ class Warehouse:
     def latest_review_date(self):
         """Scalar anchor: the latest review date.
 
-        On the month-partitioned fact table only the newest month's partition is
-        read (its month comes from partition metadata).
+        On the month-partitioned fact table a scan without data columns finds the
+        newest month, and dates are read from that month's partition only.
         """
         src = self._dated_reviews
         if "review_month" in src.columns:
@@ -157,7 +164,7 @@ class Warehouse:
 
     @cached_property
     def dim_dates(self) -> DataFrame:
-        return date_dimension(self._dated_reviews)
+        return date_dimension(self._dated_reviews, floor=SPINE_START, end=SPINE_END)
 
     @cached_property
     def fct_reviews_daily(self) -> DataFrame:

@@ -56,7 +56,10 @@ def raw_reviews(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Data
             + (ln % 3 - 1),
         ),
     ).cast("double")
-    base = j.select(
+    # one join; a seventh line item also gives a duplicate (kind 1), a sixth one a review without text (kind 2)
+    kinds = F.when(ln == 7, F.array(F.lit(0), F.lit(1))).when(ln == 6, F.array(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0)))
+    kind = F.col("kind")
+    return j.withColumn("kind", F.explode(kinds)).select(
         _pid(pk).alias("parent_asin"),
         F.concat(F.lit("P"), pk.cast("string"), F.lit("-"), (F.col("l_suppkey") % 3).cast("string")).alias("asin"),
         F.concat(
@@ -65,24 +68,14 @@ def raw_reviews(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> Data
         ).alias("user_id"),
         rating.alias("rating"),
         F.col("p_name").alias("title"),
-        F.repeat(F.concat(F.col("p_name"), F.lit(" ")), qty).alias("text"),
+        F.when(kind == 0, F.repeat(F.concat(F.col("p_name"), F.lit(" ")), qty))
+        .when(kind == 1, F.lit("dup"))
+        .when(qty % 4 != 0, F.lit(""))
+        .alias("text"),
         F.col("l_shipdate").alias("timestamp"),
-        (qty % 4).alias("helpful_vote"),
+        F.when(kind == 0, qty % 4).otherwise(F.lit(0)).alias("helpful_vote"),
         (~((F.col("l_returnflag") == "R") & (pk % 3 != 1))).alias("verified_purchase"),
-        ln.alias("ln"),
     )
-    cols = ["parent_asin", "asin", "user_id", "rating", "title", "text", "timestamp", "helpful_vote", "verified_purchase"]
-    dup = base.where(F.col("ln") == 7).select(
-        *cols[:5], F.lit("dup").alias("text"), "timestamp", F.lit(0).alias("helpful_vote"), "verified_purchase"
-    )
-    bad = base.where(F.col("ln") == 6).select(
-        *cols[:5],
-        F.when(F.col("helpful_vote") == 0, F.lit(None).cast("string")).otherwise(F.lit("")).alias("text"),
-        "timestamp",
-        F.lit(0).alias("helpful_vote"),
-        "verified_purchase",
-    )
-    return base.select(*cols).unionByName(dup).unionByName(bad)
 
 
 # --------------------------------------------------------------------------

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from revlens.operators import classify as C
-from revlens.operators.calendar import date_dimension
+from revlens.operators.calendar import SPINE_END, SPINE_START, date_dimension
 from revlens.operators.classify import classify_by_rules, map_lookup
 from revlens.operators.dedupe import keep_best
 from revlens.plans.queries import warehouse
@@ -61,17 +61,19 @@ def test_map_lookup_defaults_and_broadcast(spark):
 
 def test_calendar_clamp_and_labels(spark):
     df = spark.createDataFrame([(dt.date(2000, 1, 20),), (dt.date(2000, 3, 1),)], "reviewed_date date")
-    cal = date_dimension(df)
+    cal = date_dimension(df, floor=SPINE_START, end=SPINE_END)
     rows = cal.orderBy("date").collect()
     assert rows[0].date == dt.date(2000, 1, 1)  # min − 30 days clipped by the spine floor
     assert rows[-1].date == dt.date(2000, 3, 31)
     r = [x for x in rows if x.date == dt.date(2000, 1, 2)][0]
     assert (r.day_name, r.day_of_week, r.is_weekend, r.month_name, r.year_month, r.quarter_label) == \
         ("Sunday", 0, True, "January", "2000-01", "Q1 2000")
-    # a lower floor lets the padding through; an empty range yields no rows
-    assert date_dimension(df, floor=dt.date(1990, 1, 1)).agg(F.min("date")).first()[0] == dt.date(1999, 12, 21)
+    # without bounds the padding shows on both sides; an empty range and no dates yield no rows
+    assert date_dimension(df).agg(F.min("date")).first()[0] == dt.date(1999, 12, 21)
     late = spark.createDataFrame([(dt.date(2030, 1, 1),)], "reviewed_date date")
-    assert date_dimension(late).count() == 0
+    assert date_dimension(late).count() == 61
+    assert date_dimension(late, floor=SPINE_START, end=SPINE_END).count() == 0
+    assert date_dimension(df.where("false")).count() == date_dimension(df.where("false"), floor=SPINE_START, end=SPINE_END).count() == 0
 
 
 def test_warehouse_invariants(spark):
@@ -143,7 +145,7 @@ def test_month_partitioned_fact_table(spark, tmpdir_path):
     lazy = warehouse(spark, SF_SMALL)
     plan = fct_reviews(lazy.stg_reviews, cluster_by_month=True)._jdf.queryExecution().executedPlan().toString()
     # dedup keeps its partial group limit before the hash exchange; the month layout comes after
-    assert plan.count("WindowGroupLimit") == 2 and "rangepartitioning(review_month" in plan
+    assert plan.count("WindowGroupLimit") == 2 and "REBALANCE_PARTITIONS_BY_COL" in plan and "rangepartitioning" not in plan
     wh = warehouse(spark, SF_SMALL, materialize="table", output_root=f"{tmpdir_path}/m")
     assert "review_month" in wh.fct_reviews.columns
     recent = wh.recent_sentiment
