@@ -110,7 +110,10 @@ def category_rollup(dim_products: DataFrame) -> DataFrame:
 
     Sums per-product distinct-reviewer counts (a reviewer of two products in
     one category counts twice), and averages product averages unweighted.
+    These have two digits, so they are summed as whole hundredths: the average
+    does not depend on the order of rows, nor does the side a tie rounds to.
     """
+    hundredths = RF.round_half_away(F.col("our_avg_rating") * 100, 0).cast("long")
     neg_sum = F.sum("negative_review_count")
     rev_sum = F.sum("our_review_count")
     return (
@@ -121,7 +124,7 @@ def category_rollup(dim_products: DataFrame) -> DataFrame:
             RF.count_if(F.col("is_premium")).alias("premium_product_count"),
             rev_sum.cast("long").alias("total_reviews"),
             F.sum("distinct_reviewer_count").cast("long").alias("total_distinct_reviewers"),
-            RF.round_half_away(F.avg("our_avg_rating"), 3).alias("avg_product_rating"),
+            RF.round_half_away(F.try_divide(F.sum(hundredths), F.count("our_avg_rating") * 100), 3).alias("avg_product_rating"),
             F.sum("positive_review_count").cast("long").alias("positive_review_count"),
             neg_sum.cast("long").alias("negative_review_count"),
             F.sum("neutral_review_count").cast("long").alias("neutral_review_count"),

@@ -181,3 +181,19 @@ def test_dedup_keeps_the_same_row_for_any_input_order(spark):
     schema = "parent_asin string, asin string, user_id string, rating double, title string, text string, timestamp timestamp_ntz, helpful_vote int, verified_purchase boolean"
     kept = {tuple(fct_reviews(clean_reviews(spark.createDataFrame(x, schema).coalesce(1))).select("rating", "is_verified_purchase").first()) for x in (rows, rows[::-1])}
     assert kept == {(1, False)}
+
+
+def test_category_average_is_exact_at_ties(spark):
+    """An average of 3.6595 rounds up in any order of rows; no ratings give null."""
+    from revlens.operators.rollups import category_rollup
+
+    day = dt.date(2020, 1, 1)
+    rows = [("g", "tie", x) for x in [3.66] * 19 + [3.65]] + [("g", "none", None)]
+    products = spark.createDataFrame(
+        [(g, s, 1, 1, False, x, 0, 0, 1, day, day) for g, s, x in rows],
+        "category_group string, subcategory string, our_review_count long, distinct_reviewer_count long, is_premium boolean, our_avg_rating double, "
+        "positive_review_count long, negative_review_count long, neutral_review_count long, first_reviewed_date date, last_reviewed_date date",
+    )
+    for order in ("our_avg_rating", F.desc("our_avg_rating")):
+        got = {r["subcategory"]: r["avg_product_rating"] for r in category_rollup(products.repartition(1).sortWithinPartitions(order)).collect()}
+        assert got == {"tie": 3.66, "none": None}
