@@ -1,11 +1,16 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
 Method: a template is a set of words, ordered by how many documents of the corpus
-hold each, the rarest first. A block (a line) that contains at least ``threshold`` of
-a template's n words, i.e. need = ceil(threshold * n), must hold one of its first
-n - need + 1: its prefix. Blocks with fewer words than need are out (length), as are
-those whose first common word stands too far back for need words to follow
-(positional); the others are counted exactly. Only DataFrame functions.
+hold each, the rarest first. A block that contains at least ``threshold`` of a
+template's n words, i.e. need = ceil(threshold * n), must hold one of its first
+n - need + 1: its prefix. Blocks are lines, and for notices wrapped over lines every
+run of as many consecutive words as the template's text has, across line ends.
+
+Lines with fewer words than need are out (length), as are those whose first common
+word stands too far back for need words to follow (positional); the others are counted
+exactly. Runs are looked at only around a prefix word near a line end (a run within a
+line holds no more than the line), where its neighbourhood has need words. Only
+DataFrame functions.
 """
 
 from __future__ import annotations
@@ -42,8 +47,9 @@ def words_of(text: str) -> list[str]:
 
 
 def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """did, tid, line (from 0), template (its number), containment for every line of a text
-    that holds at least ``threshold`` of a template's distinct words.
+    """did, tid, line (from 0), template (its number), containment for every block of a text
+    that holds at least ``threshold`` of a template's distinct words; ``line`` is the line
+    itself, or that of a prefix word next to which a run across line ends matches best.
 
     Words as in the scan; templates without words match nothing. Rows with equal doc_id and
     text give their lines once. ``templates`` is a short list, it goes into the plan.
@@ -69,7 +75,36 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = TH
     found = lines.select("did", "tid", "line", F.size("words").alias("n"), F.explode("words").alias("word")).join(F.broadcast(index), "word")
     found = found.where("n >= need").groupBy("did", "tid", "line", "template", "size", "need").agg(F.count("*").alias("common"), F.min("place").alias("place"))
     found = found.where((F.col("place") <= F.col("size") - F.col("need")) & (F.col("common") >= F.col("need")))
-    return found.select("did", "tid", "line", "template", (F.col("common") / F.col("size")).alias("containment"))
+    whole = found.select("did", "tid", "line", "template", (F.col("common") / F.col("size")).alias("containment"))
+    anchors = docs.sparkSession.createDataFrame(
+        [(w, t, s, len(words_of(templates[t][1])), need) for t, (s, need) in enumerate(zip(ordered, needs)) for w in s[: len(s) - need + 1]],
+        "word string, template int, set array<string>, span int, need int",
+    )
+    wrapped = _wrapped(base, prefix, max((len(words_of(t)) for _, t in templates), default=1), anchors)
+    return whole.unionByName(wrapped).groupBy("did", "tid", "line", "template").agg(F.max("containment").alias("containment"))
+
+
+def _wrapped(base: DataFrame, prefix: list[str], reach: int, anchors: DataFrame) -> DataFrame:
+    """did, tid, line, template, containment where a run of a template's number of words matches.
+
+    Every run with a prefix word lies in the ``reach`` words to either side of it; those
+    that stand in one line are left to the match of lines.
+    """
+    some = base.where(F.col("text").contains("\n") & F.col("text").rlike(r"[ \n](?:" + "|".join(prefix) + r")[ \n]")).distinct()
+    words = F.flatten(F.transform(F.split("text", "\n"), lambda x, i: F.transform(F.filter(F.split(x, " "), lambda w: w != ""), lambda w: F.struct(w.alias("word"), i.alias("line")))))
+    some = some.select("did", "tid", words.alias("words")).select("did", "tid", "words", F.size("words").alias("n"))
+    at = F.filter(F.sequence(F.lit(1), "n"), lambda i: F.element_at("words", i)["word"].isin(prefix))
+    low, high = lambda i: F.greatest(i - (reach - 1), F.lit(1)), lambda i: F.least(i + (reach - 1), F.col("n"))
+    at = F.filter(at, lambda i: F.element_at("words", low(i))["line"] < F.element_at("words", high(i))["line"])
+    near = F.transform(at, lambda i: F.struct(
+        F.element_at("words", i)["line"].alias("line"), F.element_at("words", i)["word"].alias("word"),
+        F.slice("words", low(i), high(i) - low(i) + 1)["word"].alias("near"),
+    ))
+    near = some.where("n > 0").select("did", "tid", F.explode(near).alias("x")).select("did", "tid", "x.*").join(F.broadcast(anchors), "word")
+    near = near.where(F.size(F.array_intersect("near", "set")) >= F.col("need"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("near") - F.col("span") + 1, F.lit(1)))
+    common = F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(F.slice("near", i, F.col("span")), "set"))))
+    return near.withColumn("common", common).where("common >= need").select("did", "tid", "line", "template", (F.col("common") / F.size("set")).alias("containment"))
 
 
 def _phrases(flat: Column) -> Column:
@@ -91,7 +126,7 @@ def _phrases(flat: Column) -> Column:
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row: doc_id, n_words, phrases (array of label, n, first, last), lines (array
-    of line, label, containment of its templates, best first).
+    of line, label, containment of the templates found there, best first).
 
     Null text is empty: no words, no phrases, no lines. Words are runs of characters other
     than ASCII signs, controls and space; A-Z is folded. Rows are told apart by doc_id and
@@ -113,7 +148,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
 
 
 def op6_license_scans(docs: DataFrame) -> DataFrame:
-    """score: 1 for a phrase, else the best containment of a template in a line, else 0."""
+    """score: 1 for a phrase, else the best containment of a template in a line or a run across line ends, else 0."""
     found = scan_licenses(docs)
     labels = F.transform("phrases", lambda p: p["label"])
     more = F.transform("lines", lambda x: x["label"])

@@ -263,6 +263,44 @@ def test_license_scan(spark, odd):
     assert [(r.labels, r.n_base) for (d, _), r in got.items() if d == 10] == [("mit", 3)]
 
 
+def test_license_scan_finds_wrapped_notices(spark):
+    importable(spark)
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:"
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\n\nof this software and associated documentation files (the \"Software\"), to deal"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by"
+    filler = "\n".join("so it was then" for _ in range(500))
+    far = bsd.replace("\n", "\n" + filler + "\n")
+    rows = [(1, bsd), (2, f"{filler}\n{mit}\n{filler}"), (3, gpl), (4, "\n".join(bsd.split(" "))), (5, far), (6, "All rights\nreserved"), (7, "All rights are\nreserved"), (8, mit), (8, mit)]
+    found = license_scan.op6_license_scans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.labels, r.score) for r in found) == [
+        (1, "bsd", 1.0), (2, "mit", 1.0), (3, "gpl", 1.0), (4, "bsd", 1.0), (5, "", 0.0), (6, "all-rights-reserved", 1.0), (7, "", 0.0), (8, "mit", 1.0), (8, "mit", 1.0),
+    ]
+
+
+def test_wrapped_notices_equal_brute_force(spark):
+    importable(spark)
+    rng, rows = random.Random(5), []
+    for i in range(150):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            notice = [w for w in license_scan.words_of(rng.choice(license_scan.TEMPLATES)[1]) if rng.random() < 0.93]
+            words += sentence(rng, rng.randrange(12)).split() + [x for w in notice for x in ([w] if rng.random() < 0.95 else [w, "dnl"])]
+        rows.append((i, "".join(w + rng.choice(["\n", "\n* ", " ", " ", ", "]) for w in words)))
+    got = defaultdict(dict)
+    for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        for x in r.lines:
+            got[r.doc_id][x.label] = max(x.containment, got[r.doc_id].get(x.label, 0))
+    for i, text in rows:
+        want, words = {}, license_scan.words_of(text)
+        for label, t in license_scan.TEMPLATES:
+            template, span = set(license_scan.words_of(t)), len(license_scan.words_of(t))
+            runs = [words[k : k + span] for k in range(max(1, len(words) - span + 1))] + [license_scan.words_of(line) for line in text.split("\n")]
+            best = max(len(template & set(run)) for run in runs) / len(template)
+            if best >= 0.8 - 1e-9:
+                want[label] = max(best, want.get(label, 0))
+        assert got[i] == pytest.approx(want), text
+
+
 # --- op7 ------------------------------------------------------------------------------
 
 def classes_by_force(rows, threshold=0.8):
