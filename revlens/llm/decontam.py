@@ -1,8 +1,9 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
 Method: a short item inside a long text has a tiny Jaccard similarity to it, which
-MinHash cannot see. So items are partitioned by size (in shingles, up to 8, 16, 32,
-...), and for each class a document is searched as windows of two consecutive blocks
+MinHash cannot see. So items are partitioned by size (in shingles, up to 4, 8, 16,
+32, ...). Those of the first class are looked up by each of their shingles, which misses
+none; for each other class a document is searched as windows of two consecutive blocks
 of the class's size: an item that stands in the text lies whole in one window, to
 which its similarity is at least 0.19 (containment 0.8, the smallest item of its
 class). Items and windows meet where one of 64 MinHash values is equal (missed with
@@ -28,6 +29,8 @@ ITEMS_AT_ONCE, CHARS_AT_ONCE = 20_000, 1 << 24
 SMALLEST = 8
 
 _A, _B = seeds(HASHES, 21) | U(1), seeds(HASHES, 22)
+#: Items of so many shingles at most are looked up by shingle.
+SHORT = SMALLEST // 2
 #: Tells the values of one hash from those of another in a common table.
 _OWN = seeds(HASHES, 23)
 #: Shingles hashed at a time.
@@ -40,13 +43,18 @@ class Items:
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         self.sets: list[np.ndarray] = []
+        self.widths: list[int] = []
+        short: dict[int, list[int]] = {}  # width -> items
         self.classes: dict[tuple[int, int], list[int]] = {}  # (width, class size) -> items
         for n, (_, text) in enumerate(items):
             words = word_hashes(np.frombuffer((text or "").encode(), np.uint8), FOLDED)[2]
             width = min(SHINGLE, len(words))
             s = np.unique(ngrams(words, width)) if width else np.zeros(0, U)
             self.sets.append(s)
-            if len(s):
+            self.widths.append(width)
+            if 0 < len(s) <= SHORT:
+                short.setdefault(width, []).append(n)
+            elif len(s):
                 size = SMALLEST
                 while size < len(s):
                     size *= 2
@@ -57,17 +65,28 @@ class Items:
             values = (sketch ^ _OWN).ravel()
             order = np.argsort(values, kind="stable")
             self.tables[key] = values[order], np.repeat(members, HASHES)[order]
+        self.short = {}
+        for width, members in short.items():
+            values = np.concatenate([self.sets[m] for m in members])
+            order = np.argsort(values, kind="stable")
+            self.short[width] = values[order], np.repeat(members, [len(self.sets[m]) for m in members])[order]
 
     def candidates(self, words: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
         """Items that may be contained in a document, and its sorted shingles by width."""
         found: list[np.ndarray] = []
         shingled: dict[int, np.ndarray] = {}
-        for width in sorted({w for w, _ in self.tables}):
+        for width in sorted({w for w, _ in self.tables} | set(self.short)):
             s = ngrams(words, width)
             if not len(s):
                 continue
             shingled[width] = np.unique(s)
+            if width in self.short:
+                values, members = self.short[width]
+                x, y = np.searchsorted(values, shingled[width]), np.searchsorted(values, shingled[width], side="right")
+                found += [members[i:j] for i, j in zip(x[x < y], y[x < y])]
             sizes = sorted(z for w, z in self.tables if w == width)
+            if not sizes:
+                continue
             step = max(AT_ONCE, sizes[-1])  # parts begin where blocks do, and overlap by a window
             for low in range(0, len(s), step):
                 v = s[low : low + step + 2 * sizes[-1], None] * _A + _B
@@ -88,8 +107,7 @@ class Items:
         out = []
         for m in members.tolist():
             s = self.sets[m]
-            width = next(w for (w, _), ms in self.classes.items() if m in ms) if len(self.classes) > 1 else next(iter(self.classes))[0]
-            share = np.isin(s, shingled[width], assume_unique=True).sum() / len(s)
+            share = np.isin(s, shingled[self.widths[m]], assume_unique=True).sum() / len(s)
             if share >= threshold:
                 out.append((self.ids[m], float(share)))
         return out

@@ -412,6 +412,17 @@ def test_containment_equals_brute_force(spark):
     assert got == want and len(want) > 50
 
 
+def test_no_short_item_is_missed_in_a_long_document():
+    rng = random.Random(4)
+    items = [(i, " ".join(f"i{i}x{k}" for k in range(rng.choice([1, 3, 5, 6, 8])))) for i in range(1500)]
+    words = [f"w{rng.randrange(10**6)}" for _ in range(30_000)]
+    for _, item in items:
+        at = rng.randrange(len(words))
+        words[at] += " " + item
+    found = decontam.Items(items).contained(word_hashes(np.frombuffer(" ".join(words).encode(), np.uint8), FOLDED)[2], 0.8)
+    assert sorted(found) == [(i, 1.0) for i, _ in items]
+
+
 def test_items_in_several_batches(spark, monkeypatch):
     monkeypatch.setattr(decontam, "ITEMS_AT_ONCE", 2)
     items = spark.createDataFrame([(i, f"a{i} b c d e f{i} g") for i in range(5)], "item_id long, text string")
