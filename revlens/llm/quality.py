@@ -169,24 +169,27 @@ def held_out(doc_id) -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Model | None:
     """A model from labelled rows that are not held out and as many unlabelled texts.
 
-    Samples are the rows whose hash of doc_id is smallest: about ``trusted_rows`` and
-    ``unlabelled_rows``, all if there are fewer; no more reaches the driver. Rows with a
-    null doc_id, or labels other than 0 and 1, teach nothing. None without a positive.
+    Samples are the distinct (doc_id, text) whose hash is smallest: about ``trusted_rows``
+    and ``unlabelled_rows``, all if there are fewer; no more reaches the driver, however
+    many rows an id has. Rows with a null doc_id, or labels other than 0 and 1, teach
+    nothing. None without a positive.
     """
-    def share(rows: DataFrame, wanted: int) -> F.Column:
-        n = rows.count()
-        return F.pmod(F.xxhash64(F.lit(41), "doc_id"), F.lit(1 << 30)) < int(min(1.0, wanted / max(n, 1)) * (1 << 30))
+    def share(n: int, wanted: int) -> F.Column:
+        return F.pmod("h", F.lit(1 << 30)) < int(min(1.0, wanted / max(n, 1)) * (1 << 30))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    rows = rows.withColumn("h", F.xxhash64(F.lit(41), "doc_id", "text"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(F.col("doc_id").isNotNull() & ~held_out("doc_id") & F.col("quality").isin(0, 1))
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other")
-    chosen = known.where(share(known, trusted_rows)).select("doc_id", "quality")
-    trusted = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")  # about trusted_rows ids
-    web = rows.where(share(rows, unlabelled_rows)).select("doc_id", F.lit(None).cast("int").alias("quality"), "text")
-    sample = trusted.unionByName(web).select("doc_id", "quality", _features("text").alias("x")).toPandas()
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other").drop("other")
+    keys = rows.select("doc_id", "h").distinct()
+    n_rows, n_trusted = keys.join(known, "doc_id", "left").agg(F.count("*"), F.count("quality")).first()
+    chosen = keys.where(share(n_trusted, trusted_rows)).join(known, "doc_id")
+    trusted = rows.join(F.broadcast(chosen), ["doc_id", "h"]).select("doc_id", "h", "quality", "text")  # about trusted_rows keys
+    web = rows.where(share(n_rows, unlabelled_rows)).select("doc_id", "h", F.lit(None).cast("int").alias("quality"), "text")
+    sample = trusted.unionByName(web).distinct().select("doc_id", "h", "quality", _features("text").alias("x")).toPandas()
     if sample.empty:
         return None
-    sample = sample.sort_values(["doc_id", "quality"], kind="stable")
+    sample = sample.sort_values(["doc_id", "h", "quality"], kind="stable")
     x, y = np.stack(sample["x"].to_list()), sample["quality"].to_numpy(dtype=float)
     seen = ~np.isnan(y)
     if not (y == 1).any():

@@ -475,6 +475,17 @@ def test_quality_on_held_out_rows(spark):
     assert len(held) > 50 and np.mean([rows[d].predicted == labels[d] for d in held]) >= 0.95
 
 
+def test_sample_is_bounded_where_an_id_repeats(spark, monkeypatch):
+    importable(spark)
+    rng, seen, fit = random.Random(6), [], quality.fit
+    free = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, sentence(rng, 20)) for i in free[1:801]] + [(free[0], f"{i} {sentence(rng, 20)}") for i in range(400)] + [(free[0], "same") for _ in range(400)]
+    labels = [(i, k % 2) for k, i in enumerate(free[1:41])] + [(free[0], 1)]
+    monkeypatch.setattr(quality, "fit", lambda p, u, *a, **b: seen.append((len(p), len(u))) or fit(p, u, *a, **b))
+    quality.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"), 60, 60)
+    assert 20 < seen[0][0] < 120 and 20 < seen[0][1] < 120
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     importable(spark)
