@@ -2,12 +2,13 @@
 
 Method: a small network is trained to minimise the non-negative unbiased risk from
 trusted positives (label 1) and unlabelled web text, given a class prior estimated
-from trusted rows of both labels. Its output is calibrated to a probability on the
+from all labels that are not held out. Its output is calibrated to a probability on the
 trusted training rows. Features describe the text alone (signs, capitals, repeats,
 lengths); labels, lang, source and doc_id are never among them.
 
-Fitting reads a bounded sample, chosen by hash over the whole table; scoring reads
-every whole text.
+The features' mean and deviation are those of all documents; the steps of the fit and
+the calibration read a bounded sample, chosen by hash over the whole table; scoring
+reads every whole text.
 """
 
 from __future__ import annotations
@@ -98,16 +99,15 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margin(x) + self.bias, -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 3) -> Model:
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, shift: np.ndarray, scale: np.ndarray, seed: int = 3) -> Model:
     """Minimise prior * E_P[l(g)] + max(0, E_U[l(-g)] - prior * E_P[l(-g)]), l the sigmoid loss.
 
+    ``shift`` and ``scale`` are the features' mean and deviation.
     Where a batch's second term is negative, its gradient is ascended, as the
     non-negative estimator does against overfitting.
     """
     rng = np.random.default_rng(seed)
-    x = np.concatenate([positive, unlabelled])
-    scale = x.std(axis=0)
-    m = Model(x.mean(axis=0), np.where(scale > 1e-9, scale, 1.0), rng.normal(0, 0.3, (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.3, HIDDEN), 0.0, prior=prior)
+    m = Model(shift, np.where(scale > 1e-9, scale, 1.0), rng.normal(0, 0.3, (positive.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.3, HIDDEN), 0.0, prior=prior)
     p, u = m.clip(positive), m.clip(unlabelled)
     params = [m.w1, m.b1, m.w2, np.array([m.b2])]
     first, second = [np.zeros_like(q) for q in params], [np.zeros_like(q) for q in params]
@@ -166,8 +166,17 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
 
 
+def moments(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of each feature over all rows, to 9 digits: sums in another order give the same."""
+    x = docs.select(_features(F.coalesce("text", F.lit(""))).alias("x"))
+    row = x.agg(*(f(F.col("x")[i]) for f in (F.avg, F.stddev_pop) for i in range(N_FEATURES))).first()
+    out = np.array([float(f"{v:.9g}") for v in row])
+    return out[:N_FEATURES], out[N_FEATURES:]
+
+
 def train(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Model | None:
-    """A model from labelled rows that are not held out and as many unlabelled texts.
+    """A model from labelled rows that are not held out and as many unlabelled texts; the
+    class prior is that of all ids so labelled, the features' mean and deviation that of all rows.
 
     Samples are the distinct (doc_id, text) whose hash is smallest: about ``trusted_rows``
     and ``unlabelled_rows``, all if there are fewer; no more reaches the driver, however
@@ -194,10 +203,10 @@ def train(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS,
     seen = ~np.isnan(y)
     if not (y == 1).any():
         return None
-    prior = float(y[seen].mean())
+    prior = float(known.agg(F.avg("quality")).first()[0])
     prior = min(prior, 0.98) if prior < 1 else DEFAULT_PRIOR
     web_x = x[~seen] if (~seen).any() else x
-    return calibrate(fit(x[y == 1], web_x, prior), x[seen], y[seen])
+    return calibrate(fit(x[y == 1], web_x, prior, *moments(docs)), x[seen], y[seen])
 
 
 def scores(model: Model | None):

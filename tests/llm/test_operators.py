@@ -486,6 +486,20 @@ def test_sample_is_bounded_where_an_id_repeats(spark, monkeypatch):
     assert 20 < seen[0][0] < 120 and 20 < seen[0][1] < 120
 
 
+def test_prior_and_scales_are_of_all_rows(spark):
+    importable(spark)
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 5 + i % 40)) for i in range(600)] + [(700 + i, "{}@" * 400) for i in range(3)] + [(None, "null id"), (None, None)]
+    labels = {i: int(i % 10 < 7 or i > 300) for i in range(0, 600, 2)}
+    model = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(labels.items()), "doc_id long, quality int"), 50, 50)
+    encoded = [(t or "").encode() for _, t in rows]
+    x = quality.features(np.cumsum([0] + [len(b) for b in encoded]), np.frombuffer(b"".join(encoded), np.uint8))
+    assert np.allclose(model.shift, x.mean(axis=0), rtol=1e-7)
+    deviation = x.std(axis=0)
+    assert np.allclose(model.scale, np.where(deviation > 1e-9, deviation, 1.0), rtol=1e-6)
+    assert model.prior == pytest.approx(np.mean([q for i, q in labels.items() if zlib.crc32(str(i).encode()) % 4 != 2]))
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     importable(spark)
