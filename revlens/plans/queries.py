@@ -20,6 +20,7 @@ from revlens.operators.classify import classify_by_rules, map_lookup
 from revlens.operators.profiling import (
     coverage, profile_joined_categories, profile_samples, profile_table, value_counts, value_share,
 )
+from revlens.operators.ranking import rank_rows
 from revlens.operators.risk import top_at_risk
 from revlens.operators.rollups import date_bounds
 from revlens.operators.scd2 import scd2_apply, scd2_as_of, scd2_snapshot
@@ -101,6 +102,12 @@ def q_top_at_risk(spark, sf_dir):
     return top_at_risk(warehouse(spark, sf_dir).mart_products_at_risk, 20)
 
 
+def q_rank_at_risk(spark, sf_dir):
+    mart = warehouse(spark, sf_dir, materialize="table").mart_products_at_risk
+    ranked = rank_rows(mart.select("product_id", "risk_tier", "risk_score"), ["risk_score desc", "product_id"])
+    return ranked.orderBy("queue_position")
+
+
 def q_date_bounds(spark, sf_dir):
     return date_bounds(warehouse(spark, sf_dir).stg_reviews)
 
@@ -307,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "signal_counts": _wh("signal_counts"),
     "products_at_risk": _wh("mart_products_at_risk"),
     "top_at_risk": q_top_at_risk,
+    "rank_at_risk": q_rank_at_risk,
     # step 6: calendar
     "date_bounds": q_date_bounds,
     "date_dimension": _wh("dim_dates"),
