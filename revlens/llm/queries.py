@@ -1,8 +1,8 @@
-"""The contract queries of the ten operators, and their DuckDB SQL where there is some."""
+"""The contract queries of the operators, and their DuckDB SQL where there is some."""
 
 from __future__ import annotations
 
-from revlens.llm import chat, decontam, license_scan, neardup, packing, quality, secrets, sharding, simhash, substring
+from revlens.llm import chat, decontam, license_scan, neardup, packing, quality, resampling, secrets, sharding, simhash, substring, token_files
 from revlens.llm.common import read
 
 QUERIES = {
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_benchmark_decontamination": lambda spark, d: decontam.op8_benchmark_decontamination(read(spark, d, "documents"), read(spark, d, "benchmark")),
     "op9_substring_dedup": lambda spark, d: substring.op9_substring_dedup(read(spark, d, "documents")),
     "op10_quality_classifier": lambda spark, d: quality.op10_quality_classifier(read(spark, d, "documents"), read(spark, d, "labels")),
+    "op11_importance_resampling": lambda spark, d: resampling.op11_importance_resampling(read(spark, d, "documents"), read(spark, d, "benchmark")),
+    "op12_token_files": lambda spark, d: token_files.op12_token_files(spark, read(spark, d, "documents")),
 }
 
 ORACLE = {
@@ -23,4 +25,5 @@ ORACLE = {
     "op6_license_scans": license_scan.ORACLE,
     "op8_benchmark_decontamination": decontam.ORACLE,
     "op9_substring_dedup": substring.ORACLE,
+    "op11_importance_resampling": resampling.ORACLE,
 }
