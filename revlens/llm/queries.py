@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revlens.llm import chat, decontam, license_scan, neardup, packing, quality, resampling, secrets, sharding, simhash, substring, token_files
+from revlens.llm import alignment, chat, decontam, license_scan, neardup, packing, quality, resampling, secrets, sharding, simhash, substring, token_files
 from revlens.llm.common import read
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_quality_classifier": lambda spark, d: quality.op10_quality_classifier(read(spark, d, "documents"), read(spark, d, "labels")),
     "op11_importance_resampling": lambda spark, d: resampling.op11_importance_resampling(read(spark, d, "documents"), read(spark, d, "benchmark")),
     "op12_token_files": lambda spark, d: token_files.op12_token_files(spark, read(spark, d, "documents")),
+    "op13_cross_tokenizer_alignment": lambda spark, d: alignment.op13_cross_tokenizer_alignment(spark, read(spark, d, "documents")),
 }
 
 ORACLE = {
