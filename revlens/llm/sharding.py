@@ -8,7 +8,7 @@ size, and every arrangement is equally likely.
 
 All of it is DataFrame functions. The matrix is drawn by halving: the rows a range
 of blocks sends to the shards are split between its two halves, level by level, so
-a level's draws are independent rows.
+a level's draws are independent rows of a table.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from revlens.llm.common import texts, written
 
 #: Rows that one task permutes, in a source block as in a part of a shard.
 BLOCK_ROWS = 1 << 14
-#: Levels of halving drawn in one stage before the rows are spread anew.
+#: Levels of halving drawn in one plan; their result is written.
 SPREAD_EVERY = 6
 
 
@@ -82,35 +82,44 @@ def _split(caps: Column, draws: Column, seed: int, *where: Column) -> Column:
     )
 
 
+def left_halves(sizes: DataFrame, depth: int) -> DataFrame:
+    """level, node, n: the rows of the left half of every range of blocks that has any.
+
+    At level d the 2^depth blocks form 2^d ranges, their nodes; a block adds its rows to
+    its range of each level, so the table has fewer than two rows per block.
+    """
+    d = F.col("level")
+    up = F.explode(F.sequence(F.lit(0), F.lit(depth - 1)))
+    rows = sizes.select("block", "n", up.alias("level"))
+    half = F.floor(F.col("block") / F.pow(F.lit(2.0), F.lit(depth) - d - 1)).cast("int")
+    rows = rows.select("level", F.shiftright(half, 1).alias("node"), (half % 2 == 0).alias("is_left"), "n")
+    return rows.where("is_left").groupBy("level", "node").agg(F.sum("n").alias("n"))
+
+
 def communication_matrix(sizes: DataFrame, n_blocks: int, shard_sizes: list[int], seed: int) -> DataFrame:
     """block, sent (array: rows to each shard) for ``sizes`` (block 0..n_blocks-1, n).
 
     Rows of the matrix sum to n, columns to ``shard_sizes``. Blocks without rows may be
-    missing from ``sizes``.
+    missing from ``sizes``. Every level of halving joins its nodes with their left
+    halves' rows and draws each node on its own: no row holds more than one node's
+    counts, and no task more than its nodes.
     """
-    width = 1
-    while width < n_blocks:
-        width *= 2
-    level = sizes.agg(F.map_from_entries(F.collect_list(F.struct("block", "n"))).alias("m")).select(
-        F.lit(0).alias("block"),
-        F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.try_element_at("m", i.cast("int")), F.lit(0)).cast("double")).alias("n"),
-        F.lit([float(x) for x in shard_sizes]).alias("sent"),
-    )
-    depth = 0
-    while width > 1:
-        half = width // 2
-        left = F.slice("n", 1, half)
-        level = level.withColumn("left", left).withColumn("right", F.slice("n", half + 1, half))
-        level = level.withColumn("x", _split(F.col("sent"), F.aggregate("left", F.lit(0.0), lambda a, c: a + c), seed, F.col("block"), F.lit(width)))
+    depth = max(0, (n_blocks - 1).bit_length())
+    level = sizes.sparkSession.range(1).select(F.lit(0).alias("block"), F.lit([float(x) for x in shard_sizes]).alias("sent"))
+    if not depth:
+        return level.select("block", F.col("sent").cast("array<long>").alias("sent"))
+    halves = written(left_halves(sizes, depth), "left-halves")
+    for d in range(depth):
+        here = halves.where(F.col("level") == d).select(F.col("node").alias("block"), F.col("n").cast("double").alias("left"))
+        level = level.join(here, "block", "left").withColumn("left", F.coalesce("left", F.lit(0.0)))
+        level = level.withColumn("x", _split(F.col("sent"), F.col("left"), seed, F.col("block"), F.lit(d)))
         level = level.select(F.inline(F.array(
-            F.struct(F.col("block"), F.col("left").alias("n"), F.col("x").alias("sent")),
-            F.struct((F.col("block") + half).alias("block"), F.col("right").alias("n"), F.zip_with("sent", "x", lambda a, b: a - b).alias("sent")),
+            F.struct((2 * F.col("block")).alias("block"), F.col("x").alias("sent")),
+            F.struct((2 * F.col("block") + 1).alias("block"), F.zip_with("sent", "x", lambda a, b: a - b).alias("sent")),
         )))
-        depth += 1
-        width = half
-        if depth % SPREAD_EVERY == 0:
-            level = level.repartition("block")
-    return level.select("block", F.col("sent").cast("array<long>").alias("sent"))
+        if (d + 1) % SPREAD_EVERY == 0 and d + 1 < depth:
+            level = written(level, "matrix-level")
+    return level.where(F.col("block") < n_blocks).select("block", F.col("sent").cast("array<long>").alias("sent"))
 
 
 def assign_shards(rows: DataFrame, n_shards: int, seed: int = 17, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -149,6 +158,9 @@ def assign_shards(rows: DataFrame, n_shards: int, seed: int = 17, block_rows: in
 
 
 def op3_sharding(docs: DataFrame, n_shards: int = 40) -> DataFrame:
+    """The contract's columns by the law ``rows``. A null text has 16 bytes of size and the
+    checksum of nothing; null ids and repeated rows are rows like any other; an empty
+    table gives no rows; other columns are left behind."""
     raw = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = raw.select("doc_id", (F.octet_length("text") + 16).cast("long").alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
     return assign_shards(rows, n_shards).select(
