@@ -34,12 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from revlens.llm.common import blocks, importable, keyed, strings
-from revlens.llm.packing import encoder
-from revlens.llm.tokens import word_ids
+from revlens.llm.tokens import part_tokens, word_ids
 from revlens.session import ensure_checkpoint_dir
 
 #: Bytes of ids in a frame, before compression.
 FRAME_BYTES = 1 << 18
+#: Bytes of text whose distinct parts are encoded once.
+BLOCK_BYTES = 4 << 20
 #: Bytes of ids that a reader gives at a time (one document at least).
 BATCH_BYTES = 4 << 20
 
@@ -310,11 +311,11 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        encode = encoder(tokenizer_path)
+        tokens = part_tokens(tokenizer_path)
         for batch in batches:
             text = batch.column(1)
-            for a, b in blocks(strings(text)[0]):
-                counts, ids = word_ids(text.slice(a, b - a), encode)
+            for a, b in blocks(strings(text)[0], BLOCK_BYTES):
+                counts, ids = word_ids(text.slice(a, b - a), tokens)
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4", copy=False)
                 ends = np.r_[0, np.cumsum(4 * (counts + 1))]
                 binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)])
