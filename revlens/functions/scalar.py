@@ -68,11 +68,16 @@ def stddev_samp_int(c: ColumnOrName) -> Column:
     partial/final aggregate. Null for fewer than two values.
     """
     x = _c(c).cast("long")
+    return stddev_from_moments(F.count(x), F.sum(x), F.sum(x * x))
+
+
+def stddev_from_moments(n: ColumnOrName, s1: ColumnOrName, s2: ColumnOrName) -> Column:
+    """The same from a count, a sum and a sum of squares, which add up over groups."""
     wide = "decimal(38,0)"
-    n, s1, s2 = F.count(x).cast(wide), F.sum(x).cast(wide), F.sum(x * x).cast(wide)
+    n, s1, s2 = (_c(x).cast(wide) for x in (n, s1, s2))
     num = (n * s2 - s1 * s1).cast("double")
     den = (n * (n - F.lit(1))).cast("double")
-    return F.when(F.count(x) > 1, F.sqrt(num / den))
+    return F.when(n > 1, F.sqrt(num / den))
 
 
 def count_if(cond: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,10 +54,16 @@ def classify_by_rules(
     """
     order = [F.col(priority).desc_nulls_last(), F.col(label).asc(), F.col(pattern).asc()]
     ordered = rules.select(label, pattern, priority).orderBy(*order).collect()
+    cases = first_match(text, [(r[pattern], F.lit(r[label])) for r in ordered], rules_per_case)
+    return df.withColumn(out_col, F.coalesce(*cases, F.lit(default)))
+
+
+def first_match(text: Column, values: Sequence[tuple[str, Column]], rules_per_case: int = RULES_PER_CASE) -> list[Column]:
+    """CASE expressions whose coalesce is the value of the first pattern in ``text``."""
     cases = []
-    for at in range(0, len(ordered), rules_per_case):
+    for at in range(0, len(values), rules_per_case):
         case = F
-        for r in ordered[at : at + rules_per_case]:
-            case = case.when(text.rlike(r[pattern]), F.lit(r[label]))
+        for pattern, value in values[at : at + rules_per_case]:
+            case = case.when(text.rlike(pattern), value)
         cases.append(case)
-    return df.withColumn(out_col, F.coalesce(*cases, F.lit(default)))
+    return cases

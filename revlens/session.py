@@ -8,7 +8,9 @@ bench and local runs; on a cluster, pass your own session and make sure
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -82,6 +84,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, unless it is installed there."""
+    here = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (here, env.get("PYTHONPATH", "")) if x)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a materialized intermediate table next to the checkpoints."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
