@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlens import functions as RF
 
@@ -25,6 +26,57 @@ def describe_schema(df: DataFrame) -> list[tuple[str, str, bool]]:
     return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
 
 
+def describe_columns(df: DataFrame, digits: int = 4) -> DataFrame:
+    """A row per column, in order: its type, how many rows have it, how many lack it
+    and their share (null for an empty table). One pass, whatever the number of columns."""
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*[F.count(F.col(f"`{c}`")) for c in df.columns]).alias("filled"))
+    of = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type")) for f in df.schema.fields])
+    out = counted.select("rows", "filled", F.posexplode(of).alias("at", "c"))
+    filled = F.get("filled", F.col("at"))
+    return out.select(
+        (F.col("at") + 1).alias("position"), "c.column", "c.type", filled.alias("filled"), (F.col("rows") - filled).alias("nulls"),
+        RF.round_half_away(F.try_divide((F.col("rows") - filled).cast("double"), F.col("rows").cast("double")), digits).alias("null_share"),
+    ).orderBy("position")
+
+
+#: Hash buckets of ``heavy_values``: at most so many counts reach the driver.
+HEAVY_BUCKETS = 1 << 16
+
+
+def heavy_values(df: DataFrame, col: str, k: int, count_name: str = "n", buckets: int = HEAVY_BUCKETS) -> DataFrame:
+    """The first ``k`` rows of ``value_counts(df, [col])``, without grouping every value.
+
+    One pass counts hash buckets; a bucket's count bounds that of each value in it. The
+    values of the largest buckets are counted exactly. Every other bucket with fewer rows
+    than the k-th count so found cannot hold one of the first ``k``: that proves the
+    result. Buckets it does not rule out are counted exactly too, in one more pass, which
+    in the worst case (no value stands out) counts all. A null is a value like any other.
+    """
+    if k < 1:
+        raise ValueError(f"k: {k}")
+    spark = df.sparkSession
+    rows = df.select(F.col(col).alias("value")).withColumn("bucket", F.pmod(F.xxhash64("value"), F.lit(buckets)).cast("int"))
+    sizes = {r["bucket"]: r["n"] for r in rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = set(sorted(sizes, key=sizes.get, reverse=True)[: 2 * k])
+
+    def first(some: set) -> list:
+        kept = rows
+        if len(some) < len(sizes):  # at most `buckets` numbers
+            wanted = spark.createDataFrame([(b,) for b in some], "bucket int")
+            kept = rows.join(F.broadcast(wanted), "bucket", "left_semi")
+        counts = kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        return counts.orderBy(F.col("n").desc(), F.col("value").asc_nulls_last()).limit(k).collect()
+
+    best = first(chosen) if chosen else []
+    least = best[-1]["n"] if len(best) == k else 0
+    open_ = {b for b, n in sizes.items() if n >= least} - chosen
+    if open_:
+        best = first(chosen | open_)
+    kind = df.schema[col].dataType
+    out = spark.createDataFrame([(r["value"], r["n"]) for r in best], T.StructType([T.StructField(col, kind), T.StructField(count_name, T.LongType())]))
+    return out.orderBy(F.col(count_name).desc(), F.col(col).asc_nulls_last())
+
+
 def value_counts(df: DataFrame, cols: Sequence[str], count_name: str = "n") -> DataFrame:
     """Rows per value combination, most frequent first (ties by value)."""
     return (

@@ -12,26 +12,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlens import functions as RF
 from revlens.operators import quality as Q
+from revlens.operators.asof import as_of_join
 from revlens.operators.calendar import date_dimension
 from revlens.operators.classify import classify_by_rules, map_lookup
+from revlens.operators.distinct import dense_ids, distinct_counts, distinct_sets
 from revlens.operators.profiling import (
-    coverage, profile_joined_categories, profile_samples, profile_table, value_counts, value_share,
+    coverage, describe_columns, heavy_values, profile_joined_categories, profile_samples, profile_table, value_counts, value_share,
 )
 from revlens.operators.ranking import rank_rows
 from revlens.operators.risk import top_at_risk
+from revlens.operators.rule_index import classify_by_rule_index
 from revlens.operators.rollups import date_bounds
 from revlens.operators.scd2 import scd2_apply, scd2_as_of, scd2_snapshot
 from revlens.operators.staging import clean_products
 from revlens.plans.checks import SUITE, run_suite
+from revlens.plans.observed import ObservedWarehouse
+from revlens.plans.refresh import ReviewStore
 from revlens.plans.warehouse import PRODUCT_CHECK_COLS, Warehouse
-from revlens.sources.fixtures import AS_OF_V1, AS_OF_V2, Inputs
+from revlens.sources.fixtures import AS_OF_V1, AS_OF_V2, LOADED_V1, LOADED_V2, Inputs
 from revlens.session import scratch_path
-from revlens.sources.io import materialize, read_products, read_reviews, register_sources, stringify_nested, write_sorted, write_table
+from revlens.sources.io import (
+    materialize, read_json_lines, read_products, read_reviews, read_seed, register_sources, reject_summary, stringify_nested,
+    write_seed, write_sorted, write_table,
+)
 from revlens.sources.sampling import sample_n
-from revlens.sources.seeds import default_subcategory_rules
+from revlens.sources.seeds import RULES_SCHEMA, default_subcategory_rules
 from revlens.operators.staging import stg_products as build_stg_products
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +96,29 @@ def q_classify_by_rules_join(spark, sf_dir):
     return _classified(spark, sf_dir, rules_per_case=2)
 
 
+def q_classify_by_rule_index(spark, sf_dir):
+    # thousands of rules: two alternations of name fragments per part, phrases of benchmark
+    # texts with any character between the words, and two that have no literal to look up
+    i = Inputs(spark, sf_dir)
+    k = F.col("p_partkey")
+    fragment = lambda at, n: F.expr(f"substring(p_name, {at}, {n})")
+    part = i.table("part").select(
+        F.concat(F.lit("P"), k.cast("string")).alias("subcategory"), F.col("p_size").cast("int").alias("priority"),
+        F.explode(F.array(
+            F.concat_ws("|", fragment("1 + p_partkey % 4", 5), fragment("3 + p_partkey % 5", 4)),
+            F.concat_ws("|", F.col("p_name"), fragment("2 + p_partkey % 3", 6)),
+        )).alias("keyword_pattern"),
+    )
+    phrase = F.regexp_extract(F.lower("text"), "[a-z]{4,} [a-z]{4,}", 0)
+    phrases = i.table("benchmark").where(phrase != "").select(
+        F.concat(F.lit("B"), F.col("item_id").cast("string")).alias("subcategory"), F.lit(60).alias("priority"),
+        F.regexp_replace(phrase, " ", ".").alias("keyword_pattern"),
+    )
+    loose = spark.createDataFrame([("Z short", 0, "[0-9]+%"), ("A empty", None, "^[^a-z]*$")], "subcategory string, priority int, keyword_pattern string")
+    docs = i.table("documents").select("doc_id", "text")
+    return classify_by_rule_index(docs, F.lower("text"), part.unionByName(phrases).unionByName(loose)).drop("text")
+
+
 def q_classify_default_rules(spark, sf_dir):
     docs = Inputs(spark, sf_dir).table("documents").select("doc_id", "text")
     return classify_by_rules(docs, F.lower("text"), default_subcategory_rules(spark)).drop("text")
@@ -116,6 +148,50 @@ def q_global_avg_rating(spark, sf_dir):
     return warehouse(spark, sf_dir).stg_reviews.agg(F.avg("rating").alias("global_avg_rating"))
 
 
+def q_distinct_reviewers(spark, sf_dir):
+    # one stored table of sets per day and product; every figure below comes out of it
+    wh = warehouse(spark, sf_dir, materialize="table")
+    reviews, name = wh.fct_reviews, f"reviewer-sets-{uuid.uuid4().hex}"
+    sets = distinct_sets(reviews, "reviewer_id", ["reviewed_date", "product_id"], dense_ids(reviews, "reviewer_id"))
+    sets = materialize(sets, name, path=scratch_path(spark, name))
+    month = F.trunc("reviewed_date", "month")
+    category = sets.join(wh.stg_products.select("product_id", "subcategory"), "product_id")
+
+    def level(rows, grain: str, member) -> DataFrame:
+        counted = distinct_counts(rows.withColumn("member", member.cast("string")), ["member"], "distinct_reviewers")
+        return counted.select(F.lit(grain).alias("grain"), "member", "distinct_reviewers")
+
+    return (
+        level(sets, "day", F.col("reviewed_date")).unionByName(level(sets, "month", month))
+        .unionByName(level(sets, "product", F.col("product_id")))
+        .unionByName(level(category, "category", F.col("subcategory")))
+        .unionByName(level(sets, "all", F.lit("all")))
+    )
+
+
+def _refreshed(spark, sf_dir) -> ReviewStore:
+    """The reviews in two loads: the first lacks what was written from 1999 on, and of the
+    rest every second text; so duplicates lie in both loads, and some months in one."""
+    raw, store = Inputs(spark, sf_dir).reviews(), ReviewStore(spark, _scratch(spark, "review-store"))
+    later = F.coalesce(F.col("timestamp") >= F.lit("1999-01-01").cast("timestamp_ntz"), F.lit(False))
+    held_back = F.coalesce((F.col("timestamp") >= F.lit("1998-01-01").cast("timestamp_ntz")) & (F.crc32(F.col("text").cast("binary")) % 2 == 0), F.lit(False))
+    store.load(raw.where(~later & ~held_back))
+    store.load(raw.where(later | held_back))
+    return store
+
+
+def q_refresh_product_stats(spark, sf_dir):
+    return _refreshed(spark, sf_dir).product_review_stats.withColumn("rating_stddev", F.round("rating_stddev", STDDEV_DIGITS))
+
+
+def q_refresh_monthly(spark, sf_dir):
+    return _refreshed(spark, sf_dir).monthly
+
+
+def q_refresh_dim_categories(spark, sf_dir):
+    return _refreshed(spark, sf_dir).dim_categories(warehouse(spark, sf_dir).stg_products)
+
+
 # --- history ----------------------------------------------------------------
 
 def _history(spark, sf_dir):
@@ -139,6 +215,17 @@ def q_scd2_as_of(spark, sf_dir):
     return scd2_as_of(_history(spark, sf_dir), dt.datetime(2024, 1, 15))
 
 
+def q_reviews_as_of_products(spark, sf_dir):
+    # loads in the middle of the reviews' time: some reviews precede every version
+    i = Inputs(spark, sf_dir)
+    v1 = build_stg_products(i.products(), i.mapping(), i.rules())
+    v2 = build_stg_products(i.products_v2(), i.mapping(), i.rules())
+    h1 = scd2_apply(None, v1, "product_id", PRODUCT_CHECK_COLS, LOADED_V1, validate=False)
+    history = materialize(scd2_apply(h1, v2, "product_id", PRODUCT_CHECK_COLS, LOADED_V2, validate=False), "product-history", path=_scratch(spark, "product-history"))
+    reviews = warehouse(spark, sf_dir).fct_reviews.select("review_key", "product_id", "reviewed_at", "rating")
+    return as_of_join(reviews, history, "product_id", "reviewed_at", ["product_title", "subcategory", "price_bucket", "scd_id", "valid_from"])
+
+
 # --- quality ----------------------------------------------------------------
 
 def q_check_not_null(spark, sf_dir):
@@ -193,12 +280,67 @@ def q_warehouse_checks(spark, sf_dir):
     return run_suite(warehouse(spark, sf_dir))
 
 
+def q_observed_checks(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    wh = ObservedWarehouse(i.reviews(), i.products(), i.mapping(), i.rules(), output_root=_scratch(spark, "observed"))
+    wh.build(threads=4)
+    return wh.test_results()
+
+
 # --- profiling / sources ----------------------------------------------------
 
 def q_value_counts(spark, sf_dir):
     return value_counts(warehouse(spark, sf_dir).stg_products, ["category_group", "is_premium"], "product_count")
 
 
+def q_describe_columns(spark, sf_dir):
+    return describe_columns(warehouse(spark, sf_dir).stg_products)
+
+
+def q_heavy_reviewers(spark, sf_dir):
+    return heavy_values(warehouse(spark, sf_dir).stg_reviews, "reviewer_id", 20, "review_count")
+
+
+def q_heavy_words(spark, sf_dir):
+    words = Inputs(spark, sf_dir).table("documents").select(F.explode(F.split("text", "[ \\n\\t\\r]+")).alias("word"))
+    return heavy_values(words, "word", 50, "occurrences")
+
+
+def q_classify_seeded_rules(spark, sf_dir):
+    # the rules written as CSV with a note that needs quoting, read back typed, and used
+    i, path = Inputs(spark, sf_dir), _scratch(spark, "rules-csv")
+    note = F.when(F.col("priority") % 2 == 0, F.lit('say "even", or not'))
+    write_seed(i.rules().withColumn("note", note), path)
+    rules = read_seed(spark, path, T.StructType([*RULES_SCHEMA.fields, T.StructField("note", T.StringType())]))
+    cleaned = clean_products(i.products()).select("product_id", "product_title")
+    return classify_by_rules(cleaned, F.lower("product_title"), rules)
+
+
+def _landed_lines(spark, sf_dir):
+    """Products as JSON lines, and beside them lines that are none or do not fit."""
+    raw, landed = Inputs(spark, sf_dir).products(), _scratch(spark, "raw-lines")
+    part = Inputs(spark, sf_dir).table("part")
+    good = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
+    name = F.col("p_name")
+    bad = part.select(F.explode(F.array_compact(F.array(
+        F.when(F.col("p_partkey") % 10 == 1, F.concat(F.lit('{"title": "'), name)),  # cut off
+        F.when(F.col("p_partkey") % 10 == 2, F.concat(F.lit('["'), name, F.lit('"]'))),
+        F.when(F.col("p_partkey") % 10 == 3, F.concat(F.lit('{"rating_number": "'), name, F.lit('"}'))),
+        F.when(F.col("p_partkey") % 10 == 4, F.lit("  ")),  # no line at all
+    ))).alias("value"))
+    good.unionByName(bad).write.text(landed)
+    return read_json_lines(spark, landed, raw.schema, max_bad_share=0.5)
+
+
+def q_ingest_lines(spark, sf_dir):
+    return _landed_lines(spark, sf_dir).rows
+
+
+def q_ingest_rejects(spark, sf_dir):
+    summary = reject_summary(_landed_lines(spark, sf_dir).rejects)
+    return summary.groupBy("reason").agg(F.sum("lines").alias("lines"), F.min("example").alias("example"))
+
+
 def q_value_share(spark, sf_dir):
     return value_share(warehouse(spark, sf_dir).stg_products, "subcategory", "product_count")
 
@@ -315,6 +457,10 @@ QUERIES: dict[str, Query] = {
     "products_at_risk": _wh("mart_products_at_risk"),
     "top_at_risk": q_top_at_risk,
     "rank_at_risk": q_rank_at_risk,
+    "distinct_reviewers": q_distinct_reviewers,
+    "refresh_product_stats": q_refresh_product_stats,
+    "refresh_monthly": q_refresh_monthly,
+    "refresh_dim_categories": q_refresh_dim_categories,
     # step 6: calendar
     "date_bounds": q_date_bounds,
     "date_dimension": _wh("dim_dates"),
@@ -322,6 +468,7 @@ QUERIES: dict[str, Query] = {
     # step 7: history
     "scd2_apply": q_scd2_apply,
     "scd2_as_of": q_scd2_as_of,
+    "reviews_as_of_products": q_reviews_as_of_products,
     # step 8: quality
     "check_not_null": q_check_not_null,
     "check_unique": q_check_unique,
@@ -330,9 +477,13 @@ QUERIES: dict[str, Query] = {
     "check_non_negative": q_check_non_negative,
     "run_checks": q_run_checks,
     "warehouse_checks": q_warehouse_checks,
+    "observed_checks": q_observed_checks,
     # step 9: profiling and sources
     "value_counts": q_value_counts,
     "value_share": q_value_share,
+    "describe_columns": q_describe_columns,
+    "heavy_reviewers": q_heavy_reviewers,
+    "heavy_words": q_heavy_words,
     "coverage": q_coverage,
     "profile_table": q_profile_table,
     "profile_joined_categories": q_profile_joined_categories,
@@ -344,11 +495,15 @@ QUERIES: dict[str, Query] = {
     "value_counts_main_category": _value_counts("main_category"),
     "value_counts_price_bucket": _value_counts("price_bucket"),
     "classify_default_rules": q_classify_default_rules,
+    "classify_by_rule_index": q_classify_by_rule_index,
     # the build's table mode, ingestion and stored history
     "table_products_at_risk": _wh("mart_products_at_risk", materialize="table"),
     "table_category_performance": _wh("mart_category_performance", materialize="table"),
     "table_dim_products": _wh("dim_products", materialize="table"),
     "ingest_reviews": q_ingest_reviews,
     "ingest_products": q_ingest_products,
+    "ingest_lines": q_ingest_lines,
+    "ingest_rejects": q_ingest_rejects,
+    "classify_seeded_rules": q_classify_seeded_rules,
     "scd2_snapshot_history": q_scd2_snapshot_history,
 }

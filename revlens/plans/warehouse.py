@@ -34,6 +34,7 @@ from revlens.operators.rollups import (
 from revlens.operators.scd2 import scd2_apply
 from revlens.operators.staging import clean_reviews, fct_reviews, stg_products
 from revlens.session import scratch_path
+from revlens.sources.io import discard, next_folder, publish, recover
 
 # fixed values: columns tracked by the product history (check strategy)
 PRODUCT_CHECK_COLS = ["product_title", "brand", "category_group", "subcategory", "price_bucket", "amazon_average_rating"]
@@ -62,12 +63,13 @@ class Warehouse:
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self.output_root = output_root.rstrip("/") if output_root else None
         self.spark = reviews.sparkSession
+        self._staged: str | None = None  # where a build in progress writes
         self._lock = threading.Lock()
         self._written: dict[str, DataFrame] = {}
 
     def _path(self, name: str) -> str:
         if self.output_root:
-            return f"{self.output_root}/{name}"
+            return f"{self._staged or self.output_root}/{name}"
         return scratch_path(self.spark, f"{self.run_id}/{name}")
 
     def _keep(self, name: str, df: DataFrame, partition_by: tuple = ()) -> DataFrame:
@@ -86,6 +88,9 @@ class Warehouse:
     def load(self) -> "Warehouse":
         """Take every model that ``build`` writes from ``output_root``: other models, and
         tests, then derive from those tables, not from the raw inputs."""
+        recover(self.spark, self.output_root)
+        for cached in [n for n in self.__dict__ if isinstance(getattr(type(self), n, None), cached_property)]:
+            del self.__dict__[cached]
         for name in (n for level in self.LEVELS for n in level):
             self.__dict__[name] = self._written[name] = self.spark.read.parquet(self._path(name))
         return self
@@ -239,7 +244,9 @@ class Warehouse:
         Shared models are materialized (``materialize="table"``); the other
         marts are written to ``output_root/<name>`` when set (and later reads,
         e.g. the tests, use the written tables), else executed through the
-        ``noop`` sink. With ``tests`` each model's column tests run as a job of
+        ``noop`` sink. A build under ``output_root`` is written beside it and shown
+        when every model and test has run: a build that fails leaves the tables of
+        the one before, all of them, and ``load`` reads whole builds only. With ``tests`` each model's column tests run as a job of
         the level after the model is built (``TEST_LEVELS``). ``extra`` maps
         names to callables (wh → DataFrame) run after the last level. Returns
         seconds per model / test group.
@@ -274,9 +281,25 @@ class Warehouse:
                 jobs[i] += [test(m) for m in models]
         if extra:
             jobs.append(list(extra.items()))
-        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-            for level in jobs:
-                list(pool.map(lambda job: run(*job), level))
+        def run_levels() -> None:
+            with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+                for level in jobs:
+                    list(pool.map(lambda job: run(*job), level))
+
+        if not self.output_root:
+            run_levels()
+            return timings
+        recover(self.spark, self.output_root)
+        self._staged = next_folder(self.output_root)
+        try:
+            run_levels()
+        except BaseException:
+            discard(self.spark, self._staged)
+            raise
+        finally:
+            staged, self._staged = self._staged, None
+        publish(self.spark, staged, self.output_root)
+        self.load()
         return timings
 
 

@@ -194,6 +194,9 @@ def subcategory_rules(spark: SparkSession) -> DataFrame:
 # Snapshot times of the two product loads (FX5 instructions)
 AS_OF_V1 = dt.datetime(2024, 1, 1)
 AS_OF_V2 = dt.datetime(2024, 2, 1)
+#: Loads of the same products while reviews are written, for joins by time.
+LOADED_V1 = dt.datetime(1997, 1, 1)
+LOADED_V2 = dt.datetime(1999, 1, 1)
 
 
 class Inputs:

@@ -6,7 +6,9 @@ through the driver, and nested columns are turned into JSON text in place.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +101,47 @@ def read_reviews(
     return df.drop(*[c for c in drop if c in df.columns])
 
 
+class JsonLines(NamedTuple):
+    rows: DataFrame  # the lines that fit the schema
+    rejects: DataFrame  # file, line, reason
+
+
+def read_json_lines(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, max_bad_share: float | None = None
+) -> JsonLines:
+    """JSON lines split into rows and rejects, instead of failing at the first bad line.
+
+    A line is rejected, whole, when it is no JSON (``malformed``), no object
+    (``not an object``), or has a value that its field cannot hold (``wrong type``).
+    Fields that a line lacks are null, fields that the schema lacks are ignored, empty
+    lines are skipped. With ``max_bad_share``, more rejects than that share of the lines
+    raise ValueError before any row is returned (one pass to count them).
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    bad = "_corrupt_line"
+    while bad in schema.fieldNames():
+        bad += "_"
+    full = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+    parsed = lines.withColumn("row", F.from_json("value", full, options))
+    # an array of one object would pass as that object
+    fits = F.col("row").isNotNull() & F.col("row").getField(bad).isNull() & F.ltrim("value").startswith("{")
+    json = F.try_parse_json("value")
+    reason = F.when(json.isNull(), "malformed").when(~F.schema_of_variant(json).startswith("OBJECT"), "not an object").otherwise("wrong type")
+    rejects = parsed.where(~fits).select("file", F.col("value").alias("line"), reason.alias("reason"))
+    if max_bad_share is not None:
+        n, ok = parsed.agg(F.count(F.lit(1)), F.count_if(fits)).first()
+        if n - ok > max_bad_share * n:
+            raise ValueError(f"{n - ok} of {n} lines are bad")
+    return JsonLines(parsed.where(fits).select(*[F.col("row").getField(f).alias(f) for f in schema.fieldNames()]), rejects)
+
+
+def reject_summary(rejects: DataFrame) -> DataFrame:
+    """file, reason, lines, and the first bad line in text order as an example."""
+    return rejects.groupBy("file", "reason").agg(F.count(F.lit(1)).alias("lines"), F.min("line").alias("example"))
+
+
 _NESTED = (T.ArrayType, T.StructType, T.MapType)
 
 
@@ -127,6 +170,17 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     )
 
 
+def write_seed(df: DataFrame, path: str) -> None:
+    """Reference data as CSV that ``read_seed`` reads back: commas and quotes quoted,
+    white space kept. An empty cell is a null, so an empty text reads back as null; a
+    line is a row, so a text with a line end does not read back."""
+    (
+        df.write.option("header", True).option("quote", '"').option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .mode("errorifexists").csv(path)
+    )
+
+
 def register_sources(spark: SparkSession, tables: Mapping[str, str | DataFrame]) -> dict[str, DataFrame]:
     """Name → parquet path (or DataFrame), each registered as a temp view."""
     out = {}
@@ -137,12 +191,94 @@ def register_sources(spark: SparkSession, tables: Mapping[str, str | DataFrame])
     return out
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop, whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _beside(spark: SparkSession, path: str, kind: str) -> dict[str, str]:
+    """Publication id -> sibling folder ``<path>.<kind>-<id>``."""
+    fs, p = _folder(spark, path)
+    start = f"{p.getName()}.{kind}-"
+    if not p.getParent() or not fs.exists(p.getParent()):
+        return {}
+    found = [s.getPath() for s in fs.listStatus(p.getParent()) if s.getPath().getName().startswith(start)]
+    return {f.getName()[len(start):]: f.toString() for f in found}
+
+
+def next_folder(path: str) -> str:
+    """Where the next state of ``path`` is written, beside it."""
+    return f"{path.rstrip('/')}.next-{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Show the complete folder ``staged`` (from ``next_folder``) as ``path``.
+
+    The old state is moved aside, the new one in, and the old one deleted. A driver lost
+    in between leaves both complete states beside ``path``; ``recover`` finishes that.
+    """
+    fs, p = _folder(spark, path)
+    _, new = _folder(spark, staged)
+    number = staged.rpartition(".next-")[2]
+    _, last = _folder(spark, f"{path.rstrip('/')}.last-{number}")
+    if fs.exists(p) and not fs.rename(p, last):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, p):
+        raise OSError(f"cannot move {staged} to {path}")
+    if fs.exists(last):
+        fs.delete(last, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a publication that a lost driver left half way; nothing else is touched."""
+    fs, p = _folder(spark, path)
+    if fs.exists(p):
+        return
+    complete = _beside(spark, path, "next")
+    for number, last in _beside(spark, path, "last").items():
+        if number in complete:  # written whole before the old state was moved
+            publish(spark, complete[number], path)
+            fs.delete(_folder(spark, last)[1], True)
+        else:
+            fs.rename(_folder(spark, last)[1], p)
+        return
+
+
+def discard(spark: SparkSession, staged: str) -> None:
+    """Delete a folder that will not be published."""
+    fs, p = _folder(spark, staged)
+    fs.delete(p, True)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    """Replace a table directory with the DataFrame's rows."""
-    w = df.write.mode(mode)
+    """Replace a table directory with the DataFrame's rows, whole or not at all.
+
+    ``overwrite`` writes beside the table and shows the result when it is complete: a
+    write that fails leaves the old rows, and ``df`` may read the table it replaces.
+    Other modes are Spark's.
+    """
+    spark = df.sparkSession
+    staged = next_folder(path) if mode == "overwrite" else None
+    w = df.write.mode("errorifexists" if staged else mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if not staged:
+        w.parquet(path)
+        return
+    recover(spark, path)
+    try:
+        w.parquet(staged)
+    except BaseException:
+        discard(spark, staged)
+        raise
+    publish(spark, staged, path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table that ``write_table`` keeps; finishes a half-done replacement first."""
+    recover(spark, path)
+    return spark.read.parquet(path)
 
 
 def write_sorted(df: DataFrame, cols: Sequence, path: str, mode: str = "overwrite") -> None:
