@@ -7,9 +7,9 @@ tokenizers end (the groups' borders) and, as a full outer join, all borders, bet
 which exactly one pair of tokens overlaps (the links). ``Table.group_by`` counts the
 pairs of a block of documents, and Spark merges these partial counts.
 
-Tokens are looked up, not made: a text is cut at spaces that no token of either
-tokenizer crosses, and each distinct piece is encoded once. Every cut is a border of
-both, so a long document is aligned in ranges of pieces, in bounded memory.
+A text is cut where no token of either tokenizer crosses, and each distinct piece of a
+block is encoded once. Every cut is a border of both, so a long document is aligned in
+ranges of pieces, in bounded memory.
 
 Corpus counts come back by block: a block asks once for each distinct pair that it
 holds, so no row is made per link, and a pair that every document holds is one row
@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +32,9 @@ from revlens.llm.common import blocks, strings, texts, written
 #: Bytes of text (one document at least) that share one request for counts.
 BLOCK_BYTES = 4 << 20
 #: Pieces that one pass of joins aligns.
-PIECES = 1 << 17
-#: Pieces that a worker remembers; a full memory is emptied.
-CACHE = 200_000
+PIECES = 1 << 16
+#: Pieces that A encodes at once: its encodings are large.
+ENCODED = 1 << 12
 
 ALIGNED = (
     "block string, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string,"
@@ -54,9 +55,15 @@ def spaced(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, ends
 
 
+#: A piece also begins at these after a Latin letter or digit.
+PUNCTUATION = ".,;:!?)\"'"
+
+
 def cuts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Where pieces begin: at every text, and at every space after a character that is
-    neither white space nor a control character. Words of both tokenizers begin there."""
+    """Where pieces begin: at every text, at every space after a character that is neither
+    white space nor a control character, and at ``PUNCTUATION`` after a Latin letter or
+    digit. Words of both tokenizers begin there."""
+    begin = np.zeros(len(data), dtype=bool)
     at = np.flatnonzero(data == 32)
     at = at[at >= 3]
     c, b, a = data[at - 1], data[at - 2], data[at - 3]
@@ -66,20 +73,29 @@ def cuts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     wide |= (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
     wide |= (a == 0xE2) & (b == 0x81) & (c == 0x9F)
     wide |= (a == 0xE3) & (b == 0x80) & (c == 0x80)
-    solid = ((c > 32) & (c < 127)) | ((c >= 128) & ~wide)
-    return np.union1d(at[solid], ends[:-1])
+    begin[at[((c > 32) & (c < 127)) | ((c >= 128) & ~wide)]] = True
+    mark = np.zeros(256, dtype=bool)
+    mark[[ord(x) for x in PUNCTUATION]] = True
+    at = np.flatnonzero(mark[data])
+    at = at[at >= 2]
+    c, b = data[at - 1], data[at - 2]
+    # fixed values: U+00C0 to U+017F but the signs of multiplication and division
+    latin = (b >= 0xC3) & (b <= 0xC5) & (c >= 0x80) & (c < 0xC0) & ~((b == 0xC3) & ((c == 0x97) | (c == 0xB7)))
+    low = c | 0x20
+    begin[at[((c >= 48) & (c <= 57)) | ((low >= 97) & (low <= 122) & (c < 128)) | latin]] = True
+    begin[ends[:-1][np.diff(ends) > 0]] = True
+    return np.flatnonzero(begin)
 
 
 class Tokenizers:
-    """Tokens of pieces, as (A ids, B ids) in int32 bytes; None where a side's joined
-    bytes are not the piece."""
+    """Tokens of pieces by both tokenizers, and the bytes of every token."""
 
     def __init__(self, a_path: str, b_path: str):
+        import json
         import os
+        import re
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        import json
-
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -97,30 +113,41 @@ class Tokenizers:
         for token, i in self.a.get_vocab(with_added_tokens=False).items():
             self.a_bytes[i] = bytes(map(byte.__getitem__, token)) if all(c in byte for c in token) else token.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        crosses = re.compile(rf"[^▁]▁|[0-9A-Za-zÀ-ſ][{re.escape(PUNCTUATION)}]")
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
-            if piece.lstrip("▁").count("▁"):
-                raise ValueError(f"a piece of B crosses a space: {piece!r}")
+            if crosses.search(piece):
+                raise ValueError(f"a piece of B crosses a cut: {piece!r}")
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.space = self.b.piece_to_id("▁")
+        self.guard = self.b.encode("\n")  # the space that B adds, and a line end, which no piece joins
         sizes = lambda known: np.array([len(x) for x in known], dtype=np.int64)
         self.a_sizes, self.b_sizes = sizes(self.a_bytes), sizes(self.b_bytes)
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def __call__(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        if new:
-            a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-            # B puts a space before what it encodes: the piece's own; of nothing it makes no token
-            b = [ids or [self.space] for ids in self.b.encode([p[1:] for p in new], num_threads=1)]
-            for p, x, y in zip(new, a, b):
-                raw = p.encode()
-                same = b"".join([self.a_bytes[i] for i in x]) == raw == b"".join([self.b_bytes[i] for i in y])
-                self.known[p] = (np.array(x, "<i4").tobytes(), np.array(y, "<i4").tobytes()) if same else None
-        return [self.known[p] for p in pieces]
+
+    def __call__(self, pieces: list[str]):
+        """(A's tokens, B's tokens) as lists of int32 per piece, and which pieces both
+        give back byte for byte."""
+        import pyarrow as pa
+
+        a: list[list[int]] = []
+        for i in range(0, len(pieces), ENCODED):
+            a += [e.ids for e in self.a.encode_batch_fast(pieces[i : i + ENCODED], add_special_tokens=False)]
+        # B puts a space before what it encodes: the piece's own, or one before a guard
+        # that goes again; of nothing it makes no token
+        b = self.b.encode([p[1:] if p[0] == " " else "\n" + p for p in pieces], num_threads=1)
+        skip = len(self.guard)
+        b = [(ids or [self.space]) if p[0] == " " else ids[skip:] for p, ids in zip(pieces, b)]
+        raw = "".join(pieces).encode()
+        ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces])
+        lists, same = [], np.ones(len(pieces), dtype=bool)
+        for ids, known, sizes in ((a, self.a_bytes, self.a_sizes), (b, self.b_bytes, self.b_sizes)):
+            stops = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(stops[-1]) if len(stops) else 0)
+            lists.append(pa.LargeListArray.from_arrays(np.r_[0, stops], pa.array(flat)))
+            if not (np.array_equal(np.r_[0, np.cumsum(sizes[flat])][stops], ends) and b"".join(map(known.__getitem__, flat.tolist())) == raw):
+                same &= np.array([b"".join([known[i] for i in x]) == p.encode() for p, x in zip(pieces, ids)], dtype=bool)
+        return lists, same
 
 
 @lru_cache(maxsize=2)
@@ -130,13 +157,6 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
 
 # --- the alignment of a range of pieces ------------------------------------------------
 
-def _lists(packed: list[bytes]):
-    import pyarrow as pa
-
-    ends = np.r_[0, np.cumsum([len(p) // 4 for p in packed])].astype(np.int64)
-    return pa.LargeListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(packed), "<i4")))
-
-
 def _ends(lists, owners: np.ndarray, sizes: np.ndarray):
     """(document, end in the document, id) of every token of the listed pieces."""
     import pyarrow as pa
@@ -194,13 +214,11 @@ def _block(doc_ids, data: np.ndarray, ends: np.ndarray, coded: Tokenizers):
     starts = cuts(data, ends)
     joined = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.r_[starts, ends[-1]].astype(np.int64)), pa.py_buffer(data))
     pieces = joined.dictionary_encode()
-    known = coded(pieces.dictionary.to_pylist())
-    lists = [_lists([k[side] if k else b"" for k in known]) for side in (0, 1)]
+    lists, same = coded(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
     at = np.asarray(pieces.indices)
-    owner = (np.searchsorted(ends, starts, side="right") - 1).astype(np.int64)
-    lost = np.array([k is None for k in known], dtype=bool)
+    owner = np.repeat(np.arange(n), np.diff(np.searchsorted(starts, ends)))
     # no tokens: an empty text, or one with a piece whose bytes a side does not give back
-    whole = (np.diff(ends) > 1) & (np.bincount(owner, weights=lost[at], minlength=n) == 0)
+    whole = (np.diff(ends) > 1) & (np.bincount(owner, weights=~same[at], minlength=n) == 0)
     kept = whole[owner]
     at, owner = at[kept], owner[kept]
     counts = np.zeros((4, n), dtype=np.int64)
