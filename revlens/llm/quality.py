@@ -3,12 +3,14 @@
 Method: a small network is trained to minimise the non-negative unbiased risk from
 trusted positives (label 1) and unlabelled web text, given a class prior estimated
 from all labels that are not held out. Its output is calibrated to a probability on the
-trusted training rows. Features describe the text alone (signs, capitals, repeats,
-lengths); labels, lang, source and doc_id are never among them.
-
-The features' mean and deviation are those of all documents; the steps of the fit and
-the calibration read a bounded sample, chosen by hash over the whole table; scoring
-reads every whole text.
+trusted training rows, of both labels. Features describe the text alone (signs, capitals,
+repeats, lengths); labels, lang, source and doc_id are never among them.
+
+Trusted rows are a bounded sample, chosen by hash over the whole table. Everything else
+covers all rows: the features' mean and deviation, and the unlabelled text of the risk.
+Spark reduces the latter in one pass to cells of like features (the signs of fixed random
+projections), each with its number of rows and their mean, so a rare kind of text has its
+cell, and its weight, at every size of the corpus. Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import PLAIN, apart, blocks, strings, word_hashes
+from revlens.llm.common import PLAIN, apart, blocks, strings, word_hashes, written
 
-#: Rows of a fit, about: trusted ones and unlabelled ones.
-TRUSTED_ROWS, UNLABELLED_ROWS = 12_000, 12_000
+#: Trusted rows of a fit, about.
+TRUSTED_ROWS = 12_000
+#: Cells that the unlabelled rows, all of them, are reduced to at most.
+CELLS = 1 << 14
 ACCEPT = 0.7
 HIDDEN, STEPS, BATCH = 16, 600, 1024
 #: Used where trusted rows all have one label.
@@ -99,20 +103,24 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margin(x) + self.bias, -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, shift: np.ndarray, scale: np.ndarray, seed: int = 3) -> Model:
+def fit(
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, shift: np.ndarray, scale: np.ndarray, weights: np.ndarray | None = None, seed: int = 3
+) -> Model:
     """Minimise prior * E_P[l(g)] + max(0, E_U[l(-g)] - prior * E_P[l(-g)]), l the sigmoid loss.
 
-    ``shift`` and ``scale`` are the features' mean and deviation.
+    ``shift`` and ``scale`` are the features' mean and deviation; ``weights`` says how
+    many rows each of ``unlabelled`` stands for (one, if not given).
     Where a batch's second term is negative, its gradient is ascended, as the
     non-negative estimator does against overfitting.
     """
     rng = np.random.default_rng(seed)
     m = Model(shift, np.where(scale > 1e-9, scale, 1.0), rng.normal(0, 0.3, (positive.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.3, HIDDEN), 0.0, prior=prior)
     p, u = m.clip(positive), m.clip(unlabelled)
+    share = np.cumsum(np.ones(len(u)) if weights is None else weights)
     params = [m.w1, m.b1, m.w2, np.array([m.b2])]
     first, second = [np.zeros_like(q) for q in params], [np.zeros_like(q) for q in params]
     for step in range(1, STEPS + 1):
-        a, b = p[rng.integers(0, len(p), BATCH)], u[rng.integers(0, len(u), BATCH)]
+        a, b = p[rng.integers(0, len(p), BATCH)], u[np.searchsorted(share, rng.random(BATCH) * share[-1], side="right")]
         z = np.concatenate([a, b])
         hidden = np.tanh(z @ params[0] + params[1])
         s = 1 / (1 + np.exp(-np.clip(hidden @ params[2] + params[3][0], -30, 30)))  # l(-g) = s, l(g) = 1 - s
@@ -166,47 +174,79 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
 
 
-def moments(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and deviation of each feature over all rows, to 9 digits: sums in another order give the same."""
-    x = docs.select(_features(F.coalesce("text", F.lit(""))).alias("x"))
-    row = x.agg(*(f(F.col("x")[i]) for f in (F.avg, F.stddev_pop) for i in range(N_FEATURES))).first()
-    out = np.array([float(f"{v:.9g}") for v in row])
+def _digits(values) -> np.ndarray:
+    """Floats to 9 digits: sums in another order give the same."""
+    return np.array([float(f"{v:.9g}") for v in values])
+
+
+def moments(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of each feature (column x) over all rows."""
+    row = table.agg(*(f(F.col("x")[i]) for f in (F.avg, F.stddev_pop) for i in range(N_FEATURES))).first()
+    out = _digits(0.0 if v is None else v for v in row)
     return out[:N_FEATURES], out[N_FEATURES:]
 
 
-def train(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Model | None:
-    """A model from labelled rows that are not held out and as many unlabelled texts; the
-    class prior is that of all ids so labelled, the features' mean and deviation that of all rows.
+def cells(table: DataFrame, shift: np.ndarray, scale: np.ndarray, most: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
+    """(mean features, rows) of every cell that has rows: at most ``most``, from all rows
+    of ``table``. Two rows share a cell where all the projections' signs agree."""
+    bits = max(0, most.bit_length() - 1)
+    directions = np.random.default_rng(29).normal(size=(N_FEATURES, bits))
+    scale = np.where(scale > 1e-9, scale, 1.0)
 
-    Samples are the distinct (doc_id, text) whose hash is smallest: about ``trusted_rows``
-    and ``unlabelled_rows``, all if there are fewer; no more reaches the driver, however
-    many rows an id has. Rows with a null doc_id, or labels other than 0 and 1, teach
-    nothing. None without a positive.
+    def run(batches):
+        import pyarrow as pa
+
+        total, n = np.zeros((1 << bits, N_FEATURES)), np.zeros(1 << bits, dtype=np.int64)
+        for batch in batches:
+            x = np.asarray(batch.column(0).flatten()).reshape(-1, N_FEATURES)
+            z = np.clip((x - shift) / scale, -6, 6)
+            cell = ((z @ directions > 0) << np.arange(bits)).sum(axis=1) if bits else np.zeros(len(z), dtype=np.int64)
+            order = np.argsort(cell, kind="stable")
+            first = np.flatnonzero(np.diff(cell[order], prepend=-1))
+            if len(first):
+                total[cell[order][first]] += np.add.reduceat(z[order], first, axis=0)
+            n += np.bincount(cell, minlength=1 << bits)
+        seen = np.flatnonzero(n)
+        sums = pa.ListArray.from_arrays(pa.array(np.arange(len(seen) + 1) * N_FEATURES, pa.int32()), pa.array(total[seen].ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen]), sums], names=["cell", "n", "sums"])
+
+    parts = table.select("x").mapInArrow(run, "cell long, n long, sums array<double>")
+    rows = parts.groupBy("cell").agg(F.sum("n").alias("n"), *(F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(N_FEATURES))).toPandas()
+    rows = rows.sort_values("cell", kind="stable")
+    n = rows["n"].to_numpy(dtype=np.float64)
+    mean = rows.drop(columns=["cell", "n"]).to_numpy(dtype=np.float64) / np.maximum(n, 1)[:, None]
+    return _digits(mean.ravel()).reshape(-1, N_FEATURES) * scale + shift, n
+
+
+def train(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS, most_cells: int = CELLS) -> Model | None:
+    """A model from labelled rows that are not held out and all unlabelled texts; the class
+    prior is that of all ids so labelled, the features' mean and deviation that of all rows.
+
+    The trusted sample is the distinct (doc_id, text) whose hash is smallest: about
+    ``trusted_rows``, all if there are fewer; no more reaches the driver, however many
+    rows an id has, and of the unlabelled rows at most ``most_cells`` cells. Rows with a
+    null doc_id, or labels other than 0 and 1, teach nothing. None without a positive.
     """
     def share(n: int, wanted: int) -> F.Column:
         return F.pmod("h", F.lit(1 << 30)) < int(min(1.0, wanted / max(n, 1)) * (1 << 30))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    rows = rows.withColumn("h", F.xxhash64(F.lit(41), "doc_id", "text"))
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    every = written(every.select("doc_id", F.xxhash64(F.lit(41), "doc_id", "text").alias("h"), _features("text").alias("x")), "quality-features")
+    rows = every.where(F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(F.col("doc_id").isNotNull() & ~held_out("doc_id") & F.col("quality").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other").drop("other")
-    keys = rows.select("doc_id", "h").distinct()
-    n_rows, n_trusted = keys.join(known, "doc_id", "left").agg(F.count("*"), F.count("quality")).first()
-    chosen = keys.where(share(n_trusted, trusted_rows)).join(known, "doc_id")
-    trusted = rows.join(F.broadcast(chosen), ["doc_id", "h"]).select("doc_id", "h", "quality", "text")  # about trusted_rows keys
-    web = rows.where(share(n_rows, unlabelled_rows)).select("doc_id", "h", F.lit(None).cast("int").alias("quality"), "text")
-    sample = trusted.unionByName(web).distinct().select("doc_id", "h", "quality", _features("text").alias("x")).toPandas()
-    if sample.empty:
+    keys = rows.select("doc_id", "h").distinct().join(known, "doc_id")
+    chosen = keys.where(share(keys.count(), trusted_rows))
+    sample = rows.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).toPandas()  # about trusted_rows
+    if sample.empty or not (sample["quality"] == 1).any():
         return None
-    sample = sample.sort_values(["doc_id", "h", "quality"], kind="stable")
+    sample = sample.sort_values(["doc_id", "h"], kind="stable")
     x, y = np.stack(sample["x"].to_list()), sample["quality"].to_numpy(dtype=float)
-    seen = ~np.isnan(y)
-    if not (y == 1).any():
-        return None
     prior = float(known.agg(F.avg("quality")).first()[0])
     prior = min(prior, 0.98) if prior < 1 else DEFAULT_PRIOR
-    web_x = x[~seen] if (~seen).any() else x
-    return calibrate(fit(x[y == 1], web_x, prior, *moments(docs)), x[seen], y[seen])
+    shift, scale = moments(every)
+    web, weights = cells(rows, shift, scale, most_cells)
+    return calibrate(fit(x[y == 1], web, prior, shift, scale, weights), x, y)
 
 
 def scores(model: Model | None):
@@ -231,6 +271,9 @@ def with_quality(docs: DataFrame, labels: DataFrame, name: str = "score") -> Dat
 
 
 def op10_quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The contract's columns of every row. A null text counts as empty; a row with a null
+    doc_id is scored and not held out; repeated rows score alike; without labels every
+    score is 1; an empty table gives no rows; other columns are left behind."""
     scored = with_quality(docs.select("doc_id", "text"), labels)
     return scored.select(
         "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted")

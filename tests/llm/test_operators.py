@@ -481,9 +481,26 @@ def test_sample_is_bounded_where_an_id_repeats(spark, monkeypatch):
     free = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2]
     rows = [(i, sentence(rng, 20)) for i in free[1:801]] + [(free[0], f"{i} {sentence(rng, 20)}") for i in range(400)] + [(free[0], "same") for _ in range(400)]
     labels = [(i, k % 2) for k, i in enumerate(free[1:41])] + [(free[0], 1)]
-    monkeypatch.setattr(quality, "fit", lambda p, u, *a, **b: seen.append((len(p), len(u))) or fit(p, u, *a, **b))
+    monkeypatch.setattr(quality, "fit", lambda p, u, *a, **b: seen.append((len(p), len(u), a[3].sum())) or fit(p, u, *a, **b))
     quality.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"), 60, 60)
-    assert 20 < seen[0][0] < 120 and 20 < seen[0][1] < 120
+    # the unlabelled text is that of all rows, in a bounded number of cells
+    assert 20 < seen[0][0] < 120 and 1 < seen[0][1] <= 60 and seen[0][2] == len(rows)
+
+
+def test_cells_hold_all_rows(spark):
+    importable(spark)
+    rng = random.Random(12)
+    texts_ = [sentence(rng, rng.randrange(1, 60)) for _ in range(700)] + ["{}@#" * 300] * 3 + ["", "A B C"]
+    table = spark.createDataFrame([(t,) for t in texts_], "text string").repartition(4).select(quality._features("text").alias("x"))
+    x = np.stack([r["x"] for r in table.collect()])
+    shift, scale = quality.moments(table)
+    z = np.clip((x - shift) / np.where(scale > 1e-9, scale, 1.0), -6, 6)
+    for most in (1, 7, 64, 1 << 14):
+        mean, n = quality.cells(table, shift, scale, most)
+        assert n.sum() == len(texts_) and len(n) <= most
+        back = (mean - shift) / np.where(scale > 1e-9, scale, 1.0)
+        assert np.allclose((back * n[:, None]).sum(axis=0) / n.sum(), z.mean(axis=0), atol=1e-6)
+    assert len(quality.cells(table.limit(0), shift, scale)[1]) == 0
 
 
 def test_prior_and_scales_are_of_all_rows(spark):
