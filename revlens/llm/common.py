@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import uuid
-from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.session import ensure_checkpoint_dir
+from revlens.session import ensure_checkpoint_dir, importable
 
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for a null doc_id where rows are matched by key.
@@ -21,12 +19,12 @@ SEGMENT = 1 << 18
 BLOCK = 1 << 20
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did, unless it is installed there."""
-    here = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (here, env.get("PYTHONPATH", "")) if x)
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or one made of it that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -11,8 +11,9 @@ probability 1.4e-6 there). Candidates are verified by exact containment of the i
 shingles in the whole document.
 
 Block minima of a class come from those of the class below, so each shingle is hashed
-64 times in all. Items are kept in memory in a bounded number at a time; documents
-are read once for each such number of items, and never shuffled.
+64 times in all. Documents are read once and never shuffled. The items are with every
+task: a benchmark is test questions, not a corpus, and one over ``MOST_CHARS`` characters
+is refused.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 from revlens.llm.common import FOLDED, U, apart, blocks, ngrams, seeds, strings, word_hashes
 
 SHINGLE, THRESHOLD, HASHES = 5, 0.8, 64
-#: Items (and characters of items) held by a task at a time: some 100 MB at most.
+#: Items (and characters of items) that one index holds.
 ITEMS_AT_ONCE, CHARS_AT_ONCE = 20_000, 1 << 24
+#: Items (and characters of items) of a benchmark that every task can hold.
+MOST_ITEMS, MOST_CHARS = 200_000, 1 << 26
 SMALLEST = 8
 
 _A, _B = seeds(HASHES, 21) | U(1), seeds(HASHES, 22)
@@ -138,7 +141,11 @@ def _batches(benchmark: DataFrame):
     """The items, a bounded number at a time."""
     part: list[tuple[int, str]] = []
     chars = 0
-    for r in benchmark.select(F.col("item_id").cast("long").alias("i"), F.coalesce("text", F.lit("")).alias("t")).distinct().orderBy("i", "t").toLocalIterator():
+    items = benchmark.select(F.col("item_id").cast("long").alias("i"), F.coalesce("text", F.lit("")).alias("t")).distinct()
+    n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.char_length("t")), F.lit(0))).first()
+    if n > MOST_ITEMS or size > MOST_CHARS:
+        raise ValueError(f"a benchmark of {n} items, {size} characters: more than {MOST_ITEMS} or {MOST_CHARS}; search it in parts")
+    for r in items.orderBy("i", "t").toLocalIterator():
         if part and (len(part) >= ITEMS_AT_ONCE or chars + len(r["t"]) > CHARS_AT_ONCE):
             yield part
             part, chars = [], 0
@@ -154,7 +161,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     five words (an item of fewer is one shingle of them all). Containment is the share
     of the item's distinct shingles that the document has. Null or empty texts contain
     nothing; an item without words is in no document. Rows keep their columns; a column
-    called ``name`` is replaced.
+    called ``name`` is replaced. More than ``MOST_ITEMS`` distinct items, or ``MOST_CHARS``
+    characters of them, raise ValueError before any document is read: the union of the
+    results of parts of a benchmark is the result of the whole.
     """
     text = F.coalesce("text", F.lit(""))
     found = [_found(part, threshold)(text) for part in _batches(benchmark) if part]
