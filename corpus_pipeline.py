@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import decontam, neardup, packing, quality, secrets
-from revlens.llm.common import read, written
+from revlens.llm.common import fresh, read, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text scores at least 0.7; the others go. Order-free, row by row."""
-    names = docs.columns
+    names, score = docs.columns, fresh(docs, "score")
     model = quality.train(docs, read(spark, sf_dir, "labels"))
-    score = quality.scores(model)(F.coalesce("text", F.lit("")))
-    return docs.withColumn("__score", score).where(F.col("__score") >= quality.ACCEPT).select(*names)
+    scored = docs.withColumn(score, quality.scores(model)(F.coalesce("text", F.lit(""))))
+    return scored.where(F.col(score) >= quality.ACCEPT).select(*names)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,17 +29,17 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that contain no benchmark item."""
-    names = docs.columns
-    found = decontam.matches(docs, read(spark, sf_dir, "benchmark"), name="__found")
-    return found.where(F.size("__found") == 0).select(*names)
+    names, items = docs.columns, fresh(docs, "found")
+    found = decontam.matches(docs, read(spark, sf_dir, "benchmark"), name=items)
+    return found.where(F.size(items) == 0).select(*names)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row; secrets in its text are masked, and n_chars follows the text."""
-    names = docs.columns
-    found = secrets.scan(docs, name="__spans")
-    masked = secrets.mask(F.col("text"), F.col("__spans"))
-    changed = F.size("__spans") > 0
+    names, spans = docs.columns, fresh(docs, "spans")
+    found = secrets.scan(docs, name=spans)
+    masked = secrets.mask(F.col("text"), F.col(spans))
+    changed = F.size(spans) > 0
     if "n_chars" in names:
         n_chars = F.char_length(masked).cast(docs.schema["n_chars"].dataType)
         found = found.withColumn("n_chars", F.when(changed, n_chars).otherwise(F.col("n_chars")))
