@@ -62,3 +62,21 @@ def test_no_window_over_all_rows(spark):
 def test_wrong_order_is_refused(spark):
     with pytest.raises(ValueError):
         number_rows(table(spark, 3, 0), ["score down"])
+
+
+@pytest.mark.parametrize("n", [0, 1, 400, 900, 5000])
+def test_sample_where_a_third_of_the_keys_is_null(spark, n):
+    from revlens.sources.sampling import sample_n
+
+    df = spark.range(1200).select(F.when(F.col("id") % 3 > 0, F.concat(F.lit("k"), (F.col("id") % 700).cast("string"))).alias("key"), (F.col("id") % 90).alias("v"))
+    a, b = (sample_n(df.repartition(p), n, 5, "key").collect() for p in (3, 7))
+    assert len(a) == min(n, 1200) and sorted(map(str, a)) == sorted(map(str, b))
+    ranked = df.orderBy(F.md5(F.concat(F.lit("5"), F.coalesce("key", F.lit("")))), F.col("key").asc_nulls_last()).limit(n).collect()
+    assert sorted(str(r["key"]) for r in a) == sorted(str(r["key"]) for r in ranked)
+
+
+def test_sample_cuts_null_keys_by_ranges(spark):
+    from revlens.sources.sampling import sample_n
+
+    plan = sample_n(spark.range(100).select(F.lit(None).cast("string").alias("key"), "id"), 10, 5, "key")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Limit" not in plan
