@@ -78,22 +78,33 @@ def with_reviewer_context(
     across tasks (their reviews spread by review key, their history row
     replicated per split) — see ``revlens.operators.skew``.
     """
-    ctx = history.select(
-        "reviewer_id",
-        F.col("lifetime_review_count").alias("reviewer_lifetime_review_count"),
-        F.col("harshness_score").alias("reviewer_harshness_score"),
-        "reviewer_tendency",
-        "is_prolific_reviewer",
-    )
+    ctx = context_columns(history)
     counts = history.select("reviewer_id", "lifetime_review_count")
     spread = ["review_key"] if "review_key" in fct.columns else ()
     j = split_hot_join(
         fct, ctx, "reviewer_id", "left", spread=spread, counts=counts, count_col="lifetime_review_count",
         rows_per_split=rows_per_split,
     )
+    return flag_signals(j, fct.columns)
+
+
+def context_columns(history: DataFrame, *more: str) -> DataFrame:
+    """What a review gets from its reviewer's history."""
+    return history.select(
+        "reviewer_id",
+        F.col("lifetime_review_count").alias("reviewer_lifetime_review_count"),
+        F.col("harshness_score").alias("reviewer_harshness_score"),
+        "reviewer_tendency",
+        "is_prolific_reviewer",
+        *more,
+    )
+
+
+def flag_signals(joined: DataFrame, columns: list[str]) -> DataFrame:
+    """Reviews (``columns``) joined to their context, with the signal flags."""
     t = F.col("reviewer_tendency")
-    return j.select(
-        *fct.columns,
+    return joined.select(
+        *columns,
         "reviewer_lifetime_review_count",
         "reviewer_harshness_score",
         "reviewer_tendency",

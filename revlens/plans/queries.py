@@ -29,10 +29,12 @@ from revlens.operators.rule_index import classify_by_rule_index
 from revlens.operators.rollups import date_bounds
 from revlens.operators.scd2 import scd2_apply, scd2_as_of, scd2_snapshot
 from revlens.operators.staging import clean_products
+from revlens.plans.bucketed import BucketedWarehouse
 from revlens.plans.checks import SUITE, run_suite
 from revlens.plans.observed import ObservedWarehouse
 from revlens.plans.refresh import ReviewStore
 from revlens.plans.warehouse import PRODUCT_CHECK_COLS, Warehouse
+from revlens.sources.clustering import write_clustered
 from revlens.sources.fixtures import AS_OF_V1, AS_OF_V2, LOADED_V1, LOADED_V2, Inputs
 from revlens.session import scratch_path
 from revlens.sources.io import (
@@ -192,6 +194,15 @@ def q_refresh_dim_categories(spark, sf_dir):
     return _refreshed(spark, sf_dir).dim_categories(warehouse(spark, sf_dir).stg_products)
 
 
+def _bucketed(model: str) -> Query:
+    def q(spark, sf_dir):
+        i = Inputs(spark, sf_dir)
+        wh = BucketedWarehouse(i.reviews(), i.products(), i.mapping(), i.rules(), bucket_bytes=1 << 20, rows_per_split=5000)
+        return getattr(wh, model)
+
+    return q
+
+
 # --- history ----------------------------------------------------------------
 
 def _history(spark, sf_dir):
@@ -398,6 +409,15 @@ def q_ingest_reviews(spark, sf_dir):
     return register_sources(spark, {"ingested_reviews": table})["ingested_reviews"]
 
 
+def q_clustered_reviews(spark, sf_dir):
+    # stored by interleaved ranks of product and date; both filters skip row groups
+    path = _scratch(spark, "clustered-reviews")
+    fct = warehouse(spark, sf_dir, materialize="table").fct_reviews.drop("review_month")
+    write_clustered(fct, path, ["product_id", "reviewed_date"], row_group_bytes=1 << 20)
+    stored = spark.read.parquet(path)
+    return stored.where(F.col("product_id").between("P1", "P2") & F.col("reviewed_date").between("1998-01-01", "1998-06-30"))
+
+
 def q_ingest_products(spark, sf_dir):
     # JSON lines in two places, read as one, with an explicit schema; sorted output, read again
     raw, landed, table = Inputs(spark, sf_dir).products(), _scratch(spark, "raw-products"), _scratch(spark, "products")
@@ -500,6 +520,9 @@ QUERIES: dict[str, Query] = {
     "table_products_at_risk": _wh("mart_products_at_risk", materialize="table"),
     "table_category_performance": _wh("mart_category_performance", materialize="table"),
     "table_dim_products": _wh("dim_products", materialize="table"),
+    "bucketed_products_at_risk": _bucketed("mart_products_at_risk"),
+    "bucketed_reviewer_context": _bucketed("reviews_with_context"),
+    "clustered_reviews": q_clustered_reviews,
     "ingest_reviews": q_ingest_reviews,
     "ingest_products": q_ingest_products,
     "ingest_lines": q_ingest_lines,
