@@ -16,17 +16,17 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from revlens.llm.common import texts, written
+from revlens.llm.common import blocks, strings, texts, written
+from revlens.llm.tokens import part_tokens, word_ids
 
 CAPACITY = 2048
-#: Entries of a task's word caches; a full cache is emptied, so memory stays bounded.
-CACHE = 400_000
+#: Bytes of text whose distinct parts are encoded once.
+BLOCK_BYTES = 4 << 20
 #: Pieces that one numbering task sorts.
 ROWS_PER_BUCKET = 1 << 18
 
@@ -35,56 +35,12 @@ PIECES = "doc_id long, piece int, start long, length long, token_ids binary"
 
 # --- tokens --------------------------------------------------------------------
 
-class _Bounded(dict):
-    """text -> ids as little-endian bytes, made on first sight."""
-
-    def __init__(self, make):
-        self.make = make
-
-    def __missing__(self, key):
-        if len(self) >= CACHE:
-            self.clear()
-        self[key] = value = self.make(key)
-        return value
-
-
-@lru_cache(maxsize=4)
 def encoder(tokenizer_path: str):
-    """text -> ids (little-endian uint32 bytes), equal to Tokenizer.encode(text).ids.
-
-    The word-end BPE drops white space, and no merge, composed character or special
-    token crosses a space, so the parts between spaces are encoded once each. Parts
-    are split by the tokenizer's own published pattern; a part that NFC changes or
-    that holds control characters or a special token goes through the tokenizer whole.
-    """
-    import unicodedata
-
-    import regex
-    from tokenizers import Tokenizer
-
-    whole = Tokenizer.from_file(tokenizer_path)
-    model = whole.model
-    special = [t.content for t in whole.get_added_tokens_decoder().values()]
-    pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    # byte-level alphabet: printable Latin-1 stands for itself, the rest follows from 256
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = iter(range(256, 512))
-    alphabet = {b: (b if b in printable else next(rest)) for b in range(256)}
-
-    def pack(ids) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
-
-    words = _Bounded(lambda w: pack([t.id for t in model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(alphabet))]))
-
-    def part(p: str) -> bytes:
-        plain = p.isascii() or unicodedata.is_normalized("NFC", p)
-        if not p.isprintable() or not plain or any(s in p for s in special):
-            return pack(whole.encode(p, add_special_tokens=False).ids)
-        low = p.lower() if p.isascii() else "".join(map(str.lower, p))  # by character, as the tokenizer does
-        return b"".join([words[w] for w in pattern.findall(low)])
+    """text -> ids (little-endian uint32 bytes), equal to Tokenizer.encode(text).ids."""
+    import pyarrow as pa
 
-    parts = _Bounded(part)
-    return lambda text: b"".join(map(parts.__getitem__, text.replace("\n", " ").split(" ")))
+    tokens = part_tokens(tokenizer_path)
+    return lambda text: word_ids(pa.array([text], pa.string()), tokens)[1].tobytes()
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
@@ -98,22 +54,21 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     def run(batches):
         import pyarrow as pa
 
-        encode = encoder(tokenizer_path)
-        end = np.array([end_id], dtype="<u4").tobytes()
-        step = 4 * capacity
-        schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("token_ids", pa.binary())])
+        tokens = part_tokens(tokenizer_path)
         for batch in batches:
-            rows: list[tuple] = []
-            size = 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py()) + end
-                rows += [(doc, i, at // 4, min(step, len(ids) - at) // 4, ids[at : at + step]) for i, at in enumerate(range(0, len(ids), step))]
-                size += len(ids)
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
-                    rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
+            text = batch.column(1)
+            for a, b in blocks(strings(text)[0], BLOCK_BYTES):
+                counts, ids = word_ids(text.slice(a, b - a), tokens)
+                ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4", copy=False)
+                n = -(-(counts + 1) // capacity)
+                doc = np.repeat(np.arange(b - a), n)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+                start = piece * capacity
+                length = np.minimum(counts[doc] + 1 - start, capacity)
+                ends = np.r_[0, np.cumsum(4 * length)].astype(np.int64)
+                binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+                columns = [batch.column(0).slice(a, b - a).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), binary.cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "token_ids"])
 
     return texts(docs).mapInArrow(run, PIECES)
 
@@ -202,8 +157,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rows_per_bucket: int = ROW
     sequence over ``capacity``. Needs a column length of 1..capacity.
 
     Pieces of a length are numbered in buckets of a hash of the row, so a length that
-    half the corpus has is no hot group. Rows equal in every column share a bucket;
-    which of them gets which place is arbitrary. ``pieces`` must give the same rows
+    half the corpus has is no hot group. Rows equal in every column share a bucket (give
+    them a column that tells them apart); which of them gets which place is arbitrary. ``pieces`` must give the same rows
     when read again (read it from a written table). No pieces give no rows.
     """
     spark = pieces.sparkSession
@@ -238,11 +193,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rows_per_bucket: int = ROW
 
 
 def op1_best_fit_packing(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The contract's columns of every piece. A null text is the end id alone; null ids and
+    repeated rows are documents of their own; an empty table gives no rows; other columns
+    are left behind. A piece's place in the table tells repeated rows apart, so a row that
+    a third of the table repeats is numbered in many buckets."""
     import public_tokenizers
 
     pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
-    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("token_ids").alias("ids_crc32"))
-    return pack(written(digests, "pieces"))
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("token_ids").alias("ids_crc32"), F.monotonically_increasing_id().alias("place"))
+    return pack(written(digests, "pieces")).drop("place")
 
 
 def crc(ids) -> int:

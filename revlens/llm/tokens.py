@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from array import array
 from functools import lru_cache
@@ -12,6 +13,8 @@ import numpy as np
 #: whatever follows. Only letters that composition and lower case leave one letter (no
 #: dotted capital I); no apostrophe, which begins words, and no bar, which special tokens hold.
 APART = r'([0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}])([.,;:!?)"])'
+#: Fixed value: the words of the tokenizer, as its file has them.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Parts that a task remembers; a full memory is emptied, so it stays bounded.
 CACHE = 150_000
 
@@ -28,12 +31,26 @@ class PartTokens:
 
         self.whole = Tokenizer.from_file(tokenizer_path)
         self.model = self.whole.model
+        self._expect(json.loads(self.whole.to_str()))
         self.known: dict[str, bytes] = {}
         # byte-level alphabet: printable Latin-1 stands for itself, the rest follows from 256
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = iter(range(256, 512))
         self.alphabet = {b: (b if b in printable else next(rest)) for b in range(256)}
 
+    @staticmethod
+    def _expect(spec: dict) -> None:
+        """Raise unless the file has the rules that the short cuts here rely on."""
+        normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        split, level = ((spec["pre_tokenizer"] or {}).get("pretokenizers", []) + [{}, {}])[:2]
+        if (
+            normal != ["NFC", "Replace", "Lowercase"] or spec["normalizer"]["normalizers"][1]["pattern"] != {"Regex": r"\s+"}
+            or split.get("pattern") != {"Regex": PATTERN} or not split.get("invert")
+            or level.get("type") != "ByteLevel" or level.get("use_regex") or level.get("add_prefix_space")
+            or spec["model"]["type"] != "BPE" or spec["model"].get("end_of_word_suffix") != "</w>"
+        ):
+            raise ValueError("not a word-end BPE tokenizer in lower case")
+
     def _new(self, part: str) -> bytes:
         word = None
         if part.isascii():

@@ -135,3 +135,28 @@ def test_parts_equal_whole_texts():
     ends = np.r_[0, np.cumsum(counts)]
     want = [e.ids for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
     assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == want
+
+
+def test_another_tokenizer_is_refused():
+    with pytest.raises(ValueError, match="word-end"):
+        part_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_a_repeated_row_is_packed_in_several_buckets(spark):
+    """Rows equal in every column: numbered apart, each once, gapless sequences."""
+    from revlens.llm import packing
+    from revlens.llm.common import written
+
+    docs = spark.createDataFrame([(1, "the same words again")] * 300 + [(2, "word " * 3000)] * 3, "doc_id long, text string")
+    pieces = packing.token_pieces(docs, WORDS).select("doc_id", "piece", "start", "length", F.monotonically_increasing_id().alias("place"))
+    out = packing.pack(written(pieces, "test-pieces"), rows_per_bucket=32).collect()
+    assert len(out) == 306 and len({r["place"] for r in out}) == 306
+    by = {}
+    for r in out:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
