@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Rules per CASE expression; further rules follow in further expressions.
 RULES_PER_CASE = 100
+# Rules that are tried one after the other; more are for operators.rule_index.
+MOST_RULES = 5_000
 
 
 def map_lookup(
@@ -50,10 +52,14 @@ def classify_by_rules(
 
     The ordered rules (reference data) become CASE WHEN ... RLIKE expressions of
     ``rules_per_case`` rules each, the first that matches counts: no join, no
-    shuffle, patterns compiled once per task, rows judged one by one.
+    shuffle, patterns compiled once per task, rows judged one by one. The work is
+    rows times rules: more than ``MOST_RULES`` raise ValueError, and
+    ``rule_index.classify_by_rule_index`` gives the same result for them.
     """
     order = [F.col(priority).desc_nulls_last(), F.col(label).asc(), F.col(pattern).asc()]
-    ordered = rules.select(label, pattern, priority).orderBy(*order).collect()
+    ordered = rules.select(label, pattern, priority).orderBy(*order).limit(MOST_RULES + 1).collect()
+    if len(ordered) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules: use classify_by_rule_index")
     cases = first_match(text, [(r[pattern], F.lit(r[label])) for r in ordered], rules_per_case)
     return df.withColumn(out_col, F.coalesce(*cases, F.lit(default)))
 

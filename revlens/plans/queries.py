@@ -93,11 +93,18 @@ def q_classify_by_rules(spark, sf_dir):
     return _classified(spark, sf_dir)
 
 
-def q_classify_by_rules_join(spark, sf_dir):
-    # rules in several expressions joined by coalesce, as large rule tables are
+def q_classify_by_rules_chained(spark, sf_dir):
+    # rules in several CASE expressions, the first match of all counts
     return _classified(spark, sf_dir, rules_per_case=2)
 
 
+def q_classify_by_rules_join(spark, sf_dir):
+    # the same rules looked up by their literals and joined
+    i = Inputs(spark, sf_dir)
+    cleaned = clean_products(i.products()).select("product_id", "product_title")
+    return classify_by_rule_index(cleaned, F.lower("product_title"), i.rules())
+
+
 def q_classify_by_rule_index(spark, sf_dir):
     # thousands of rules: two alternations of name fragments per part, phrases of benchmark
     # texts with any character between the words, and two that have no literal to look up
@@ -461,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "parse_price": q_parse_price,
     "map_lookup": q_map_lookup,
     "classify_by_rules": q_classify_by_rules,
+    "classify_by_rules_chained": q_classify_by_rules_chained,
     "classify_by_rules_join": q_classify_by_rules_join,
     "stg_products": _wh("stg_products"),
     "dim_products": _wh("dim_products"),
