@@ -125,7 +125,7 @@ def scd2_as_of(history: DataFrame, ts) -> DataFrame:
     return history.where((F.col("valid_from") <= t) & (F.col("valid_to").isNull() | (F.col("valid_to") > t)))
 
 
-def complete_runs(spark: SparkSession, root: str) -> tuple[list[int], int]:
+def _runs(spark: SparkSession, root: str) -> tuple[list[int], int]:
     """(complete runs, next free number) from the directory listing; a run without its
     _SUCCESS marker was not finished and does not count. A root that is not there has
     none; any other failure to list is an error."""
@@ -139,12 +139,13 @@ def complete_runs(spark: SparkSession, root: str) -> tuple[list[int], int]:
     return sorted(n for n, p in numbers.items() if fs.exists(marker(p))), max(numbers, default=-1) + 1
 
 
-_runs = complete_runs
+#: The same for other append-only stores.
+complete_runs = _runs
 
 
 def _latest_run(spark: SparkSession, root: str):
     """(stored rows of complete runs, latest run number) or (None, None) when nothing is stored yet."""
-    complete, _ = complete_runs(spark, root)
+    complete, _ = _runs(spark, root)
     if not complete:
         return None, None
     return spark.read.parquet(root).where(F.col("run").isin(complete)), complete[-1]
@@ -182,7 +183,7 @@ def scd2_snapshot(
     if latest is not None:
         open_h = stored.where((F.col("run") == latest) & (F.col("kind") == "open")).drop("run", "kind")
     out = scd2_apply(open_h, current, key, check_cols, as_of)
-    run = complete_runs(spark, root)[1]
+    run = _runs(spark, root)[1]
     kind = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
     # its own directory, refused if it is there; readers see the run once it is complete
     out.withColumn("kind", kind).write.mode("errorifexists").partitionBy("kind").parquet(f"{root.rstrip('/')}/run={run}")
