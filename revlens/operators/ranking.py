@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,10 +51,10 @@ def _ranges(df: DataFrame, by: Sequence[str]) -> DataFrame:
 def _numbered(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """row, range and number (from 1)."""
     rows = _ranges(df, by)
-    counts = rows.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
-    # one row per range (a task's partition), never per input row
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    # one row per range, that is per task of the write, never per input row
+    counts = sorted(tuple(r) for r in rows.groupBy("range").agg(F.count(F.lit(1)).alias("n")).collect())
+    before = [0, *accumulate(n for _, n in counts)]
+    starts = df.sparkSession.createDataFrame([(r, at) for (r, _), at in zip(counts, before)], "range long, start long")
     return rows.join(starts, "range").select("row", "range", (F.col("start") + F.col("place") + 1).alias("number"))
 
 
@@ -77,7 +78,7 @@ def rank_rows(df: DataFrame, by: Sequence[str], ties: int = 1, prefix: str = "qu
     rows = _numbered(df, by)
     key = F.struct(*[F.col("row").getField(_key(s)[0]).alias(f"k{i}") for i, s in enumerate(by[:ties])])
     # where each run of equal keys begins inside its range, which bounds the window's rows
-    rows = rows.withColumn("peer", key).withColumn("first", F.min("number").over(Window.partitionBy("range", "peer")))
+    rows = rows.withColumn("peer", key).withColumn("first", F.first("number").over(Window.partitionBy("range", "peer").orderBy("number")))
     # a run that goes on from an earlier range is the last of that one: two keys a range
     ends = [f("at", "number").alias(n) for f, n in ((F.min_by, "a"), (F.max_by, "b"))]
     edges = rows.withColumn("at", F.struct("peer", "first")).groupBy("range").agg(*ends)
