@@ -5,7 +5,9 @@ alternative of its pattern gives a literal that all its matches hold, a literal
 one *gram* (a run of 1 to 8 characters), and an equi-join of the grams of a text with
 those of the rules finds the rules that may match it. Candidates are then verified,
 by ``contains`` where the alternative is a mere literal and else by ``rlike``. Work
-grows with the texts and the candidates, not with texts times rules.
+grows with the texts and the candidates, not with texts times rules. Of rules that share
+a pattern, or an alternative that is a mere literal, one always wins: the index holds
+that one alone, so rules that repeat a pattern under other labels add no candidates.
 
 Each distinct text is classified once and written with its key, which cuts lineage.
 Gram joins are plain equi-joins: Spark broadcasts a small index and shuffles a large
@@ -15,8 +17,11 @@ one, splitting a gram that many texts hold.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,11 +47,55 @@ def _literals(patterns: pd.Series) -> pd.Series:  # over the rules, never over t
     return pd.Series([None if f is None else [{"literal": a, "exact": b} for a, b in f] for f in found], dtype=object)
 
 
-def _gram_list(text: Column, sizes: Column) -> Column:
-    """Hashes of all runs of the given lengths in ``text``, each once. One pass of a
-    look-ahead per length: every place is a match, and the text is read in order."""
-    runs = lambda n: F.regexp_extract_all(text, F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1))
-    return F.array_distinct(F.transform(F.flatten(F.transform(sizes, runs)), lambda g: F.xxhash64(g)))
+#: Characters of a text whose grams are hashed at once, and grams of an Arrow batch.
+_CHARACTERS, _BATCH = 1 << 18, 1 << 20
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def gram_hashes(text: str, sizes) -> Iterator[np.ndarray]:
+    """Hashes of all runs of the given lengths (in code points) in ``text``, each once in
+    a piece of the text. Equal runs have equal hashes; others seldom, and are verified."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    for at in range(0, len(codes), _CHARACTERS):
+        for n in sizes:
+            piece = codes[at : at + _CHARACTERS + n - 1]
+            runs = len(piece) - n + 1
+            if runs > 0:
+                h = np.full(runs, n, np.uint64)
+                for i in range(n):
+                    h = h * _FACTOR + piece[i : i + runs]
+                yield np.unique(h).view(np.int64)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _gram_list(texts: pd.Series, sizes: pd.Series) -> pd.Series:  # over the rules' literals
+    found = (None if t is None or pd.isna(n) else [int(h) for g in gram_hashes(t, [int(n)]) for h in g] for t, n in zip(texts, sizes))
+    return pd.Series(list(found), dtype=object)
+
+
+def text_grams(texts: DataFrame) -> DataFrame:
+    """(key, gram) of the texts (key, text, sizes), in batches of bounded size."""
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(keys: list, found: list) -> pa.RecordBatch:
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), grams], ["key", "grams"])
+
+        keys, found, held = [], [], 0
+        for rows in batches:
+            for key, text, sizes in zip(rows["key"], rows["text"], rows["sizes"]):
+                for grams in gram_hashes(text.as_py(), sizes.as_py() or ()):
+                    keys.append(key.as_py())
+                    found.append(grams)
+                    held += len(grams)
+                    if held >= _BATCH:
+                        yield batch(keys, found)
+                        keys, found, held = [], [], 0
+        if found:
+            yield batch(keys, found)
+
+    return texts.select("key", "text", "sizes").mapInArrow(lists, "key string, grams array<long>").select("key", F.explode("grams").alias("gram"))
 
 
 def rule_grams(rules: DataFrame) -> DataFrame:
@@ -58,7 +107,7 @@ def rule_grams(rules: DataFrame) -> DataFrame:
     rows = rows.select("rule", "label", "pattern", "priority", F.col("f.literal").alias("literal"), F.col("f.exact").alias("exact"))
     length = F.char_length("literal")
     size = F.coalesce(*[F.when(length >= n, F.lit(n)) for n in GRAMS])
-    rows = rows.withColumn("size", size).withColumn("grams", _gram_list(F.col("literal"), F.array("size")))
+    rows = rows.withColumn("size", size).withColumn("grams", _gram_list("literal", "size"))
     shared = rows.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("shared"))
     each = rows.select("*", F.explode_outer("grams").alias("gram")).drop("grams").join(shared, "gram", "left")
     one = Window.partitionBy("rule", "literal").orderBy(F.col("shared").asc(), F.col("gram").asc())
@@ -91,9 +140,14 @@ def classify_by_rule_index(
     run = uuid.uuid4().hex
     kept = rules.select(F.col(label).alias("label"), F.col(pattern).alias("pattern"), F.col(priority).cast("double").alias("priority"))
     kept = kept.where(F.col("label").isNotNull() & F.col("pattern").isNotNull()).distinct()
-    kept = kept.withColumn("rule", F.md5(F.to_json(F.struct("label", "pattern", "priority"))))
+    # the smallest struct wins: highest priority first, null ones last. Rules of one pattern
+    # match the same texts, and so do those that have a mere literal in common: one is kept
+    order = F.struct(F.col("priority").isNull().alias("a"), (-F.col("priority")).alias("b"), F.col("label").alias("c"), F.col("pattern").alias("d"))
+    kept = kept.groupBy("pattern").agg(F.min_by(F.struct("label", "priority"), order).alias("r"))
+    kept = kept.select(F.md5("pattern").alias("rule"), "r.label", "pattern", "r.priority")
+    by = ["gram", "size", "literal", "exact", F.when(F.col("exact"), F.lit(None)).otherwise(F.col("pattern")).alias("tried")]
     name = f"rule-index-{run}"
-    index = materialize(rule_grams(kept), name, path=scratch_path(spark, name))
+    index = materialize(rule_grams(kept).groupBy(*by).agg(F.min(order).alias("rule")), name, path=scratch_path(spark, name))
 
     key = F.md5(text)
     texts = df.select(key.alias("key"), text.alias("text")).where(F.col("key").isNotNull()).dropDuplicates(["key"])
@@ -102,16 +156,14 @@ def classify_by_rule_index(
 
     indexed = index.where(F.col("gram").isNotNull())
     sizes = indexed.agg(F.collect_set("size").alias("sizes")).scalar()  # lengths in use, at most five
-    grams = texts.withColumn("sizes", sizes).select("key", F.explode(_gram_list(F.col("text"), F.col("sizes"))).alias("gram"))
-    candidates = grams.join(indexed, "gram").select("key", "label", "pattern", "priority", "literal", "exact")
-    verified = F.contains("text", "literal") & (F.col("exact") | F.expr("rlike(text, pattern)"))
+    grams = text_grams(texts.withColumn("sizes", sizes))
+    candidates = grams.join(indexed, "gram").select("key", "literal", "exact", "tried", "rule")
+    verified = F.contains("text", "literal") & (F.col("exact") | F.expr("rlike(text, tried)"))
     hits = candidates.join(texts, "key").where(verified)
-    # the smallest struct wins: highest priority first, null ones last
-    order = F.struct(F.col("priority").isNull().alias("a"), (-F.col("priority")).alias("b"), F.col("label").alias("c"), F.col("pattern").alias("d"))
-    best = hits.groupBy("key").agg(F.min(order).alias("best"))
+    best = hits.groupBy("key").agg(F.min("rule").alias("best"))
 
     ways = [F.col("priority").desc_nulls_last(), F.col("label").asc(), F.col("pattern").asc()]
-    unindexed = index.where(F.col("gram").isNull()).select("label", "pattern", "priority").distinct()
+    unindexed = index.where(F.col("gram").isNull()).select(F.col("rule.c").alias("label"), F.col("rule.d").alias("pattern"), (-F.col("rule.b")).alias("priority"))
     tried = unindexed.orderBy(*ways).limit(MOST_UNINDEXED + 1).collect()
     if len(tried) > MOST_UNINDEXED:
         raise ValueError(f"more than {MOST_UNINDEXED} rules without a mandatory literal")

@@ -99,3 +99,23 @@ def test_a_literal_gives_its_rarest_gram(spark):
     rows = rule_grams(rules).collect()
     assert len(rows) == 4 and all(r["gram"] is not None for r in rows)
     assert {(r["literal"], r["exact"], r["size"]) for r in rows} == {("hair mask", True, 8), ("hair dye", True, 8), ("hair oil", True, 8), ("a", False, 1)}
+
+
+def test_rules_of_one_pattern_are_one_candidate(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(rule_index, "materialize", lambda df, name, **kw: kept.setdefault(name.rsplit("-", 1)[0], df.cache()))
+    rules = [(f"l{i:03}", "hair mask|sc.lp", i % 7) for i in range(300)] + [(f"m{i:03}", f"hair mask|only{i}", 2) for i in range(50)] + [("n", "[0-9]", i) for i in range(9)]
+    rows = [(0, "a hair mask"), (1, "the scalp"), (2, "only7 and more"), (3, "7"), (4, "none")]
+    check(spark, rows, rules)
+    index = kept["rule-index"].collect()
+    assert sorted(r["literal"] for r in index if r["gram"] is not None) == sorted(["hair mask", "sc", *[f"only{i}" for i in range(50)]])
+    assert len(index) == 53
+
+
+def test_grams_of_long_texts(monkeypatch):
+    text = "".join(random.Random(1).choices("abc😀 ", k=500))
+    whole = {n: {int(h) for g in rule_index.gram_hashes(text, [n]) for h in g} for n in rule_index.GRAMS}
+    monkeypatch.setattr(rule_index, "_CHARACTERS", 7)
+    for n, want in whole.items():
+        assert {int(h) for g in rule_index.gram_hashes(text, [n]) for h in g} == want
+        assert len(want) == len({text[i : i + n] for i in range(len(text) - n + 1)})
