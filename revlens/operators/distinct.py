@@ -4,8 +4,9 @@
 in the month. Here every value gets a dense number once, and a group's values are kept
 as a set of numbers, cut into buckets of 32768: a short list of bit positions where
 few are set, a bitmap of 4 KB else. Sets of days and products, written once, give those
-of months, categories and the total by OR, without the facts; a later load's sets are
-added to them, and values that both hold count once.
+of months, categories and the total, without the facts: bitmaps by OR, lists position by
+position, so that few set positions never cost a bitmap. A later load's sets are added
+to them, and values that both hold count once.
 """
 
 from __future__ import annotations
@@ -69,18 +70,29 @@ def _packed(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
     return short.unionByName(long.withColumn("positions", F.lit(None).cast("array<int>")).select(short.columns))
 
 
-def merged_bits(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``keys``, bucket, bits: the union of all sets of a group (of all rows, without keys).
+def merged_bits(sets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by`` (with the bucket), bits: the union of the bitmaps of a group.
 
     Every task ORs its rows of a group before the shuffle, so a group that most sets
     belong to is one bitmap per task and bucket.
     """
-    by = [*keys, "bucket"]
-    listed = sets.where(F.col("bits").isNull()).select(*by, F.explode("positions").alias("position"))
-    listed = listed.groupBy(*by).agg(F.bitmap_construct_agg(F.col("position").cast("long")).alias("bits"))
-    return sets.where(F.col("bits").isNotNull()).select(*by, "bits").unionByName(listed).groupBy(*by).agg(F.bitmap_or_agg("bits").alias("bits"))
+    return sets.where(F.col("bits").isNotNull()).select(*by, "bits").groupBy(*by).agg(F.bitmap_or_agg("bits").alias("bits"))
 
 
 def distinct_counts(sets: DataFrame, keys: Sequence[str], name: str = "distinct_count") -> DataFrame:
-    """The exact number of distinct values per group, from sets of finer groups."""
-    return merged_bits(sets, keys).groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).cast("long").alias(name))
+    """The exact number of distinct values per group, from sets of finer groups.
+
+    Positions of lists are told apart as rows, and count where no bitmap of their group
+    holds them: memory and shuffle follow from the positions that are set, whatever the
+    number of groups and buckets.
+    """
+    by = [*keys, "bucket"]
+    bits = merged_bits(sets, by)
+    listed = sets.where(F.col("bits").isNull()).select(*by, F.explode("positions").alias("position")).distinct()
+    of = bits.select(*[F.col(c).alias(f"__{c}") for c in by], "bits")
+    octet = F.conv(F.hex(F.expr("substring(bits, position div 8 + 1, 1)")), 16, 10).cast("int")
+    held = F.expr("shiftright(octet, position % 8) & 1") == 1
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    alone = listed.join(of, same, "left").withColumn("octet", octet).where(F.col("bits").isNull() | ~held)
+    each = alone.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).unionByName(bits.select(*by, F.bitmap_count("bits").alias("n")))
+    return each.groupBy(*keys).agg(F.sum("n").cast("long").alias(name))

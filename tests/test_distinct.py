@@ -57,3 +57,23 @@ def test_empty_table(spark):
     df = visits(spark).limit(0)
     sets = D.distinct_sets(df, "reviewer", ["day"], D.dense_ids(df, "reviewer"))
     assert D.distinct_counts(sets, ["day"]).count() == 0
+
+
+def test_lists_never_become_bitmaps(spark):
+    # 4,000 groups of one position each: as bitmaps 16 MB
+    sets = spark.range(4000).select(
+        F.col("id").alias("product"), F.col("id").alias("bucket"), F.array((F.col("id") % 32768).cast("int")).alias("positions"), F.lit(None).cast("binary").alias("bits")
+    )
+    out = D.distinct_counts(sets, ["product"], "n")
+    assert "bitmap_construct_agg" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("n = 1").count() == 4000
+
+
+def test_lists_and_bitmaps_of_one_group(spark):
+    few = [(1, 0, [0, 7, 8, 9, 32767]), (1, 1, [5]), (2, 0, [5, 6]), (None, 0, [1, 2])]
+    sets = spark.createDataFrame(few, "g int, bucket long, positions array<int>").withColumn("bits", F.lit(None).cast("binary"))
+    many = spark.range(2, 600).select(F.lit(1).alias("g"), F.lit(0).cast("long").alias("bucket"), F.col("id").alias("p"))
+    many = many.unionByName(spark.range(600).select(F.lit(None).cast("int").alias("g"), F.lit(0).cast("long").alias("bucket"), (F.col("id") * 3).alias("p")))
+    bits = many.groupBy("g", "bucket").agg(F.bitmap_construct_agg("p").alias("bits")).withColumn("positions", F.lit(None).cast("array<int>"))
+    got = counts(D.distinct_counts(sets.unionByName(bits), ["g"], "n"), ["g"])
+    assert got == {(1,): 598 + 2 + 1, (2,): 2, (None,): 602}
