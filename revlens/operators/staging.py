@@ -89,24 +89,27 @@ def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title", "review_
     partitioned by month: adaptive execution splits the shuffle blocks of a big
     month over several tasks and merges small ones, without a sampling job.
     """
+    # what follows from other columns is not moved with the rows
     best = keep_best(
-        stg,
+        stg.drop("review_word_count_approx", "reviewed_date"),
         keys=["reviewer_id", "product_id", "reviewed_at"],
         order=[F.col("review_text_length").desc_nulls_last(), F.col("helpful_vote_count").desc_nulls_last()],
         tiebreak=list(tiebreak),
     )
-    out = best.select(
+    month = []
+    if cluster_by_month:
+        best = best.withColumn("review_month", F.trunc(F.col("reviewed_at").cast("date"), "month")).hint("rebalance", "review_month")
+        month = ["review_month"]
+    return best.select(
         RF.surrogate_key("reviewer_id", "product_id", "reviewed_at").alias("review_key"),
         "product_id", "variant_id", "reviewer_id", "review_title", "review_text",
-        "review_text_length", "review_word_count_approx", "rating", "helpful_vote_count",
-        "is_verified_purchase", "reviewed_at", "reviewed_date",
+        "review_text_length", RF.word_count_approx(F.col("review_text")).alias("review_word_count_approx"), "rating", "helpful_vote_count",
+        "is_verified_purchase", "reviewed_at", F.col("reviewed_at").cast("date").alias("reviewed_date"),
         RF.sentiment_from_rating("rating").alias("sentiment_bucket"),
         RF.review_length_bucket("review_text_length").alias("review_length_bucket"),
         RF.has_votes("helpful_vote_count").alias("has_helpful_votes"),
+        *month,
     )
-    if cluster_by_month:
-        out = out.withColumn("review_month", F.trunc("reviewed_date", "month")).hint("rebalance", "review_month")
-    return out
 
 
 def dedupe_products(raw: DataFrame, key: str = "parent_asin", count_col: str = "rating_number", tiebreak=("title",)) -> DataFrame:

@@ -149,7 +149,7 @@ class ReviewStore:
         at = lambda name: f"{self.root}/{name}/load={load}"
         known, loads = self._listed()
         staged = clean_reviews(raw_reviews)
-        staged.withColumn("review_month", _month()).write.parquet(at("staged"))
+        staged.withColumn("review_month", _month()).write.option("compression", "zstd").parquet(at("staged"))
         staged = spark.read.parquet(at("staged"))
         changed = [r["review_month"] for r in staged.select("review_month").distinct().collect()]  # calendar months
         if not changed:
@@ -163,7 +163,7 @@ class ReviewStore:
         facts = spark.read.parquet(at("facts")).withColumn("review_month", F.col("review_month").cast("date"))
 
         ids = self.reviewer_ids()
-        new_ids(facts, "reviewer_id", ids).write.parquet(at("reviewer_ids"))
+        new_ids(facts, "reviewer_id", ids).write.option("compression", "zstd").parquet(at("reviewer_ids"))
         new = spark.read.parquet(at("reviewer_ids"))
         ids = new if ids is None else ids.unionByName(new)
         self._write(daily_rollup(facts).withColumn("review_month", _month()), at("daily"))
@@ -180,4 +180,4 @@ class ReviewStore:
 
     @staticmethod
     def _write(df: DataFrame, path: str) -> None:
-        df.write.partitionBy("review_month").parquet(path)
+        df.write.option("compression", "zstd").partitionBy("review_month").parquet(path)

@@ -76,7 +76,7 @@ class Warehouse:
         if self.materialize != "table" or name not in SHARED_MODELS:
             return df
         path = self._path(name)
-        w = df.write.mode("overwrite")
+        w = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
@@ -261,7 +261,7 @@ class Warehouse:
             df = make(self) if make else getattr(self, name)
             if not (self.materialize == "table" and name in SHARED_MODELS):
                 if self.output_root and make is None:
-                    df.write.mode("overwrite").parquet(self._path(name))
+                    df.write.mode("overwrite").option("compression", "zstd").parquet(self._path(name))
                     written = self.spark.read.parquet(self._path(name))
                     with self._lock:
                         self._written[name] = written

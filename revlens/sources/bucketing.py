@@ -74,7 +74,7 @@ class Layout:
         """Store rows that have a part; one file per bucket. The table that is read back."""
         spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
         rows = df.repartition(self.buckets, *self.columns)
-        rows.write.format("parquet").option("path", path).bucketBy(self.buckets, *self.columns).sortBy(*self.columns).saveAsTable(name)
+        rows.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(self.buckets, *self.columns).sortBy(*self.columns).saveAsTable(name)
         return spark.table(name)
 
 

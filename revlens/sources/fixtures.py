@@ -37,12 +37,20 @@ def _reviewed_part(pk: F.Column, ln: F.Column) -> F.Column:
     return F.when(moved, before).otherwise(pk)
 
 
-def raw_reviews(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+#: Line items that a task of ``Inputs.reviews`` turns into reviews.
+ROWS_PER_TASK = 200_000
+
+
+def raw_reviews(lineitem: DataFrame, orders: DataFrame, part: DataFrame, tasks: int | None = None) -> DataFrame:
+    """A review has many times the bytes of its line item, which Spark sizes tasks by:
+    ``tasks`` deals the line items, so that a task's reviews fit its memory."""
     li = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
     ).withColumn("l_partkey", _reviewed_part(F.col("l_partkey"), F.col("l_linenumber")))
     o = orders.select("o_orderkey", "o_custkey")
     p = part.select("p_partkey", "p_name")
+    if tasks is not None:
+        li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     pk, ck, ln = F.col("l_partkey"), F.col("o_custkey"), F.col("l_linenumber")
     qty = F.col("l_quantity").cast("int")
@@ -210,7 +218,10 @@ class Inputs:
         return load_table(self.spark, self.sf_dir, name)
 
     def reviews(self) -> DataFrame:
-        return raw_reviews(self.table("lineitem"), self.table("orders"), self.table("part"))
+        lineitem = self.table("lineitem")
+        tasks = -(-lineitem.count() // ROWS_PER_TASK)  # a count of footers
+        tasks = max(tasks, self.spark.sparkContext.defaultParallelism) if tasks > 1 else None
+        return raw_reviews(lineitem, self.table("orders"), self.table("part"), tasks)
 
     def products(self) -> DataFrame:
         return raw_products(self.table("part"))

@@ -306,6 +306,6 @@ def materialize(df: DataFrame, name: str, how: str = "table", path: str | None =
         return df.checkpoint(eager=True)
     if how == "table":
         target = path or scratch_path(spark, name)
-        df.write.mode("overwrite").parquet(target)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(target)
         return spark.read.parquet(target)
     raise ValueError(f"unknown materialization {how!r}")
