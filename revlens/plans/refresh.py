@@ -30,6 +30,7 @@ from revlens.operators.products import dim_products
 from revlens.operators.rollups import category_rollup, daily_rollup, finish_product_stats, monthly_rollup
 from revlens.operators.scd2 import complete_runs
 from revlens.operators.staging import clean_reviews, fct_reviews
+from revlens.sources.io import read_by_rows
 
 _STARS = [(5, "five"), (4, "four"), (3, "three"), (2, "two"), (1, "one")]
 _SENTIMENTS = ("positive", "neutral", "negative")
@@ -38,6 +39,9 @@ _SUMS = [
     *[f"{s}_review_count" for s in _SENTIMENTS], "verified_purchase_review_count", "total_helpful_votes",
 ]
 
+#: Staged reviews that a task deduplicates.
+ROWS_PER_TASK = 200_000
+
 
 def _month() -> Column:
     return F.trunc("reviewed_date", "month")
@@ -150,7 +154,7 @@ class ReviewStore:
         known, loads = self._listed()
         staged = clean_reviews(raw_reviews)
         staged.withColumn("review_month", _month()).write.option("compression", "zstd").parquet(at("staged"))
-        staged = spark.read.parquet(at("staged"))
+        staged = read_by_rows(spark, at("staged"), ROWS_PER_TASK)
         changed = [r["review_month"] for r in staged.select("review_month").distinct().collect()]  # calendar months
         if not changed:
             return []

@@ -92,6 +92,20 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (here, env.get("PYTHONPATH", "")) if x)
 
 
+def split_session(spark: SparkSession, split_bytes: int) -> SparkSession:
+    """A session of the same application and settings whose scans take ``split_bytes`` a task.
+
+    Spark sizes the tasks of a scan by stored bytes, and rows that compress well come in
+    millions a task, more than its sorts hold. The given session keeps its settings.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    return own
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a materialized intermediate table next to the checkpoints."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

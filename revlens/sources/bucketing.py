@@ -13,7 +13,7 @@ Bucketed tables are tables of the session's catalog over files at a path of thei
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,18 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.operators.skew import NULL_SPLITS, ROWS_PER_SPLIT, hot_keys
+from revlens.sources.io import stored_bytes  # noqa: F401
 
 #: Bytes of a bucket, as stored.
 BUCKET_BYTES = 256 << 20
 PART = "bucket_part"
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of all files under a path, from the file system's own summary."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-
-
 def bucket_count(total_bytes: int, bucket_bytes: int = BUCKET_BYTES, least: int = 1) -> int:
     """The power of two that keeps buckets at about ``bucket_bytes`` or below, so that
     tables of different size have numbers of buckets that divide each other."""
@@ -70,10 +65,12 @@ class Layout:
         parts = F.sequence(F.lit(0), F.coalesce("__splits", F.lit(1)) - 1)
         return found.withColumn(PART, F.explode(parts)).drop("__hot_key", "__splits")
 
-    def write(self, df: DataFrame, path: str) -> DataFrame:
-        """Store rows that have a part; one file per bucket. The table that is read back."""
+    def write(self, df: DataFrame, path: str, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """Store rows that have a part; one file per bucket. The table that is read back.
+        ``derive`` adds columns, row by row, to what has been moved."""
         spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
         rows = df.repartition(self.buckets, *self.columns)
+        rows = derive(rows) if derive else rows
         rows.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(self.buckets, *self.columns).sortBy(*self.columns).saveAsTable(name)
         return spark.table(name)
 
@@ -95,6 +92,7 @@ def open_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> Dat
     return spark.table(name)
 
 
-def co_join(facts: DataFrame, dimension: DataFrame, key: str, how: str = "left") -> DataFrame:
+def co_join(facts: DataFrame, dimension: DataFrame, key: str, how: str = "left", keep_part: bool = False) -> DataFrame:
     """Join two tables of one layout; no row of either moves."""
-    return facts.join(dimension, [key, PART], how).drop(PART)
+    joined = facts.join(dimension, [key, PART], how)
+    return joined if keep_part else joined.drop(PART)

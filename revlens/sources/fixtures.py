@@ -10,11 +10,15 @@ its size grows with the scale factor; the same projections exist as SQL text
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revlens.session import scratch_path
+from revlens.sources.io import read_by_rows
+
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -51,7 +55,10 @@ def raw_reviews(lineitem: DataFrame, orders: DataFrame, part: DataFrame, tasks:
     p = part.select("p_partkey", "p_name")
     if tasks is not None:
         li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    ordered = li.join(o, li.l_orderkey == o.o_orderkey)
+    if tasks is not None:  # the next join would deal them by bytes again
+        ordered, p = ordered.repartition(tasks, "l_partkey"), p.repartition(tasks, "p_partkey")
+    j = ordered.join(p, F.col("l_partkey") == F.col("p_partkey"))
     pk, ck, ln = F.col("l_partkey"), F.col("o_custkey"), F.col("l_linenumber")
     qty = F.col("l_quantity").cast("int")
     rating = F.least(
@@ -223,6 +230,13 @@ class Inputs:
         tasks = max(tasks, self.spark.sparkContext.defaultParallelism) if tasks > 1 else None
         return raw_reviews(lineitem, self.table("orders"), self.table("part"), tasks)
 
+    def landed_reviews(self) -> DataFrame:
+        """The same rows as files, as a warehouse gets them: for queries that read them
+        more than once. Tasks read as many rows as one of ``reviews`` makes."""
+        path = scratch_path(self.spark, f"landed-reviews-{uuid.uuid4().hex}")
+        self.reviews().write.option("compression", "zstd").parquet(path)
+        return read_by_rows(self.spark, path, ROWS_PER_TASK)
+
     def products(self) -> DataFrame:
         return raw_products(self.table("part"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.session import scratch_path
+from revlens.session import scratch_path, split_session
 
 
 # Raw record layouts of the public review dataset (JSON lines or parquet).
@@ -142,6 +142,24 @@ def reject_summary(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("file", "reason").agg(F.count(F.lit(1)).alias("lines"), F.min("line").alias("example"))
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path, from the file system's own summary."""
+    fs, p = _folder(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+#: Least bytes of a scan's task in ``read_by_rows``.
+LEAST_SPLIT = 1 << 20
+
+
+def read_by_rows(spark: SparkSession, path: str, rows_per_task: int) -> DataFrame:
+    """A stored table whose scan takes about ``rows_per_task`` rows a task, however well
+    they compress (a row group is never cut, so write it from tasks of that size)."""
+    rows = spark.read.parquet(path).count()  # a count of footers
+    split = max(LEAST_SPLIT, stored_bytes(spark, path) * rows_per_task // max(rows, 1))
+    return split_session(spark, split).read.parquet(path)
+
+
 _NESTED = (T.ArrayType, T.StructType, T.MapType)
 
 
