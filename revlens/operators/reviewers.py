@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens import functions as RF
@@ -70,22 +70,34 @@ def with_reviewer_context(
     fct: DataFrame,
     history: DataFrame,
     rows_per_split: int = ROWS_PER_SPLIT,
+    part: str | None = None,
 ) -> DataFrame:
     """Each review with its reviewer's harshness context and signal flags.
 
     A left join on reviewer_id. The history already knows every reviewer's
     review count, so reviewers above ``rows_per_split`` reviews are split
     across tasks (their reviews spread by review key, their history row
-    replicated per split) — see ``revlens.operators.skew``.
+    replicated per split) — see ``revlens.operators.skew``. With ``part``, they
+    are spread by product and keep their split under that name: reviews of a product
+    by a reviewer are then in one task, where ``first_of_pair`` finds them.
     """
     ctx = context_columns(history)
     counts = history.select("reviewer_id", "lifetime_review_count")
     spread = ["review_key"] if "review_key" in fct.columns else ()
+    spread = ["product_id"] if part else spread
     j = split_hot_join(
         fct, ctx, "reviewer_id", "left", spread=spread, counts=counts, count_col="lifetime_review_count",
-        rows_per_split=rows_per_split,
+        rows_per_split=rows_per_split, part=part,
     )
-    return flag_signals(j, fct.columns)
+    return flag_signals(j, [*fct.columns, part] if part else fct.columns)
+
+
+def first_of_pair(context: DataFrame, part: str) -> Column:
+    """True for one review of each (product, reviewer), so that their sum counts the
+    reviewers of a product. Joined by (reviewer, part) and spread by product, the rows
+    need not move for it."""
+    pair = Window.partitionBy("reviewer_id", part, "product_id").orderBy("rating")
+    return context["reviewer_id"].isNotNull() & (F.row_number().over(pair) == 1)
 
 
 def context_columns(history: DataFrame, *more: str) -> DataFrame:

@@ -7,7 +7,7 @@ reaches the exchange as one partial row per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens import functions as RF
@@ -34,12 +34,13 @@ STAT_AGG_COLUMNS = [
 ]
 
 
-def product_stat_aggregates(approx_distinct: bool = False) -> list:
-    """A1's aggregate columns over review rows (finished by ``finish_product_stats``)."""
+def product_stat_aggregates(approx_distinct: bool = False, first: Column | None = None) -> list:
+    """A1's aggregate columns over review rows (finished by ``finish_product_stats``).
+    ``first`` marks one row of each reviewer of a product, where that is known."""
     r = F.col("rating")
     return [
         F.count(F.lit(1)).alias("review_count"),
-        _distinct("reviewer_id", approx_distinct).alias("distinct_reviewer_count"),
+        (_distinct("reviewer_id", approx_distinct) if first is None else RF.count_if(first)).alias("distinct_reviewer_count"),
         RF.round_half_away(F.avg(r), 2).alias("avg_rating"),
         F.min(r).alias("min_rating"),
         F.max(r).alias("max_rating"),

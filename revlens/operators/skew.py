@@ -48,6 +48,7 @@ def split_hot_join(
     counts: DataFrame | None = None,
     count_col: str | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
+    part: str | None = None,
 ) -> DataFrame:
     """Join ``fact`` to a unique-keyed ``dim`` on ``key`` with hot keys split.
 
@@ -55,7 +56,8 @@ def split_hot_join(
     dimension's own review count); otherwise they are counted from ``fact``
     (a partial aggregation). ``spread`` columns (default: all fact columns)
     choose a row's split deterministically, so a recomputed task lands each
-    row in the same split.
+    row in the same split. ``part`` names a column that keeps a row's split: rows
+    that agree in it and in ``key`` are in one task.
     """
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError(how)
@@ -71,4 +73,5 @@ def split_hot_join(
     d = d.withColumn("__split", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__splits"), F.lit(1)) - 1))).drop(
         "__hot_key", "__splits"
     )
-    return f.join(d, [key, "__split"], how).drop("__split")
+    joined = f.join(d, [key, "__split"], how)
+    return joined.withColumnRenamed("__split", part) if part else joined.drop("__split")

@@ -100,7 +100,18 @@ def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title", "review_
     if cluster_by_month:
         best = best.withColumn("review_month", F.trunc(F.col("reviewed_at").cast("date"), "month")).hint("rebalance", "review_month")
         month = ["review_month"]
-    return best.select(
+    return derived_facts(best, *month)
+
+
+#: Columns of the facts that follow from the others.
+DERIVED_COLUMNS = [
+    "review_key", "review_word_count_approx", "reviewed_date", "sentiment_bucket", "review_length_bucket", "has_helpful_votes",
+]
+
+
+def derived_facts(reviews: DataFrame, *more: str) -> DataFrame:
+    """Deduplicated reviews with every column of the facts, and ``more`` columns as they are."""
+    return reviews.select(
         RF.surrogate_key("reviewer_id", "product_id", "reviewed_at").alias("review_key"),
         "product_id", "variant_id", "reviewer_id", "review_title", "review_text",
         "review_text_length", RF.word_count_approx(F.col("review_text")).alias("review_word_count_approx"), "rating", "helpful_vote_count",
@@ -108,7 +119,7 @@ def fct_reviews(stg: DataFrame, tiebreak=("variant_id", "review_title", "review_
         RF.sentiment_from_rating("rating").alias("sentiment_bucket"),
         RF.review_length_bucket("review_text_length").alias("review_length_bucket"),
         RF.has_votes("helpful_vote_count").alias("has_helpful_votes"),
-        *month,
+        *more,
     )
 
 

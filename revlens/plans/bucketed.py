@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from revlens.operators.reviewers import context_columns, flag_signals
-from revlens.operators.staging import fct_reviews, stg_products
+from revlens.operators.staging import DERIVED_COLUMNS, derived_facts, fct_reviews, stg_products
 from revlens.plans.warehouse import Warehouse
 from revlens.session import scratch_path
 from revlens.sources.bucketing import BUCKET_BYTES, PART, Layout, bucket_count, co_join, layout, stored_bytes
@@ -41,7 +41,10 @@ class BucketedWarehouse(Warehouse):
 
     @cached_property
     def stored_reviews(self) -> DataFrame:
-        return self.by_reviewer.write(self.by_reviewer.facts(self._reviews, ["review_key"]), self._stored("reviews"))
+        # what follows from other columns is not moved with the rows; spread by product,
+        # as the product marts count a product's reviewers in place
+        moved = self.by_reviewer.facts(self._reviews, ["product_id"]).drop(*DERIVED_COLUMNS)
+        return self.by_reviewer.write(moved, self._stored("reviews"), lambda rows: derived_facts(rows, PART))
 
     @cached_property
     def stored_history(self) -> DataFrame:
@@ -51,10 +54,14 @@ class BucketedWarehouse(Warehouse):
     def fct_reviews(self) -> DataFrame:
         return self.stored_reviews.drop(PART)
 
+    @cached_property
+    def _parted_context(self) -> DataFrame:
+        joined = co_join(self.stored_reviews, context_columns(self.stored_history, PART), "reviewer_id", keep_part=True)
+        return flag_signals(joined, self.stored_reviews.columns)
+
     @cached_property
     def reviews_with_context(self) -> DataFrame:
-        joined = co_join(self.stored_reviews, context_columns(self.stored_history, PART), "reviewer_id")
-        return flag_signals(joined, self.fct_reviews.columns)
+        return self._parted_context.drop(PART)
 
     # by product ----------------------------------------------------------
     @cached_property

@@ -42,3 +42,34 @@ def test_table_queries_build_the_reviews_once(spark):
         assert "o_custkey" not in plan(query(spark, SF_SMALL))
     assert "o_custkey" not in plan(Q.warehouse(spark, SF_SMALL, materialize="table").stg_reviews)
 
+
+def test_reviewers_of_a_product_are_counted_in_place(spark, tmpdir_path):
+    from revlens.operators.reviewers import first_of_pair, with_reviewer_context
+
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        lazy = Q.warehouse(spark, SF_SMALL)
+        context = with_reviewer_context(lazy.fct_reviews, lazy.reviewer_history, rows_per_split=3, part="part")
+        first = context.withColumn("first", first_of_pair(context, "part"))
+        above = plan(first)
+        above = above[: above.index("SortMergeJoin")]
+        assert "Window" in above and "Exchange" not in above
+        got = first.groupBy("product_id").agg(F.count_if("first").alias("n"))
+        want = lazy.fct_reviews.groupBy("product_id").agg(F.countDistinct("reviewer_id").alias("n"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set(threshold, old)
+
+
+def test_bucketed_reviews_move_without_derived_columns(spark, monkeypatch):
+    from revlens.sources.bucketing import Layout
+
+    moved, write = [], Layout.write
+    monkeypatch.setattr(Layout, "write", lambda self, df, *a: moved.append(df.columns) or write(self, df, *a))
+    i = fixtures.Inputs(spark, SF_SMALL)
+    wh = Q.BucketedWarehouse(i.reviews(), i.products(), i.mapping(), i.rules(), bucket_bytes=1 << 20, rows_per_split=5000)
+    stored = wh.stored_reviews
+    assert "review_key" not in moved[0] and "sentiment_bucket" not in moved[0]
+    assert {"review_key", "sentiment_bucket", "bucket_part"} <= set(stored.columns)
