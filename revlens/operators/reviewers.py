@@ -81,7 +81,9 @@ def with_reviewer_context(
     are spread by product and keep their split under that name: reviews of a product
     by a reviewer are then in one task, where ``first_of_pair`` finds them.
     """
-    ctx = context_columns(history)
+    ctx, columns = context_columns(history), fct.columns
+    if part and "sentiment_bucket" in columns:  # follows from the rating, so it is not moved
+        fct = fct.drop("sentiment_bucket")
     counts = history.select("reviewer_id", "lifetime_review_count")
     spread = ["review_key"] if "review_key" in fct.columns else ()
     spread = ["product_id"] if part else spread
@@ -89,7 +91,9 @@ def with_reviewer_context(
         fct, ctx, "reviewer_id", "left", spread=spread, counts=counts, count_col="lifetime_review_count",
         rows_per_split=rows_per_split, part=part,
     )
-    return flag_signals(j, [*fct.columns, part] if part else fct.columns)
+    if fct.columns != columns:
+        j = j.withColumn("sentiment_bucket", RF.sentiment_from_rating("rating"))
+    return flag_signals(j, [*columns, part] if part else columns)
 
 
 def first_of_pair(context: DataFrame, part: str) -> Column:

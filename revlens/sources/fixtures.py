@@ -48,27 +48,33 @@ ROWS_PER_TASK = 200_000
 def raw_reviews(lineitem: DataFrame, orders: DataFrame, part: DataFrame, tasks: int | None = None) -> DataFrame:
     """A review has many times the bytes of its line item, which Spark sizes tasks by:
     ``tasks`` deals the line items, so that a task's reviews fit its memory."""
+    # narrow: two of the three exchanges below move whole line items
     li = lineitem.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
-    ).withColumn("l_partkey", _reviewed_part(F.col("l_partkey"), F.col("l_linenumber")))
+        "l_orderkey", _reviewed_part(F.col("l_partkey"), F.col("l_linenumber")).alias("l_partkey"),
+        (F.col("l_suppkey") % 3).alias("l_suppkey"), "l_linenumber", F.col("l_quantity").cast("int").alias("l_quantity"),
+        (F.col("l_returnflag") == "R").alias("returned"), "l_shipdate",
+    )
     o = orders.select("o_orderkey", "o_custkey")
     p = part.select("p_partkey", "p_name")
     if tasks is not None:
         li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
-    ordered = li.join(o, li.l_orderkey == o.o_orderkey)
+    ck, ln = F.col("o_custkey"), F.col("l_linenumber")
+    ordered = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "returned", "l_shipdate",
+        F.when(ck % 10 == 0, F.col("l_orderkey") + 1000000).otherwise(ck).alias("user"),
+        (ck % 4 - 2 + (ln % 3 - 1)).cast("int").alias("mood"),
+    )
     if tasks is not None:  # the next join would deal them by bytes again
         ordered, p = ordered.repartition(tasks, "l_partkey"), p.repartition(tasks, "p_partkey")
     j = ordered.join(p, F.col("l_partkey") == F.col("p_partkey"))
-    pk, ck, ln = F.col("l_partkey"), F.col("o_custkey"), F.col("l_linenumber")
-    qty = F.col("l_quantity").cast("int")
+    pk, qty = F.col("l_partkey"), F.col("l_quantity")
     rating = F.least(
         F.lit(5),
         F.greatest(
             F.lit(1),
             F.lit(4)
-            + (ck % 4 - 2)
-            + F.when(pk % 5 == 0, F.lit(-2)).when(pk % 5 == 1, F.lit(-1)).otherwise(F.lit(1))
-            + (ln % 3 - 1),
+            + F.col("mood")
+            + F.when(pk % 5 == 0, F.lit(-2)).when(pk % 5 == 1, F.lit(-1)).otherwise(F.lit(1)),
         ),
     ).cast("double")
     # one join; a seventh line item also gives a duplicate (kind 1), a sixth one a review without text (kind 2)
@@ -76,11 +82,8 @@ def raw_reviews(lineitem: DataFrame, orders: DataFrame, part: DataFrame, tasks:
     kind = F.col("kind")
     return j.withColumn("kind", F.explode(kinds)).select(
         _pid(pk).alias("parent_asin"),
-        F.concat(F.lit("P"), pk.cast("string"), F.lit("-"), (F.col("l_suppkey") % 3).cast("string")).alias("asin"),
-        F.concat(
-            F.lit("U"),
-            F.when(ck % 10 == 0, F.col("l_orderkey") + 1000000).otherwise(ck).cast("string"),
-        ).alias("user_id"),
+        F.concat(F.lit("P"), pk.cast("string"), F.lit("-"), F.col("l_suppkey").cast("string")).alias("asin"),
+        F.concat(F.lit("U"), F.col("user").cast("string")).alias("user_id"),
         rating.alias("rating"),
         F.col("p_name").alias("title"),
         F.when(kind == 0, F.repeat(F.concat(F.col("p_name"), F.lit(" ")), qty))
@@ -89,7 +92,7 @@ def raw_reviews(lineitem: DataFrame, orders: DataFrame, part: DataFrame, tasks:
         .alias("text"),
         F.col("l_shipdate").alias("timestamp"),
         F.when(kind == 0, qty % 4).otherwise(F.lit(0)).alias("helpful_vote"),
-        (~((F.col("l_returnflag") == "R") & (pk % 3 != 1))).alias("verified_purchase"),
+        (~(F.col("returned") & (pk % 3 != 1))).alias("verified_purchase"),
     )
 
 

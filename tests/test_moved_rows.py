@@ -56,6 +56,10 @@ def test_reviewers_of_a_product_are_counted_in_place(spark, tmpdir_path):
         above = plan(first)
         above = above[: above.index("SortMergeJoin")]
         assert "Window" in above and "Exchange" not in above
+        text = plan(context)
+        assert "sentiment_bucket" not in text[text.index("SortMergeJoin"):]  # derived after the move
+        plain = with_reviewer_context(lazy.fct_reviews, lazy.reviewer_history)
+        assert [c for c in context.columns if c != "part"] == plain.columns
         got = first.groupBy("product_id").agg(F.count_if("first").alias("n"))
         want = lazy.fct_reviews.groupBy("product_id").agg(F.countDistinct("reviewer_id").alias("n"))
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
