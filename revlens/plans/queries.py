@@ -48,9 +48,10 @@ from revlens.operators.staging import stg_products as build_stg_products
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def warehouse(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str, land: bool = True, **kw) -> Warehouse:
     i = Inputs(spark, sf_dir)
-    reviews = i.landed_reviews() if kw.get("materialize") == "table" else i.reviews()  # several models read them
+    # several models read them, unless the caller knows of one only
+    reviews = i.landed_reviews() if land and kw.get("materialize") == "table" else i.reviews()
     return Warehouse(reviews, i.products(), i.mapping(), i.rules(), **kw)
 
 
@@ -421,7 +422,7 @@ def q_ingest_reviews(spark, sf_dir):
 def q_clustered_reviews(spark, sf_dir):
     # stored by interleaved ranks of product and date; both filters skip row groups
     path = _scratch(spark, "clustered-reviews")
-    fct = warehouse(spark, sf_dir, materialize="table").fct_reviews.drop("review_month")
+    fct = warehouse(spark, sf_dir, land=False, materialize="table").fct_reviews.drop("review_month")
     write_clustered(fct, path, ["product_id", "reviewed_date"], row_group_bytes=1 << 20)
     stored = spark.read.parquet(path)
     return stored.where(F.col("product_id").between("P1", "P2") & F.col("reviewed_date").between("1998-01-01", "1998-06-30"))
