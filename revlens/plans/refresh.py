@@ -7,6 +7,11 @@ of the products (counts, sums, squares, bounds per product and month) and the se
 their reviewers are written anew, in folders of the load's own. Figures over all time
 come from the states, so a load costs what its months hold, not what is stored.
 
+Whole reviews move once: to the task of their month, or of a part of it by product and
+reviewer (``MonthSlots``), where they are deduplicated, marked and written. Facts are
+stored without the columns that follow from others. States need the marks and no text,
+and the monthly rollup and the products of a day follow from states.
+
 A load ends with its list of months: which load holds each month's current files. Only
 listed files are read, so a load that fails leaves the earlier state as it was, a
 reader sees whole loads only, and the files of other months stay as they are.
@@ -19,6 +24,8 @@ reader sees whole loads only, and the files of other months stay as they are.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +36,7 @@ from revlens.operators.distinct import distinct_counts, distinct_sets, new_ids
 from revlens.operators.products import dim_products
 from revlens.operators.rollups import category_rollup, daily_rollup, finish_product_stats, monthly_rollup
 from revlens.operators.scd2 import complete_runs
-from revlens.operators.staging import clean_reviews, fct_reviews
-from revlens.sources.io import read_by_rows
+from revlens.operators.staging import DERIVED_COLUMNS, REVIEW_KEY, best_reviews, clean_reviews, derived_facts, fct_reviews
 
 _STARS = [(5, "five"), (4, "four"), (3, "three"), (2, "two"), (1, "one")]
 _SENTIMENTS = ("positive", "neutral", "negative")
@@ -39,18 +45,83 @@ _SUMS = [
     *[f"{s}_review_count" for s in _SENTIMENTS], "verified_purchase_review_count", "total_helpful_votes",
 ]
 
-#: Staged reviews that a task deduplicates.
+#: Reviews that a task deduplicates.
 ROWS_PER_TASK = 200_000
+#: Parts of a month, by product and reviewer, that are dealt to tasks.
+BUCKETS = 64
+
+
+def _month(of: str = "reviewed_date") -> Column:
+    return F.trunc(of, "month")
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("product_id", "reviewer_id"), F.lit(BUCKETS)).cast("int")
+
+
+def count_buckets(reviews: DataFrame) -> Counter:
+    """(month, bucket) -> reviews: at most ``BUCKETS`` entries per calendar month."""
+    n = reviews.groupBy(_month().alias("month"), _bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return Counter({(r["month"], r["bucket"]): r["n"] for r in n.collect()})
 
 
-def _month() -> Column:
-    return F.trunc("reviewed_date", "month")
+@dataclass
+class MonthSlots:
+    """Which task takes which reviews: buckets of a month follow each other until a task
+    is full. A crowded bucket (more than a task's rows) has ``splits`` tasks of its own."""
 
+    rows: list[tuple]  # month, bucket, first slot, splits
+    slots: int
 
-def product_states(fct: DataFrame) -> DataFrame:
-    """Partial figures per product and month that add up to ``product_review_stats``."""
+    @classmethod
+    def of(cls, counts: Counter, rows_per_task: int) -> MonthSlots:
+        rows, slots, filled = [], 0, rows_per_task
+        for (month, bucket), n in sorted(counts.items(), key=lambda x: (str(x[0][0]), x[0][1])):
+            splits = -(-n // rows_per_task)
+            if splits > 1:
+                rows.append((month, bucket, slots, splits))
+                slots, filled = slots + splits, rows_per_task
+                continue
+            if filled + n > rows_per_task:
+                slots, filled = slots + 1, 0
+            filled += n
+            rows.append((month, bucket, slots - 1, 1))
+        return cls(rows, slots)
+
+    @property
+    def crowded(self) -> bool:
+        return any(r[-1] > 1 for r in self.rows)
+
+    def dealt(self, reviews: DataFrame) -> DataFrame:
+        """Reviews with their ``slot``, and ``whole``: all reviews of their month, product
+        and reviewer are in it. Those of crowded buckets are deduplicated before, which
+        cuts copies in the tasks that read them, and dealt by the whole key."""
+        of = reviews.sparkSession.createDataFrame(self.rows, "__month date, __bucket int, __slot int, __splits int")
+        same = _month().eqNullSafe(F.col("__month")) & (_bucket() == F.col("__bucket"))
+        found = reviews.join(F.broadcast(of), same).drop("__month", "__bucket")
+        calm = found.where(F.col("__splits") == 1).withColumns({"slot": F.col("__slot"), "whole": F.lit(True)})
+        if not self.crowded:
+            return calm.drop("__slot", "__splits")
+        split = F.pmod(F.xxhash64(F.lit("split"), *REVIEW_KEY), F.col("__splits")).cast("int")
+        crowd = best_reviews(found.where(F.col("__splits") > 1))
+        crowd = crowd.withColumns({"slot": F.col("__slot") + split, "whole": F.lit(False)})
+        return calm.unionByName(crowd).drop("__slot", "__splits")
+
+
+def product_states(fct: DataFrame, unmarked: bool = True) -> DataFrame:
+    """Partial figures per product and month that add up to ``product_review_stats``, the
+    month's distinct reviewers, and its days with reviews as bits. ``first_of_month`` marks
+    one review of each reviewer, ``unmarked`` says that it may be null: such reviewers
+    are told apart by their ids."""
     r = F.col("rating").cast("long")
-    return fct.groupBy("product_id", "review_month").agg(
+    fct = fct.withColumn("unmarked_id", F.when(F.col("first_of_month").isNull(), F.col("reviewer_id")))
+    # narrow rows in the order of products take fewer bytes than their partial sums
+    rows = fct.select(
+        "product_id", "review_month", "rating", "is_verified_purchase", "helpful_vote_count", "reviewed_date",
+        "first_of_month", *(["unmarked_id"] if unmarked else []),
+    ).repartition("product_id", "review_month").withColumn("sentiment_bucket", RF.sentiment_from_rating("rating"))
+    reviewers = RF.count_if(F.col("first_of_month"))
+    return rows.groupBy("product_id", "review_month").agg(
         F.count(F.lit(1)).alias("review_count"), F.count(r).alias("ratings"),
         F.sum(r).alias("rating_sum"), F.sum(r * r).alias("rating_squares"),
         F.min("rating").alias("min_rating"), F.max("rating").alias("max_rating"),
@@ -59,7 +130,19 @@ def product_states(fct: DataFrame) -> DataFrame:
         RF.count_if(F.col("is_verified_purchase")).alias("verified_purchase_review_count"),
         F.sum("helpful_vote_count").cast("long").alias("total_helpful_votes"),
         F.min("reviewed_date").alias("first_reviewed_date"), F.max("reviewed_date").alias("last_reviewed_date"),
+        (reviewers + F.countDistinct("unmarked_id") if unmarked else reviewers).alias("distinct_reviewer_count"),
+        F.bit_or(F.expr("shiftleft(1, day(reviewed_date) - 1)")).alias("days"),
+    )
+
+
+def products_of_days(states: DataFrame) -> DataFrame:
+    """(reviewed_date, products_reviewed) from the days of each product's months."""
+    days = F.expr(
+        "if(review_month is null, array(cast(null as date)),"
+        " transform(filter(sequence(0, 30), d -> (shiftright(days, d) & 1) = 1), d -> date_add(review_month, d)))"
     )
+    each = states.where(F.col("product_id").isNotNull()).select(F.explode(days).alias("reviewed_date"))
+    return each.groupBy("reviewed_date").agg(F.count(F.lit(1)).alias("products_reviewed"))
 
 
 def stats_from_states(states: DataFrame, reviewers: DataFrame) -> DataFrame:
@@ -115,7 +198,8 @@ class ReviewStore:
             of = [m for m, at in current.items() if at == load]
             some = F.col("review_month").isin([m for m in of if m is not None])
             keep.append((F.col("load") == load) & (some | F.col("review_month").isNull() if None in of else some))
-        return rows.where(reduce(lambda a, b: a | b, keep)).drop("load")
+        rows = rows.where(reduce(lambda a, b: a | b, keep)).drop("load")
+        return derived_facts(rows, "review_month") if name == "facts" else rows
 
     @property
     def facts(self) -> DataFrame:
@@ -148,32 +232,38 @@ class ReviewStore:
     # writing --------------------------------------------------------------
     def load(self, raw_reviews: DataFrame) -> list:
         """Take in a load of raw reviews; the months it changed. A load without usable
-        reviews changes nothing."""
+        reviews changes nothing. The raw reviews are read twice, so land them first if
+        they are costly to make; reads that differ in their months are an error."""
         spark, load = self.spark, uuid.uuid4().hex
         at = lambda name: f"{self.root}/{name}/load={load}"
         known, loads = self._listed()
-        staged = clean_reviews(raw_reviews)
-        staged.withColumn("review_month", _month()).write.option("compression", "zstd").parquet(at("staged"))
-        staged = read_by_rows(spark, at("staged"), ROWS_PER_TASK)
-        changed = [r["review_month"] for r in staged.select("review_month").distinct().collect()]  # calendar months
+        rows = clean_reviews(raw_reviews)
+        counts = count_buckets(rows)
+        changed = sorted({m for m, _ in counts}, key=str)  # calendar months
         if not changed:
             return []
         again = [m for m in changed if m in known]
-        columns = [c for c in staged.columns if c != "review_month"]
-        rows = staged.select(*columns)
         if again:
-            rows = rows.unionByName(self.table("facts", again).select(*columns))
-        self._write(fct_reviews(rows, cluster_by_month=True), at("facts"))
-        facts = spark.read.parquet(at("facts")).withColumn("review_month", F.col("review_month").cast("date"))
+            stored = self.table("facts", again).select(*rows.columns)
+            counts += count_buckets(stored)
+            rows = rows.unionByName(stored)
+        tasks = MonthSlots.of(counts, ROWS_PER_TASK)
+        self._write(fct_reviews(tasks.dealt(rows), slots=tasks.slots).drop(*DERIVED_COLUMNS), at("facts"))
+        facts = self._read(at("facts"))
+        if {r["review_month"] for r in facts.select("review_month").distinct().collect()} != set(changed):
+            raise RuntimeError("the raw reviews of a load changed while they were read")
+        facts = derived_facts(facts, "review_month", "first_of_month")
 
         ids = self.reviewer_ids()
         new_ids(facts, "reviewer_id", ids).write.option("compression", "zstd").parquet(at("reviewer_ids"))
         new = spark.read.parquet(at("reviewer_ids"))
         ids = new if ids is None else ids.unionByName(new)
-        self._write(daily_rollup(facts).withColumn("review_month", _month()), at("daily"))
-        self._write(monthly_rollup(facts).withColumn("review_month", F.col("month_start_date")), at("monthly"))
-        self._write(product_states(facts), at("states"))
-        self._write(distinct_sets(facts, "reviewer_id", ["product_id", "review_month"], ids), at("reviewers"))
+        self._write(product_states(facts, tasks.crowded), at("states"))
+        states = self._read(at("states"))
+        self._write(daily_rollup(facts, False, products_of_days(states)).withColumn("review_month", _month()), at("daily"))
+        self._write(monthly_rollup(states, False, True).withColumn("review_month", F.col("month_start_date")), at("monthly"))
+        pairs = facts.where(F.coalesce("first_of_month", F.lit(True)))
+        self._write(distinct_sets(pairs, "reviewer_id", ["product_id", "review_month"], ids, tasks.crowded), at("reviewers"))
 
         known |= dict.fromkeys(changed, load)
         _, run = complete_runs(spark, f"{self.root}/lists")
@@ -182,6 +272,9 @@ class ReviewStore:
         listed.coalesce(1).write.parquet(f"{self.root}/lists/run={run}")  # from here on the load counts
         return changed
 
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.parquet(path).withColumn("review_month", F.col("review_month").cast("date"))
+
     @staticmethod
     def _write(df: DataFrame, path: str) -> None:
         df.write.option("compression", "zstd").partitionBy("review_month").parquet(path)
