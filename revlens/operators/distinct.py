@@ -20,11 +20,14 @@ from pyspark.sql import functions as F
 from revlens.operators.ranking import number_rows
 from revlens.operators.skew import split_hot_join
 from revlens.session import scratch_path
-from revlens.sources.io import materialize
+from revlens.sources.io import materialize, read_by_rows
 
 #: Positions that a list holds; a bucket with more becomes a bitmap.
 SPARSE = 512
 
+#: Sets that a task reads back; they compress too well to be dealt by bytes.
+SETS_PER_TASK = 1_000_000
+
 
 def new_ids(values: DataFrame, column: str, known: DataFrame | None = None) -> DataFrame:
     """(value, id): the distinct non-null values of ``column`` that ``known`` lacks,
@@ -47,24 +50,27 @@ def dense_ids(values: DataFrame, column: str, known: DataFrame | None = None) ->
     return new if known is None else known.unionByName(new)
 
 
-def distinct_sets(df: DataFrame, column: str, keys: Sequence[str], ids: DataFrame, repeated: bool = True) -> DataFrame:
+def distinct_sets(df: DataFrame, column: str, keys: Sequence[str], ids: DataFrame, repeated: bool = True, counts: DataFrame | None = None) -> DataFrame:
     """``keys``, bucket, positions, bits: the set of ids of ``column`` per group.
 
     One of ``positions`` (sorted, at most ``SPARSE``) and ``bits`` is null. Null keys
     are a group like any other; null values are in no set, and a group that has only
     such values has no row. A value that most rows hold is spread over the join.
-    ``repeated=False`` says that no group has a value twice. Sets are written once, as
+    ``repeated=False`` says that no group has a value twice, ``counts`` gives (value, n),
+    at least its groups, where they are counted already. Sets are written once, as
     lists; short ones and those that become bitmaps are both read from there.
     """
     pairs = df.select(*keys, F.col(column).alias("value")).where(F.col("value").isNotNull())
     pairs = pairs.distinct() if repeated else pairs
-    rows = split_hot_join(pairs, ids, "value", "inner")
+    rows = split_hot_join(pairs, ids, "value", "inner", counts=counts, count_col="n" if counts is not None else None)
     rows = rows.select(*keys, F.bitmap_bucket_number("id").alias("bucket"), F.bitmap_bit_position("id").cast("int").alias("position"))
     # at most 32768 positions in a bucket of a group; each moves as a number, not as a set of one
     rows = rows.repartition(*keys, "bucket")
     sets = rows.groupBy(*keys, "bucket").agg(F.sort_array(F.collect_set("position")).alias("positions"))
     name = f"sets-{uuid.uuid4().hex}"
-    return _packed(materialize(sets, name, path=scratch_path(df.sparkSession, name)), keys)
+    path = scratch_path(df.sparkSession, name)
+    materialize(sets, name, path=path)
+    return _packed(read_by_rows(df.sparkSession, path, SETS_PER_TASK), keys)
 
 
 def _packed(sets: DataFrame, keys: Sequence[str]) -> DataFrame:

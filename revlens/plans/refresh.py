@@ -37,6 +37,8 @@ from revlens.operators.products import dim_products
 from revlens.operators.rollups import category_rollup, daily_rollup, finish_product_stats, monthly_rollup
 from revlens.operators.scd2 import complete_runs
 from revlens.operators.staging import DERIVED_COLUMNS, REVIEW_KEY, best_reviews, clean_reviews, derived_facts, fct_reviews
+from revlens.session import scratch_path
+from revlens.sources.io import materialize, read_by_rows
 
 _STARS = [(5, "five"), (4, "four"), (3, "three"), (2, "two"), (1, "one")]
 _SENTIMENTS = ("positive", "neutral", "negative")
@@ -47,16 +49,18 @@ _SUMS = [
 
 #: Reviews that a task deduplicates.
 ROWS_PER_TASK = 200_000
+#: Rows without texts that a task reads, sums up or sorts by month.
+NARROW_ROWS_PER_TASK = 1_000_000
 #: Parts of a month, by product and reviewer, that are dealt to tasks.
 BUCKETS = 64
 
 
-def _month(of: str = "reviewed_date") -> Column:
-    return F.trunc(of, "month")
+def _month() -> Column:
+    return F.trunc("reviewed_date", "month")
 
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("product_id", "reviewer_id"), F.lit(BUCKETS)).cast("int")
+def _bucket(*of: str) -> Column:
+    return F.pmod(F.xxhash64(*(of or ("product_id", "reviewer_id"))), F.lit(BUCKETS)).cast("int")
 
 
 def count_buckets(reviews: DataFrame) -> Counter:
@@ -92,13 +96,29 @@ class MonthSlots:
     def crowded(self) -> bool:
         return any(r[-1] > 1 for r in self.rows)
 
+    @classmethod
+    def of_products(cls, counts: Counter, rows_per_task: int) -> MonthSlots:
+        """The same for buckets of products alone, each an even share of its month."""
+        months = Counter()
+        for (month, _), n in counts.items():
+            months[month] += n
+        return cls.of(Counter({(m, b): -(-n // BUCKETS) for m, n in months.items() for b in range(BUCKETS)}), rows_per_task)
+
+    def _found(self, rows: DataFrame, month: Column, bucket: Column) -> DataFrame:
+        of = rows.sparkSession.createDataFrame(self.rows, "__month date, __bucket int, __slot int, __splits int")
+        return rows.join(F.broadcast(of), month.eqNullSafe(F.col("__month")) & (bucket == F.col("__bucket"))).drop("__month", "__bucket")
+
+    def by_product(self, rows: DataFrame) -> DataFrame:
+        """Rows with a ``slot``, moved there: a product's rows of a month are in one."""
+        found = self._found(rows, F.col("review_month"), _bucket("product_id"))
+        split = F.pmod(F.xxhash64(F.lit("split"), "product_id"), F.col("__splits")).cast("int")
+        return found.withColumn("slot", F.col("__slot") + split).drop("__slot", "__splits").repartitionById(self.slots, F.col("slot"))
+
     def dealt(self, reviews: DataFrame) -> DataFrame:
         """Reviews with their ``slot``, and ``whole``: all reviews of their month, product
         and reviewer are in it. Those of crowded buckets are deduplicated before, which
         cuts copies in the tasks that read them, and dealt by the whole key."""
-        of = reviews.sparkSession.createDataFrame(self.rows, "__month date, __bucket int, __slot int, __splits int")
-        same = _month().eqNullSafe(F.col("__month")) & (_bucket() == F.col("__bucket"))
-        found = reviews.join(F.broadcast(of), same).drop("__month", "__bucket")
+        found = self._found(reviews, _month(), _bucket())
         calm = found.where(F.col("__splits") == 1).withColumns({"slot": F.col("__slot"), "whole": F.lit(True)})
         if not self.crowded:
             return calm.drop("__slot", "__splits")
@@ -108,20 +128,20 @@ class MonthSlots:
         return calm.unionByName(crowd).drop("__slot", "__splits")
 
 
-def product_states(fct: DataFrame, unmarked: bool = True) -> DataFrame:
+def product_states(fct: DataFrame, tasks: MonthSlots, unmarked: bool = True) -> DataFrame:
     """Partial figures per product and month that add up to ``product_review_stats``, the
     month's distinct reviewers, and its days with reviews as bits. ``first_of_month`` marks
     one review of each reviewer, ``unmarked`` says that it may be null: such reviewers
-    are told apart by their ids."""
+    are told apart by their ids. ``tasks`` deals the months' products."""
     r = F.col("rating").cast("long")
     fct = fct.withColumn("unmarked_id", F.when(F.col("first_of_month").isNull(), F.col("reviewer_id")))
     # narrow rows in the order of products take fewer bytes than their partial sums
-    rows = fct.select(
+    rows = tasks.by_product(fct.select(
         "product_id", "review_month", "rating", "is_verified_purchase", "helpful_vote_count", "reviewed_date",
         "first_of_month", *(["unmarked_id"] if unmarked else []),
-    ).repartition("product_id", "review_month").withColumn("sentiment_bucket", RF.sentiment_from_rating("rating"))
+    )).withColumn("sentiment_bucket", RF.sentiment_from_rating("rating"))
     reviewers = RF.count_if(F.col("first_of_month"))
-    return rows.groupBy("product_id", "review_month").agg(
+    return rows.groupBy("product_id", "review_month", "slot").agg(
         F.count(F.lit(1)).alias("review_count"), F.count(r).alias("ratings"),
         F.sum(r).alias("rating_sum"), F.sum(r * r).alias("rating_squares"),
         F.min("rating").alias("min_rating"), F.max("rating").alias("max_rating"),
@@ -132,7 +152,7 @@ def product_states(fct: DataFrame, unmarked: bool = True) -> DataFrame:
         F.min("reviewed_date").alias("first_reviewed_date"), F.max("reviewed_date").alias("last_reviewed_date"),
         (reviewers + F.countDistinct("unmarked_id") if unmarked else reviewers).alias("distinct_reviewer_count"),
         F.bit_or(F.expr("shiftleft(1, day(reviewed_date) - 1)")).alias("days"),
-    )
+    ).drop("slot")
 
 
 def products_of_days(states: DataFrame) -> DataFrame:
@@ -255,15 +275,19 @@ class ReviewStore:
         facts = derived_facts(facts, "review_month", "first_of_month")
 
         ids = self.reviewer_ids()
-        new_ids(facts, "reviewer_id", ids).write.option("compression", "zstd").parquet(at("reviewer_ids"))
+        counted = facts.groupBy(F.col("reviewer_id").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        name = f"reviewers-{load}"
+        counted = materialize(counted, name, path=scratch_path(spark, name))
+        new_ids(counted, "value", ids).write.option("compression", "zstd").parquet(at("reviewer_ids"))
         new = spark.read.parquet(at("reviewer_ids"))
         ids = new if ids is None else ids.unionByName(new)
-        self._write(product_states(facts, tasks.crowded), at("states"))
+        of_products = MonthSlots.of_products(counts, ROWS_PER_TASK)
+        self._write(product_states(facts, of_products, tasks.crowded), at("states"))
         states = self._read(at("states"))
         self._write(daily_rollup(facts, False, products_of_days(states)).withColumn("review_month", _month()), at("daily"))
         self._write(monthly_rollup(states, False, True).withColumn("review_month", F.col("month_start_date")), at("monthly"))
         pairs = facts.where(F.coalesce("first_of_month", F.lit(True)))
-        self._write(distinct_sets(pairs, "reviewer_id", ["product_id", "review_month"], ids, tasks.crowded), at("reviewers"))
+        self._write(distinct_sets(pairs, "reviewer_id", ["product_id", "review_month"], ids, tasks.crowded, counted), at("reviewers"))
 
         known |= dict.fromkeys(changed, load)
         _, run = complete_runs(spark, f"{self.root}/lists")
@@ -273,7 +297,8 @@ class ReviewStore:
         return changed
 
     def _read(self, path: str) -> DataFrame:
-        return self.spark.read.parquet(path).withColumn("review_month", F.col("review_month").cast("date"))
+        rows = read_by_rows(self.spark, path, NARROW_ROWS_PER_TASK)
+        return rows.withColumn("review_month", F.col("review_month").cast("date"))
 
     @staticmethod
     def _write(df: DataFrame, path: str) -> None:
