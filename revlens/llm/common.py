@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from revlens.session import ensure_checkpoint_dir, importable
 
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of rows that go to a Python worker at a time.
+BATCH_BYTES = 4 << 20
 #: Stands for a null doc_id where rows are matched by key.
 NULL_ID = -(2**63)
 #: Bytes of text that one numpy pass handles; longer texts go through several passes.
@@ -27,8 +30,17 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of ``BATCH_BYTES``, unless the session says
+    otherwise. Spark's 10,000 rows of whole texts are tens of MB, which the executor and
+    the worker of each task hold several times, and a worker keeps what it once took."""
+    if _BATCH not in spark.conf.getAll:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     importable(spark)
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -37,6 +49,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     the rows, so a lost executor rereads files and never draws them anew. The write's
     shuffle files go when it is done; the disk holds one step's shuffles at a time."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEAN, "false")
     spark.conf.set(_CLEAN, "true")
