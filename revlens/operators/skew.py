@@ -22,9 +22,9 @@ spread by the same hash. The replicated dimension rows are bounded by
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SPLIT = 500_000
@@ -67,11 +67,28 @@ def split_hot_join(
     hot = F.broadcast(hot_keys(counts, key, count_col, rows_per_split))
     spread_cols = [F.col(c) for c in (spread or fact.columns)]
     f = fact.join(hot, fact[key] == F.col("__hot_key"), "left")
-    splits = F.when(fact[key].isNull(), F.lit(NULL_SPLITS)).otherwise(F.coalesce(F.col("__splits"), F.lit(1)))
-    f = f.withColumn("__split", F.pmod(F.xxhash64(*spread_cols), splits).cast("int")).drop("__hot_key", "__splits")
-    d = dim.join(hot, dim[key] == F.col("__hot_key"), "left")
-    d = d.withColumn("__split", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__splits"), F.lit(1)) - 1))).drop(
-        "__hot_key", "__splits"
-    )
-    joined = f.join(d, [key, "__split"], how)
+    f = f.withColumn("__split", _split(key, spread_cols)).drop("__hot_key", "__splits")
+    joined = f.join(per_split(dim, hot, key, "__split"), [key, "__split"], how)
     return joined.withColumnRenamed("__split", part) if part else joined.drop("__split")
+
+
+def _split(key: str, spread: Sequence[Column]) -> Column:
+    splits = F.when(F.col(key).isNull(), F.lit(NULL_SPLITS)).otherwise(F.coalesce(F.col("__splits"), F.lit(1)))
+    return F.pmod(F.xxhash64(*spread), splits).cast("int")
+
+
+def per_split(dim: DataFrame, hot: DataFrame, key: str, part: str) -> DataFrame:
+    """A unique-keyed table's rows, once for every split of their key, numbered by ``part``."""
+    d = dim.join(F.broadcast(hot), dim[key] == F.col("__hot_key"), "left")
+    splits = F.sequence(F.lit(0), F.coalesce(F.col("__splits"), F.lit(1)) - 1)
+    return d.withColumn(part, F.explode(splits)).drop("__hot_key", "__splits")
+
+
+def dealt(fact: DataFrame, hot: DataFrame, key: str, spread: Sequence[str], part: str, thin: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``fact`` with the split of each row, a hash of ``spread`` in hot and null keys.
+    ``thin`` cuts copies among the rows of these keys before they are dealt to few tasks."""
+    found = fact.join(F.broadcast(hot), fact[key] == F.col("__hot_key"), "left").drop("__hot_key")
+    crowded = F.col("__splits").isNotNull() | F.col(key).isNull()
+    calm = found.where(~crowded).withColumn(part, F.lit(0))
+    crowd = thin(found.where(crowded)).withColumn(part, _split(key, [F.col(c) for c in spread]))
+    return calm.unionByName(crowd).drop("__splits")

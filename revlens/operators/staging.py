@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from revlens import functions as RF
 from revlens.operators.classify import classify_by_rules, map_lookup
 from revlens.operators.dedupe import keep_best
+from revlens.operators.skew import dealt
 
 REVIEW_COLUMNS = [
     "product_id", "variant_id", "reviewer_id", "review_title", "review_text", "rating",
@@ -131,6 +132,18 @@ def _fct_reviews_of_slots(stg: DataFrame, tiebreak, slots: int) -> DataFrame:
     return derived_facts(best.withColumn("first_of_month", F.when(F.col("whole"), first)), "review_month", "first_of_month")
 
 
+def reviews_by_reviewer(stg: DataFrame, hot: DataFrame, part: str, buckets: int | None = None, tiebreak=_TIEBREAK) -> DataFrame:
+    """The deduplicated reviews in tasks of their reviewers, where these meet their history:
+    whole reviews move once for both, without derived columns. A reviewer of ``hot``
+    (``skew.hot_keys``) and reviews without one have parts, by product, in a column
+    ``part``; copies among these, which may be any number, are cut before the move.
+    ``buckets``: the number of tasks, if it is fixed."""
+    narrow = stg.drop("review_word_count_approx", "reviewed_date")
+    rows = dealt(narrow, hot, "reviewer_id", ["product_id"], part, lambda crowd: best_reviews(crowd, tiebreak=tiebreak))
+    moved = rows.repartition(*([] if buckets is None else [buckets]), "reviewer_id", part)
+    return best_reviews(moved, ["reviewer_id", part, "product_id", "reviewed_at"], tiebreak)
+
+
 #: Columns of the facts that follow from the others.
 DERIVED_COLUMNS = [
     "review_key", "review_word_count_approx", "reviewed_date", "sentiment_bucket", "review_length_bucket", "has_helpful_votes",

@@ -48,10 +48,11 @@ from revlens.operators.staging import stg_products as build_stg_products
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def warehouse(spark: SparkSession, sf_dir: str, land: bool = True, **kw) -> Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str, land: bool | None = None, **kw) -> Warehouse:
     i = Inputs(spark, sf_dir)
-    # several models read them, unless the caller knows of one only
-    reviews = i.landed_reviews() if land and kw.get("materialize") == "table" else i.reviews()
+    # landed where several models or branches of a plan read them
+    land = kw.get("materialize") == "table" if land is None else land
+    reviews = i.landed_reviews() if land else i.reviews()
     return Warehouse(reviews, i.products(), i.mapping(), i.rules(), **kw)
 
 

@@ -37,7 +37,7 @@ from revlens.operators.products import dim_products
 from revlens.operators.rollups import category_rollup, daily_rollup, finish_product_stats, monthly_rollup
 from revlens.operators.scd2 import complete_runs
 from revlens.operators.staging import DERIVED_COLUMNS, REVIEW_KEY, best_reviews, clean_reviews, derived_facts, fct_reviews
-from revlens.session import scratch_path
+from revlens.session import freed_shuffles, scratch_path
 from revlens.sources.io import materialize, read_by_rows
 
 _STARS = [(5, "five"), (4, "four"), (3, "three"), (2, "two"), (1, "one")]
@@ -106,7 +106,10 @@ class MonthSlots:
 
     def _found(self, rows: DataFrame, month: Column, bucket: Column) -> DataFrame:
         of = rows.sparkSession.createDataFrame(self.rows, "__month date, __bucket int, __slot int, __splits int")
-        return rows.join(F.broadcast(of), month.eqNullSafe(F.col("__month")) & (bucket == F.col("__bucket"))).drop("__month", "__bucket")
+        found = rows.join(F.broadcast(of), month.eqNullSafe(F.col("__month")) & (bucket == F.col("__bucket")), "left")
+        # what was not counted (reads that differ) has a place too
+        found = found.withColumn("__slot", F.coalesce("__slot", F.pmod(F.xxhash64(month, bucket), F.lit(self.slots)).cast("int")))
+        return found.withColumn("__splits", F.coalesce("__splits", F.lit(1))).drop("__month", "__bucket")
 
     def by_product(self, rows: DataFrame) -> DataFrame:
         """Rows with a ``slot``, moved there: a product's rows of a month are in one."""
@@ -302,4 +305,5 @@ class ReviewStore:
 
     @staticmethod
     def _write(df: DataFrame, path: str) -> None:
-        df.write.option("compression", "zstd").partitionBy("review_month").parquet(path)
+        with freed_shuffles(df.sparkSession):
+            df.write.option("compression", "zstd").partitionBy("review_month").parquet(path)

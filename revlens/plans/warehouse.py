@@ -25,15 +25,17 @@ from pyspark.sql import functions as F
 from revlens.operators.calendar import SPINE_END, SPINE_START, date_dimension
 from revlens.operators.categories import category_performance, tendency_aggregates
 from revlens.operators.products import dim_products
-from revlens.operators.reviewers import dim_reviewers, first_of_pair, reviewer_history, with_reviewer_context
+from revlens.operators.reviewers import by_product, dim_reviewers, first_of_pair, reviewer_history, with_reviewer_context
 from revlens.operators.risk import products_at_risk, recent_sentiment, signal_aggregates, signal_counts
 from revlens.operators.rollups import (
     STAT_AGG_COLUMNS, category_rollup, daily_rollup, finish_product_stats, monthly_rollup,
     product_review_stats, product_stat_aggregates,
 )
 from revlens.operators.scd2 import scd2_apply
-from revlens.operators.staging import clean_reviews, fct_reviews, stg_products
-from revlens.session import scratch_path
+from revlens.operators.skew import hot_keys
+from revlens.operators.staging import clean_reviews, derived_facts, fct_reviews, reviews_by_reviewer, stg_products
+from revlens.plans.refresh import ROWS_PER_TASK, MonthSlots, count_buckets
+from revlens.session import freed_shuffles, scratch_path
 from revlens.sources.bucketing import PART
 from revlens.sources.io import discard, next_folder, publish, recover
 
@@ -80,7 +82,8 @@ class Warehouse:
         w = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(path)
+        with freed_shuffles(df.sparkSession):
+            w.parquet(path)
         written = self.spark.read.parquet(path)
         with self._lock:
             self._written[name] = written
@@ -134,10 +137,19 @@ class Warehouse:
     def fct_reviews(self) -> DataFrame:
         if self.materialize == "table":
             # written partitioned by month: trailing-window reads prune partitions
-            fct = fct_reviews(self.stg_reviews, cluster_by_month=True)
-            return self._keep("fct_reviews", fct, partition_by=("review_month",))
+            return self._keep("fct_reviews", self._reviews_by_month, partition_by=("review_month",))
         return fct_reviews(self.stg_reviews)
 
+    @property
+    def _reviews_by_month(self) -> DataFrame:
+        """The facts in the tasks that write them: whole reviews move once, to the task of
+        their month or of a part of it. The staged reviews are read for their number first."""
+        staged = self.stg_reviews
+        tasks = MonthSlots.of(count_buckets(staged), ROWS_PER_TASK)
+        if not tasks.slots:
+            return fct_reviews(staged, cluster_by_month=True)
+        return fct_reviews(tasks.dealt(staged), slots=tasks.slots).drop("first_of_month")
+
     @cached_property
     def product_review_stats(self) -> DataFrame:
         if self.materialize == "table":
@@ -149,7 +161,13 @@ class Warehouse:
 
     @cached_property
     def reviewer_history(self) -> DataFrame:
-        return self._keep("reviewer_history", reviewer_history(self.stg_reviews))
+        return self._keep("reviewer_history", reviewer_history(self.stg_reviews, in_parts=self.materialize == "table"))
+
+    @cached_property
+    def _facts_by_reviewer(self) -> DataFrame:
+        """The facts where their reviewers' history is, with the part of a reviewer's reviews."""
+        hot = hot_keys(self.reviewer_history, "reviewer_id", "lifetime_review_count")
+        return derived_facts(reviews_by_reviewer(self.stg_reviews, hot, PART), PART)
 
     @cached_property
     def reviews_with_context(self) -> DataFrame:
@@ -184,7 +202,7 @@ class Warehouse:
 
     @cached_property
     def fct_reviews_monthly(self) -> DataFrame:
-        return monthly_rollup(self.fct_reviews)
+        return monthly_rollup(self.fct_reviews, narrow=self.materialize == "table")
 
     @cached_property
     def product_review_facts(self) -> DataFrame:
@@ -194,7 +212,7 @@ class Warehouse:
         context = self.reviews_with_context
         if self.materialize == "table":
             context = self._parted_context
-            context = context.withColumn("first_of_pair", first_of_pair(context, PART))
+            context = by_product(context.withColumn("first_of_pair", first_of_pair(context, PART)))
             aggs += product_stat_aggregates(first=F.col("first_of_pair"))
         return self._keep("product_review_facts", context.groupBy("product_id").agg(*aggs))
 
@@ -271,7 +289,8 @@ class Warehouse:
             df = make(self) if make else getattr(self, name)
             if not (self.materialize == "table" and name in SHARED_MODELS):
                 if self.output_root and make is None:
-                    df.write.mode("overwrite").option("compression", "zstd").parquet(self._path(name))
+                    with freed_shuffles(df.sparkSession):
+                        df.write.mode("overwrite").option("compression", "zstd").parquet(self._path(name))
                     written = self.spark.read.parquet(self._path(name))
                     with self._lock:
                         self._written[name] = written

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from collections import Counter
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -100,12 +103,41 @@ def split_session(spark: SparkSession, split_bytes: int) -> SparkSession:
     """
     own = spark.newSession()
     for name, value in spark.conf.getAll.items():
-        if own.conf.isModifiable(name):
+        if own.conf.isModifiable(name) and name != FREE_SHUFFLES:
             own.conf.set(name, value)
     own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     return own
 
 
+#: Spark then deletes the shuffle files of an action when it ends, not when the driver's
+#: garbage collector finds them.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: Counter = Counter()  # session -> writes that run
+_before: dict = {}  # session -> its own setting
+_freeing_lock = threading.Lock()
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """For writes whose result is read from files: what they shuffled is deleted when they
+    end, so that disks hold one write's shuffles at a time. The session gets its setting
+    back after the last of the writes that run at once."""
+    with _freeing_lock:
+        if not _freeing[spark]:
+            _before[spark] = spark.conf.get(FREE_SHUFFLES, None)
+            spark.conf.set(FREE_SHUFFLES, "true")
+        _freeing[spark] += 1
+    try:
+        yield
+    finally:
+        with _freeing_lock:
+            _freeing[spark] -= 1
+            if not _freeing[spark]:
+                del _freeing[spark]
+                before = _before.pop(spark)
+                spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a materialized intermediate table next to the checkpoints."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

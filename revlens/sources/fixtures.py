@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.session import scratch_path
+from revlens.session import freed_shuffles, scratch_path
 from revlens.sources.io import read_by_rows
 
 
@@ -237,7 +237,8 @@ class Inputs:
         """The same rows as files, as a warehouse gets them: for queries that read them
         more than once. Tasks read as many rows as one of ``reviews`` makes."""
         path = scratch_path(self.spark, f"landed-reviews-{uuid.uuid4().hex}")
-        self.reviews().write.option("compression", "zstd").parquet(path)
+        with freed_shuffles(self.spark):
+            self.reviews().write.option("compression", "zstd").parquet(path)
         return read_by_rows(self.spark, path, ROWS_PER_TASK)
 
     def products(self) -> DataFrame:

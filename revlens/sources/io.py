@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.session import scratch_path, split_session
+from revlens.session import freed_shuffles, scratch_path, split_session
 
 
 # Raw record layouts of the public review dataset (JSON lines or parquet).
@@ -324,6 +324,7 @@ def materialize(df: DataFrame, name: str, how: str = "table", path: str | None =
         return df.checkpoint(eager=True)
     if how == "table":
         target = path or scratch_path(spark, name)
-        df.write.mode("overwrite").option("compression", "zstd").parquet(target)
+        with freed_shuffles(spark):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(target)
         return spark.read.parquet(target)
     raise ValueError(f"unknown materialization {how!r}")
