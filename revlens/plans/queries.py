@@ -480,10 +480,10 @@ QUERIES: dict[str, Query] = {
     "global_avg_rating": q_global_avg_rating,
     "reviewer_history": _wh("reviewer_history"),
     "dim_reviewers": _wh("dim_reviewers"),
-    "reviewer_context": _wh("reviews_with_context"),
+    "reviewer_context": _wh("reviews_with_context", land=True),
     # step 5: insight marts
     "dim_categories": _wh("dim_categories"),
-    "category_performance": _wh("mart_category_performance"),
+    "category_performance": _wh("mart_category_performance", land=True),
     "recent_sentiment": _wh("recent_sentiment"),
     "signal_counts": _wh("signal_counts"),
     "products_at_risk": _wh("mart_products_at_risk"),

@@ -77,6 +77,28 @@ def test_the_session_gets_its_setting_back(spark):
     assert spark.conf.get(FREE_SHUFFLES) == had
 
 
+@pytest.mark.parametrize("rows_per_split", [20, 10**6])
+def test_reviews_dealt_to_their_reviewers(spark, no_broadcast, rows_per_split):
+    stg = odd_reviews(spark)
+    history = reviewer_history(stg)
+    hot = hot_keys(history, "reviewer_id", "lifetime_review_count", rows_per_split)
+    facts = derived_facts(reviews_by_reviewer(stg, hot, "part"), "part")
+    assert rows(facts.drop("part")) == rows(fct_reviews(stg))
+    assert (facts.where("reviewer_id = 'hot'").select("part").distinct().count() > 3) == (rows_per_split == 20)
+    context = with_reviewer_context(facts, history, rows_per_split, "part")
+    assert rows(context.drop("part")) == rows(with_reviewer_context(fct_reviews(stg), history))
+
+
+def test_context_is_made_where_the_reviews_were_deduplicated(spark, no_broadcast):
+    for query in ("reviewer_context",):
+        text = plan(queries.QUERIES[query](spark, SF_SMALL))
+        assert "o_custkey" not in text, query  # the reviews are built once
+    text = plan(queries.QUERIES["reviewer_context"](spark, SF_SMALL))
+    joined = text[text.index("LeftOuter"):]
+    at = joined.index("Window")
+    assert "Exchange" not in joined[:at]  # from the dedup to the join nothing moves
+
+
 def test_history_in_parts(spark):
     stg = odd_reviews(spark)
     assert rows(reviewer_history(stg, in_parts=True)) == rows(reviewer_history(stg))
