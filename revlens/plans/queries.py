@@ -485,8 +485,8 @@ QUERIES: dict[str, Query] = {
     "dim_categories": _wh("dim_categories"),
     "category_performance": _wh("mart_category_performance", land=True),
     "recent_sentiment": _wh("recent_sentiment"),
-    "signal_counts": _wh("signal_counts"),
-    "products_at_risk": _wh("mart_products_at_risk"),
+    "signal_counts": _wh("signal_counts", land=True),
+    "products_at_risk": _wh("mart_products_at_risk", land=True),
     "top_at_risk": q_top_at_risk,
     "rank_at_risk": q_rank_at_risk,
     "distinct_reviewers": q_distinct_reviewers,

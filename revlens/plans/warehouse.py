@@ -233,8 +233,12 @@ class Warehouse:
 
     @cached_property
     def mart_products_at_risk(self) -> DataFrame:
+        products = self.dim_products
+        if self.materialize != "table":  # over the same facts as the context, which move once
+            stats = product_review_stats(self._facts_by_reviewer.drop(PART))
+            products = dim_products(self.stg_products, stats, anchor=self.latest_review_date)
         return products_at_risk(
-            self.dim_products, self.reviews_with_context, anchor=self.latest_review_date,
+            products, self.reviews_with_context, anchor=self.latest_review_date,
             signals=self.product_review_facts,
         )
 
