@@ -143,7 +143,7 @@ def q_clean_products(spark, sf_dir):
 # --- reviews / rollups -----------------------------------------------------
 
 def q_top_at_risk(spark, sf_dir):
-    return top_at_risk(warehouse(spark, sf_dir).mart_products_at_risk, 20)
+    return top_at_risk(warehouse(spark, sf_dir, land=True).mart_products_at_risk, 20)
 
 
 def q_rank_at_risk(spark, sf_dir):
