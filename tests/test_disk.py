@@ -132,3 +132,8 @@ def test_rows_that_were_not_counted_keep_a_place(spark):
     tasks = MonthSlots([(None, 0, 0, 1)], 3)
     assert tasks.dealt(stg).count() == stg.count()
     assert rows(fct_reviews(tasks.dealt(stg), slots=3).drop("review_month", "first_of_month")) == rows(fct_reviews(stg))
+
+
+def test_facts_that_are_read_again_are_deduplicated_once(spark):
+    for query in ("reviews_as_of_products",):
+        assert "o_custkey" not in plan(queries.QUERIES[query](spark, SF_SMALL)), query
