@@ -268,7 +268,8 @@ def q_check_relationship(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     wh = warehouse(spark, sf_dir)
     new_load = build_stg_products(i.products_v2(), i.mapping(), i.rules())
-    return Q.check_relationship(wh.fct_reviews.select("review_key", "product_id"), "product_id", new_load, "product_id")
+    children = _made_once(spark, wh.fct_reviews.select("review_key", "product_id"))  # counted, then joined
+    return Q.check_relationship(children, "product_id", new_load, "product_id")
 
 
 def q_check_non_negative(spark, sf_dir):
