@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlens import functions as RF
 from revlens.operators.skew import ROWS_PER_SPLIT, split_hot_join
@@ -32,6 +33,21 @@ def check_unique(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+#: Shares of the hash values, of which ``check_unique`` compares those that hold equal ones.
+SHARES = 1024
+
+
+def _suspects(df: DataFrame, col: str) -> DataFrame:
+    """Rows among which all duplicated values are: those of the shares of the texts' hash
+    values in which one stands twice. Hash values move, texts only where these are equal."""
+    if df.schema[col].dataType not in (T.StringType(), T.BinaryType()):
+        return df
+    h = F.xxhash64(F.col(col))
+    twice = df.where(F.col(col).isNotNull()).groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    shares = twice.agg(F.collect_set(F.pmod("h", F.lit(SHARES)).cast("int"))).scalar()
+    return df.where(F.array_contains(shares, F.pmod(h, F.lit(SHARES)).cast("int")))
+
+
 def check_accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """Non-null values outside ``values``, one row per distinct value."""
     return (
@@ -76,7 +92,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
       a single all-null group in each map task, so only distinct offending
       combinations reach the shuffle; a final aggregate over that small result
       counts the distinct bad values per check (no ``Expand`` over the input);
-    * unique: one aggregation per check; relationship: child rows pre-counted
+    * unique: one aggregation per check, of texts over their hash values first; relationship: child rows pre-counted
       per key, then an anti join at key grain.
     """
     spark = df.sparkSession
@@ -95,7 +111,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         elif ch.kind == "accepted_values":
             accepted.append((i, ch, F.when(c.isNotNull() & ~c.isin(list(ch.values)), c)))
         elif ch.kind == "unique":
-            parts.append(check_unique(df, ch.column).agg(*row(i, ch, F.count(F.lit(1)))))
+            parts.append(check_unique(_suspects(df, ch.column), ch.column).agg(*row(i, ch, F.count(F.lit(1)))))
         elif ch.kind == "relationship":
             # count child rows per key first: the anti join then runs at key
             # grain, so a key holding a large share of the rows is one row

@@ -134,6 +134,20 @@ def test_rows_that_were_not_counted_keep_a_place(spark):
     assert rows(fct_reviews(tasks.dealt(stg), slots=3).drop("review_month", "first_of_month")) == rows(fct_reviews(stg))
 
 
+@pytest.mark.parametrize("values", [["a", "b", "c"], ["a", "a", "b", None, None], [None], ["é", "é", "x", "x", "y"]])
+def test_unique_by_hash_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    want = Q.check_unique(df, "v").count()
+    assert [r.failures for r in Q.run_checks(df, [Q.Check("unique", "v")]).collect()] == [want]
+
+
+def test_texts_that_are_unique_do_not_move(spark):
+    df = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("v"))
+    assert Q._suspects(df, "v").count() == 0
+    again = df.unionByName(df.limit(1))
+    assert 2 <= Q._suspects(again, "v").count() < 20
+
+
 def test_facts_that_are_read_again_are_deduplicated_once(spark):
-    for query in ("reviews_as_of_products", "check_relationship"):
+    for query in ("reviews_as_of_products", "check_relationship", "run_checks"):
         assert "o_custkey" not in plan(queries.QUERIES[query](spark, SF_SMALL)), query
