@@ -9,10 +9,14 @@ row per test: the equivalent of a full test run, as a DataFrame.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.quality import Check, run_checks
+from revlens.session import scratch_path
+from revlens.sources.io import materialize
 
 RATINGS = [1, 2, 3, 4, 5]
 TENDENCIES = ["harsh", "balanced", "generous", "insufficient_data"]
@@ -135,6 +139,16 @@ def _table(wh, name: str) -> DataFrame:
     return getattr(wh, INPUTS[name]) if name in INPUTS else wh.table(name)
 
 
+def _tested(wh, name: str, checks: list[Check]) -> DataFrame:
+    """The table that a model's tests read. In table mode the context, which is not stored,
+    is made once, of the tested columns: every test would move the reviews to their history."""
+    table = _table(wh, name)
+    if name != "reviews_with_context" or wh.materialize != "table" or name in wh._written:
+        return table
+    columns = dict.fromkeys(ch.column for ch in checks)
+    return materialize(table.select(*columns), name, path=scratch_path(wh.spark, f"tested-{uuid.uuid4().hex}"))
+
+
 def model_checks(wh, name: str) -> list[Check]:
     """The tests of one model; without a warehouse, foreign keys have no parent."""
     out = []
@@ -162,7 +176,7 @@ def run_suite(wh, models=None) -> DataFrame:
     by_model = {model: model_checks(wh, model) for model in suite_models() if model in wanted}
     out = None
     for model, checks in by_model.items():
-        part = run_checks(_table(wh, model), checks).select(
+        part = run_checks(_tested(wh, model, checks), checks).select(
             F.lit(model).alias("model"), "check", "column", "failures"
         )
         out = part if out is None else out.unionByName(part)

@@ -151,3 +151,10 @@ def test_texts_that_are_unique_do_not_move(spark):
 def test_facts_that_are_read_again_are_deduplicated_once(spark):
     for query in ("reviews_as_of_products", "check_relationship", "run_checks"):
         assert "o_custkey" not in plan(queries.QUERIES[query](spark, SF_SMALL)), query
+
+
+def test_context_is_tested_as_a_table(spark):
+    wh = queries.warehouse(spark, SF_SMALL, materialize="table")
+    text = plan(checks.run_suite(wh, ["reviews_with_context"]))
+    assert "Join" not in text
+    assert rows(checks.run_suite(wh, ["reviews_with_context"])) == rows(checks.run_suite(queries.warehouse(spark, SF_SMALL), ["reviews_with_context"]))
