@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from revlens.operators.reviewers import context_columns, flag_signals
-from revlens.operators.staging import DERIVED_COLUMNS, derived_facts, fct_reviews, stg_products
+from revlens.operators.staging import derived_facts, reviews_by_reviewer, stg_products
 from revlens.plans.warehouse import Warehouse
 from revlens.session import scratch_path
 from revlens.sources.bucketing import BUCKET_BYTES, PART, Layout, bucket_count, co_join, layout, stored_bytes
@@ -28,23 +28,23 @@ class BucketedWarehouse(Warehouse):
         return scratch_path(self.spark, f"{self.run_id}/bucketed/{name}")
 
     # by reviewer ---------------------------------------------------------
-    @cached_property
-    def _reviews(self) -> DataFrame:
-        """The deduplicated reviews, written once; their bytes give the bucket number."""
-        return materialize(fct_reviews(self.stg_reviews), "reviews", path=self._path("reviews"))
-
     @cached_property
     def by_reviewer(self) -> Layout:
-        reviews = self._reviews
-        n = bucket_count(stored_bytes(self.spark, self._path("reviews")), self.bucket_bytes)
-        return layout(reviews, "reviewer_id", n, **self.splits)
+        """The bytes of the raw reviews' files give the bucket number, the history the hot reviewers."""
+        files = self.raw_reviews.inputFiles()
+        least = 1 if files else int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        n = bucket_count(sum(stored_bytes(self.spark, f) for f in files), self.bucket_bytes, least)
+        history = self.reviewer_history
+        return layout(history, "reviewer_id", n, history, "lifetime_review_count", **self.splits)
 
     @cached_property
     def stored_reviews(self) -> DataFrame:
-        # what follows from other columns is not moved with the rows; spread by product,
-        # as the product marts count a product's reviewers in place
-        moved = self.by_reviewer.facts(self._reviews, ["product_id"]).drop(*DERIVED_COLUMNS)
-        return self.by_reviewer.write(moved, self._stored("reviews"), lambda rows: derived_facts(rows, PART))
+        # deduplicated in the tasks that write the buckets; what follows from other columns is
+        # not moved with the rows; spread by product, as the product marts count a product's
+        # reviewers in place
+        by = self.by_reviewer
+        reviews = reviews_by_reviewer(self.stg_reviews, by.hot, PART, by.buckets)
+        return by.write(reviews, self._stored("reviews"), lambda rows: derived_facts(rows, PART), True)
 
     @cached_property
     def stored_history(self) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.operators.skew import NULL_SPLITS, ROWS_PER_SPLIT, hot_keys
+from revlens.session import freed_shuffles
 from revlens.sources.io import stored_bytes  # noqa: F401
 
 #: Bytes of a bucket, as stored.
@@ -65,13 +66,15 @@ class Layout:
         parts = F.sequence(F.lit(0), F.coalesce("__splits", F.lit(1)) - 1)
         return found.withColumn(PART, F.explode(parts)).drop("__hot_key", "__splits")
 
-    def write(self, df: DataFrame, path: str, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    def write(self, df: DataFrame, path: str, derive: Callable[[DataFrame], DataFrame] | None = None, in_place: bool = False) -> DataFrame:
         """Store rows that have a part; one file per bucket. The table that is read back.
-        ``derive`` adds columns, row by row, to what has been moved."""
+        ``derive`` adds columns, row by row, to what has been moved. Rows that are ``in_place``
+        have been moved by ``columns`` to as many tasks as there are buckets."""
         spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
-        rows = df.repartition(self.buckets, *self.columns)
+        rows = df if in_place else df.repartition(self.buckets, *self.columns)
         rows = derive(rows) if derive else rows
-        rows.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(self.buckets, *self.columns).sortBy(*self.columns).saveAsTable(name)
+        with freed_shuffles(spark):
+            rows.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(self.buckets, *self.columns).sortBy(*self.columns).saveAsTable(name)
         return spark.table(name)
 
 

@@ -158,3 +158,12 @@ def test_context_is_tested_as_a_table(spark):
     text = plan(checks.run_suite(wh, ["reviews_with_context"]))
     assert "Join" not in text
     assert rows(checks.run_suite(wh, ["reviews_with_context"])) == rows(checks.run_suite(queries.warehouse(spark, SF_SMALL), ["reviews_with_context"]))
+
+
+def test_buckets_are_written_where_reviews_were_deduplicated(spark):
+    i = queries.Inputs(spark, SF_SMALL)
+    wh = queries.BucketedWarehouse(i.landed_reviews(), i.products(), i.mapping(), i.rules(), bucket_bytes=20_000, rows_per_split=100)
+    by = wh.by_reviewer
+    text = plan(reviews_by_reviewer(wh.stg_reviews, by.hot, "bucket_part", by.buckets))
+    assert by.buckets > 1 and "REPARTITION_BY_NUM" in text
+    assert rows(wh.fct_reviews) == rows(fct_reviews(wh.stg_reviews))
