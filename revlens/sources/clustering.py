@@ -10,12 +10,14 @@ columns: readers need not know the layout.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revlens.session import freed_shuffles
+
 #: Bits of a rank: 64 parts a column.
 BITS = 6
 #: Error of the rank bounds: a part holds up to 1 / ACCURACY of the rows more than its share.
@@ -65,12 +67,13 @@ def interleaved(ranks: Sequence[Column], bits: int = BITS) -> Column:
     return out
 
 
-def write_clustered(df: DataFrame, path: str, columns: Sequence[str], bits: int = BITS, row_group_bytes: int | None = None, mode: str = "errorifexists") -> None:
+def write_clustered(df: DataFrame, path: str, columns: Sequence[str], bits: int = BITS, row_group_bytes: int | None = None, mode: str = "errorifexists", derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write ``df`` clustered by ``columns``; its columns and rows are as before.
 
     Null values rank first. Rows of one cell are ordered by the columns themselves, and
     rows equal in these by their place in ``df``, which must give the same rows when read
     again (a table); so a value that a third of the rows share is spread over files.
+    ``derive`` adds columns, row by row, to what has been moved.
     """
     if not columns or not 0 < bits <= 12 or len(columns) * bits > 62:
         raise ValueError(f"{len(columns)} columns of {bits} bits")
@@ -81,7 +84,9 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], bits: int
     rows = rows.select("row", "place", *[_rank(F.col(f"o{i}"), b).alias(f"r{i}") for i, b in enumerate(bounds)])
     rows = rows.select("row", "place", interleaved([F.col(f"r{i}") for i in range(len(columns))], bits).alias("cell"))
     order = [F.col("cell"), *[F.col("row").getField(c).asc_nulls_first() for c in columns], F.col("place")]
-    out = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("row.*").write.mode(mode)
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")
+    out = (derive(rows) if derive else rows).write.mode(mode).option("compression", "zstd")
     if row_group_bytes:
         out = out.option("parquet.block.size", row_group_bytes).option("parquet.block.size.row.check.min", 100)
-    out.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        out.parquet(path)

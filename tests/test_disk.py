@@ -160,6 +160,19 @@ def test_context_is_tested_as_a_table(spark):
     assert rows(checks.run_suite(wh, ["reviews_with_context"])) == rows(checks.run_suite(queries.warehouse(spark, SF_SMALL), ["reviews_with_context"]))
 
 
+def test_clustered_rows_derive_after_the_move(spark, tmpdir_path):
+    df = spark.range(300).select("id", (F.col("id") % 7).alias("k"))
+    seen = []
+
+    def derive(moved):
+        seen.append(moved.columns)
+        return moved.withColumn("twice", F.col("id") * 2)
+
+    write_clustered(df, f"{tmpdir_path}/c", ["k", "id"], derive=derive)
+    assert seen == [["id", "k"]]
+    assert rows(spark.read.parquet(f"{tmpdir_path}/c")) == rows(df.withColumn("twice", F.col("id") * 2))
+
+
 def test_buckets_are_written_where_reviews_were_deduplicated(spark):
     i = queries.Inputs(spark, SF_SMALL)
     wh = queries.BucketedWarehouse(i.landed_reviews(), i.products(), i.mapping(), i.rules(), bucket_bytes=20_000, rows_per_split=100)
