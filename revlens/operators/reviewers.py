@@ -121,7 +121,8 @@ def with_reviewer_context(
     across tasks (their reviews spread by review key, their history row
     replicated per split) — see ``revlens.operators.skew``. With ``part``, they
     are spread by product and keep their split under that name: reviews of a product
-    by a reviewer are then in one task, where ``first_of_pair`` finds them. Facts that
+    by a reviewer are then in one task, where ``first_of_pair`` finds them. Key and
+    sentiment are then those of ``derived_facts``, worked out after the move. Facts that
     have that column are dealt already (``reviews_by_reviewer``) and do not move.
     """
     if part in fct.columns:
@@ -129,8 +130,10 @@ def with_reviewer_context(
         j = fct.join(per_split(context_columns(history), hot, "reviewer_id", part), ["reviewer_id", part], "left")
         return flag_signals(j, fct.columns)
     ctx, columns = context_columns(history), fct.columns
-    if part and "sentiment_bucket" in columns:  # follows from the rating, so it is not moved
-        fct = fct.drop("sentiment_bucket")
+    # what follows from other columns of the facts is not moved
+    follows = {"sentiment_bucket": ["rating"], "review_key": ["reviewer_id", "product_id", "reviewed_at"]}
+    derived = [c for c, of in follows.items() if part and c in columns and set(of) <= set(columns)]
+    fct = fct.drop(*derived)
     counts = history.select("reviewer_id", "lifetime_review_count")
     spread = ["review_key"] if "review_key" in fct.columns else ()
     spread = ["product_id"] if part else spread
@@ -138,8 +141,10 @@ def with_reviewer_context(
         fct, ctx, "reviewer_id", "left", spread=spread, counts=counts, count_col="lifetime_review_count",
         rows_per_split=rows_per_split, part=part,
     )
-    if fct.columns != columns:
+    if "sentiment_bucket" in derived:
         j = j.withColumn("sentiment_bucket", RF.sentiment_from_rating("rating"))
+    if "review_key" in derived:
+        j = j.withColumn("review_key", RF.surrogate_key(*follows["review_key"]))
     return flag_signals(j, [*columns, part] if part else columns)
 
 

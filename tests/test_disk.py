@@ -160,6 +160,17 @@ def test_context_is_tested_as_a_table(spark):
     assert rows(checks.run_suite(wh, ["reviews_with_context"])) == rows(checks.run_suite(queries.warehouse(spark, SF_SMALL), ["reviews_with_context"]))
 
 
+def test_keys_of_reviews_do_not_move_to_their_history(spark, no_broadcast):
+    stg = odd_reviews(spark)
+    facts, history = fct_reviews(stg), reviewer_history(stg)
+    context = with_reviewer_context(facts, history, 50, "part")
+    assert rows(context.drop("part")) == rows(with_reviewer_context(facts, history, 50))
+    stored = spark.createDataFrame(facts.limit(1).collect(), facts.schema)
+    text = plan(with_reviewer_context(stored, history, 50, "part"))
+    below = text[text.index("LeftOuter"):]
+    assert "review_key" not in below[: below.index("Scan")]
+
+
 def test_clustered_rows_derive_after_the_move(spark, tmpdir_path):
     df = spark.range(300).select("id", (F.col("id") % 7).alias("k"))
     seen = []
