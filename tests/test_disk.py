@@ -68,6 +68,22 @@ def test_a_write_leaves_no_shuffle_files(spark, tmpdir_path):
     assert shuffle_files(spark) <= plain
 
 
+def test_models_of_a_ranked_queue_move_narrow_rows_once(spark, monkeypatch):
+    plans, keep = {}, queries.Warehouse._keep
+
+    def seen(self, name, df, *a, **kw):
+        plans[name] = plan(df)
+        return keep(self, name, df, *a, **kw)
+
+    monkeypatch.setattr(queries.Warehouse, "_keep", seen)
+    queue = queries.QUERIES["rank_at_risk"](spark, SF_SMALL)
+    assert "REBALANCE" not in plans["fct_reviews"]
+    for name in ("reviewer_history", "product_review_facts"):
+        assert "REPARTITION_BY_COL" in plans[name], name
+    risk = queries.QUERIES["products_at_risk"](spark, SF_SMALL)
+    assert rows(queue.select("product_id", "risk_score")) == rows(risk.select("product_id", "risk_score"))
+
+
 def test_the_session_gets_its_setting_back(spark):
     had = spark.conf.get(FREE_SHUFFLES)
     with freed_shuffles(spark):
